@@ -6,16 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umitally.llm import exact_dedup
+from umitally.llm import exact_dedup, packing, pieces
 from umitally.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    """A file of the installed public tokenizers; every node has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_words(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_exact_dedup": op9_exact_dedup}
+    return {f.__name__: f for f in (op2_pieces, op3_packing, op9_exact_dedup)}
 
 
 OP9_SQL = r"""
