@@ -13,6 +13,7 @@ an id are packed each on its own; columns beside doc_id and text are not read.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -21,7 +22,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +44,12 @@ class WordTokenizer:
     are cut into words, each of which the library encodes once; any other text is encoded by the library as a whole.
     """
 
-    #: Below U+0250 without U+0130, whose lower case is two characters; general punctuation and currency signs.
-    _PLAIN = regex.compile("[\x00-įı-ɏ‐-‧‰-⁞₠-₿]*")
+    #: Below U+0250 without U+0130, whose lower case is two characters, and without separators that the library takes for
+    #: ordinary signs; general punctuation and currency signs.
+    _PLAIN = re.compile("[\x00-\x1b\x20-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
+    #: What the pattern below means for such texts; Python's \\w counts the fractions and raised digits as letters.
+    _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[\d\xb2\xb3\xb9\xbc-\xbe]|(?:[^\w\s]|_)+")
 
     def __init__(self, path: str):
         import json
@@ -60,8 +64,7 @@ class WordTokenizer:
             spec = json.load(f)
         steps = [x["type"] for x in spec["normalizer"]["normalizers"]]
         splits = spec["pre_tokenizer"]["pretokenizers"]
-        self.word = regex.compile(splits[0]["pattern"]["Regex"])
-        self.by_word = steps == ["NFC", "Replace", "Lowercase"] and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and [x["type"] for x in splits] == ["Split", "ByteLevel"] and not splits[1]["add_prefix_space"]
+        self.by_word = splits[0]["pattern"].get("Regex") == self._PATTERN and steps == ["NFC", "Replace", "Lowercase"] and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and [x["type"] for x in splits] == ["Split", "ByteLevel"] and not splits[1]["add_prefix_space"]
         self.known: dict[str, bytes] = {}
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
@@ -69,16 +72,17 @@ class WordTokenizer:
         cut: list[list[str] | None] = []
         for t in texts:
             t = unicodedata.normalize("NFC", t)
-            cut.append(self.word.findall(t.lower()) if self.by_word and self._PLAIN.fullmatch(t) else None)
+            cut.append(self._WORD.findall(t.lower()) if self.by_word and self._PLAIN.fullmatch(t) else None)
         words = set().union(*(c for c in cut if c))
         new = list(words.difference(self.known))
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = list(words)
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        for i in range(0, len(new), 1000):  # words apart by spaces stay apart; a call for each word would take twice as long
+            part = new[i : i + 1000]
+            e = self.tok.encode_batch([" ".join(part)], add_special_tokens=False)[0]
+            flat, at = np.array(e.ids, "<u4").tobytes(), (np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1)) * 4).tolist()
+            self.known |= zip(part, [flat[x:y] for x, y in zip(at, at[1:], strict=False)], strict=True)
         rest = [t for t, c in zip(texts, cut, strict=True) if c is None]
         whole = iter(self.tok.encode_batch_fast(rest, add_special_tokens=False)) if rest else iter(())
         get = self.known.__getitem__
