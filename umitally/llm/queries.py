@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umitally.llm import exact_dedup, packing, pieces
-from umitally.llm.common import table
+from umitally.llm import exact_dedup, packing, pieces, warc
+from umitally.llm.common import shared_dir, table
 
 
 def vocabulary(name: str) -> str:
@@ -25,13 +25,31 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_words(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pieces, op3_packing, op9_exact_dedup)}
-
+    return {f.__name__: f for f in (op2_pieces, op3_packing, op6_warc, op9_exact_dedup)}
+
+
+#: DuckDB has SHA-1 in hex; base32 reads its 160 bits five at a time.
+OP6_SQL = r"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+     b AS (SELECT *, list_aggregate(list_transform(range(1, 41), lambda i : lpad(bin(strpos('0123456789abcdef', h[i]) - 1), 4, '0')), 'string_agg', '') AS bits,
+                  max(page_id) OVER (PARTITION BY h) AS holder FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda k : substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', list_sum(list_transform(range(1, 6), lambda j : substr(bits, 5 * k + j, 1)::INT * (1 << (5 - j))))::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = holder THEN NULL ELSE holder END AS refers_to
+FROM b
+"""
 
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
@@ -45,4 +63,4 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op6_warc": OP6_SQL, "op9_exact_dedup": OP9_SQL}
