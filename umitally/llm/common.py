@@ -58,19 +58,25 @@ def held_out(modulus: int, remainder: int, column: str = "doc_id") -> F.Column:
     return F.coalesce(fold(column, modulus) == F.lit(remainder), F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, modulus: int, remainder: int, limit: int, columns: list[str]) -> DataFrame:
-    """At most `limit` labelled training rows with the given columns of docs and `target`.
+#: Longer texts (in bytes) are scored like any other but not taken for training, so a sample's size is bounded.
+LONGEST_SAMPLE = 1 << 16
 
-    The sample is the `limit` training ids with the smallest xxhash64, so it is the same on every run and spread over
-    the whole table. Only the ids (16 bytes each, at most `limit`) are broadcast; the texts are scanned once.
-    Repeated label rows of an id count once, with the larger label.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, modulus: int, remainder: int, limit: int, columns: list[str]) -> pa.Table:
+    """At most `limit` labelled training rows: the given columns of docs and `_label`, in an order that is always the same.
+
+    The sample is the `limit` training ids with the smallest xxhash64, so it is spread over the whole table. Only these
+    ids (16 bytes each) are broadcast; the texts are scanned once, and those of the sample reach the driver, at most
+    limit * LONGEST_SAMPLE bytes and a few KB each as a rule. Repeated label rows of an id count once, with the larger
+    label; null ids, labels and texts are not learnt from.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & (fold("doc_id", modulus) != remainder))
         .groupBy("doc_id").agg(F.max(target).cast("int").alias("_label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    )
-    return docs.select("doc_id", *columns).join(F.broadcast(ids), "doc_id").select(*columns, "_label")
+    )
+    rows = docs.select("doc_id", *columns).where(F.octet_length("text") <= LONGEST_SAMPLE).join(F.broadcast(ids), "doc_id").toArrow()
+    return rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
 def stable_hash(words: list[str]) -> np.ndarray:

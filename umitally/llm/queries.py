@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umitally.llm import exact_dedup, packing, pieces, warc
+from umitally.llm import exact_dedup, language, packing, pieces, toxicity, warc
 from umitally.llm.common import shared_dir, table
 
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -25,6 +29,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_words(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -36,7 +44,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pieces, op3_packing, op6_warc, op9_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op5_language, op6_warc, op9_exact_dedup)}
 
 
 #: DuckDB has SHA-1 in hex; base32 reads its 160 bits five at a time.
