@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umitally.llm import exact_dedup, language, packing, pieces, toxicity, warc
+from umitally.llm import exact_dedup, language, packing, pieces, quality, toxicity, warc
 from umitally.llm.common import shared_dir, table
 
 
@@ -29,6 +29,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_words(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op5_language, op6_warc, op9_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op9_exact_dedup)}
 
 
 #: DuckDB has SHA-1 in hex; base32 reads its 160 bits five at a time.
