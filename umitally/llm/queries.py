@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umitally.llm import exact_dedup, language, packing, pieces, quality, toxicity, warc
+from umitally.llm import exact_dedup, language, packing, pieces, quality, simhash, toxicity, warc
 from umitally.llm.common import shared_dir, table
 
 
@@ -43,12 +43,16 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op9_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op7_simhash, op9_exact_dedup)}
 
 
 #: DuckDB has SHA-1 in hex; base32 reads its 160 bits five at a time.
