@@ -14,6 +14,7 @@ repeated doc_id is scored like any other; other columns are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from umitally.llm.common import held_out, labelled_sample, slices, stable_hash
 
-SAMPLE, BITS, LEAST = 6000, 18, 5
+SAMPLE, BITS, LEAST = 4000, 18, 5
 #: Lengths of the beginnings that are features beside the word.
 STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.7
@@ -34,6 +35,11 @@ _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 _ENDS = frozenset(".!?\n")
 #: Words remembered by a Python worker before it starts afresh.
 CACHE = 500_000
+#: Sentences that begin within one block of so many words are one instance, so that a text of one-word exclamations has
+#: no more chances to look toxic than prose of its length.
+BLOCK = 8
+#: The logit of a sentence without evidence. It is held: noisy-or adds up sentences, and a long clean text has hundreds.
+PRIOR = -7.0
 
 
 def buckets(words: list[str]) -> np.ndarray:
@@ -78,6 +84,7 @@ class SentenceModel:
             return np.zeros(0)
         at = np.cumsum(ends)[words]
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        first = first[np.append(True, first[1:] // BLOCK != first[:-1] // BLOCK)]
         return _sigmoid(np.add.reduceat(w[words], first) + self.bias)
 
     def score(self, text: str, cached: _Cached) -> float:
@@ -108,61 +115,68 @@ def train(texts: list[str], labels: np.ndarray, *, steps: int = 120, rate: float
 
     l1 is in documents: a word keeps weight 0 unless the documents that speak for it outweigh about so many.
     """
-    flat, sentence_of, doc_of_sentence, words = [], [], [], {}
-    n_sentences = 0
+    flat, sentence_of, doc_of_sentence, words = array("i"), array("i"), array("i"), {}
+    bounds, n_sentences = [0], 0
     for d, text in enumerate(texts):
-        fresh = True
+        fresh, block, k = True, -1, 0
         for tok in _TOKEN.findall(text.lower()):
             if tok[0] in _ENDS:
                 fresh = True
                 continue
-            if fresh:
+            if fresh and k // BLOCK != block:
                 doc_of_sentence.append(d)
                 n_sentences += 1
-                fresh = False
+            if fresh:
+                fresh, block = False, k // BLOCK
+            k += 1
             flat.append(words.setdefault(tok, len(words)))
             sentence_of.append(n_sentences - 1)
+        bounds.append(len(flat))
     weights = np.zeros(1 << BITS)
     if not n_sentences:
-        return SentenceModel(weights, -9.0)
-    flat, sent, doc_of = np.array(flat), np.array(sentence_of), np.array(doc_of_sentence)
-    named = [features(w) for w in words]
-    feature = buckets([f for fs in named for f in fs])
-    word_of = np.repeat(np.arange(len(named)), [len(fs) for fs in named])
-    # Documents that hold a feature: each (document, word) once, then each (document, feature) once.
-    seen = np.unique(doc_of[sent] * len(named) + flat)
-    starts = np.append(0, np.cumsum(np.bincount(word_of, minlength=len(named))))
-    size = np.diff(starts)[seen % len(named)]
-    at = np.repeat(starts[seen % len(named)] - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
-    pairs = np.unique(np.repeat(seen // len(named), size) << BITS | feature[at])
-    often = np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS) >= LEAST
+        return SentenceModel(weights, PRIOR)
+    flat, sent, doc_of = (np.frombuffer(x, np.int32) for x in (flat, sentence_of, doc_of_sentence))
+    starts, feature = array("i", [0]), []
+    known, n_words = list(words), len(words)
+    del words
+    for at in range(0, n_words, 10_000):
+        named = [features(x) for x in known[at : at + 10_000]]
+        feature.append(buckets([f for fs in named for f in fs]).astype(np.int32))
+        for fs in named:
+            starts.append(starts[-1] + len(fs))
+    del known
+    feature, starts = np.concatenate(feature), np.frombuffer(starts, np.int32)
+    documents = np.zeros(1 << BITS, np.int32)
+    for x, y in zip(bounds, bounds[1:], strict=False):
+        own = np.unique(flat[x:y])
+        n = starts[own + 1] - starts[own]
+        documents[np.unique(feature[np.repeat(starts[own] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())] if len(own) else own)] += 1
+    often = documents >= LEAST
     used = np.flatnonzero(often)
-    column = np.full(1 << BITS, -1)
+    column = np.full(1 << BITS, -1, np.int32)
     column[used] = np.arange(len(used))
     # Words without a frequent feature have no part in the sums.
-    word_of, feature = word_of[often[feature]], column[feature[often[feature]]]
-    live = np.bincount(word_of, minlength=len(named)) > 0
+    word_of = np.repeat(np.arange(n_words, dtype=np.int32), np.diff(starts))[often[feature]]
+    feature = column[feature[often[feature]]]
+    live = np.bincount(word_of, minlength=n_words) > 0
     sent, flat = sent[live[flat]], flat[live[flat]]
-    w, b = np.zeros(len(used)), -6.0
+    w, b = np.zeros(len(used)), PRIOR
     y = labels.astype(float)
     cost = np.where(y == 1, min(30.0, 3 * len(y) / max(1.0, 2 * y.sum())), 1.0) / len(y)
-    m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
+    m, v = np.zeros(len(used)), np.zeros(len(used))
     for t in range(1, steps + 1):
-        z = np.bincount(sent, np.bincount(word_of, w[feature], len(named))[flat], n_sentences) + b
+        z = np.bincount(sent, np.bincount(word_of, w[feature], n_words)[flat], n_sentences) + b
         p = _sigmoid(z)
         clean = np.bincount(doc_of, np.log1p(-np.minimum(p, 1 - 1e-9)), len(texts))  # log of the chance that no sentence is toxic
         doc = -np.expm1(clean)
         # d loss / d z_s: (p_s) for clean documents, -p_s * (1 - doc) / doc for toxic ones
         factor = np.where(y == 1, -np.exp(clean) / np.maximum(doc, 1e-9), 1.0) * cost
         g = factor[doc_of] * p
-        gw = np.bincount(feature, np.bincount(flat, g[sent], len(named))[word_of], len(used))
-        gb = g.sum()
+        gw = np.bincount(feature, np.bincount(flat, g[sent], n_words)[word_of], len(used))
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
-        mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         step = rate / (np.sqrt(v / (1 - 0.99**t)) + 1e-5)
         w = w - step * m / (1 - 0.9**t)
         w = np.sign(w) * np.maximum(np.abs(w) - step * l1 / len(y), 0)
-        b -= rate * mb / (1 - 0.9**t) / (np.sqrt(vb / (1 - 0.99**t)) + 1e-5)
     weights[used] = w
     return SentenceModel(weights.astype(np.float32), float(b))
 
