@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umitally.llm import exact_dedup, language, packing, pieces, quality, simhash, toxicity, warc
+from umitally.llm import chat, exact_dedup, language, packing, pieces, quality, simhash, toxicity, warc
 from umitally.llm.common import shared_dir, table
 
 
@@ -47,12 +47,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_edits(table(spark, sf_dir, "documents"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.messages(table(spark, sf_dir, "conversations"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op7_simhash, op9_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op7_simhash, op8_chat, op9_exact_dedup)}
 
 
 #: DuckDB has SHA-1 in hex; base32 reads its 160 bits five at a time.
@@ -67,6 +71,14 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM b
 """
 
+#: The conversations of the tables hold no tool use, so all their messages are plain; tests cover calls and results.
+OP8_SQL = r"""
+SELECT conv_id, turn, turn AS anchor_turn, 0 AS step, coalesce(role, 'unknown') AS role, 'message' AS kind, NULL::VARCHAR AS call_ids,
+       0 AS linked, NULL::VARCHAR AS problems,
+       '{"role":' || to_json(coalesce(role, 'unknown')) || ',"content":' || to_json(coalesce(text, '')) || '}' AS json
+FROM conversations
+"""
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
 SELECT doc_id,
@@ -79,4 +91,4 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op6_warc": OP6_SQL, "op8_chat": OP8_SQL, "op9_exact_dedup": OP9_SQL}
