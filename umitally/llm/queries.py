@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umitally.llm import chat, exact_dedup, language, packing, pieces, quality, simhash, toxicity, warc
+from umitally.llm import chat, exact_dedup, jaccard, language, packing, pieces, quality, simhash, toxicity, warc
 from umitally.llm.common import shared_dir, table
 
 
@@ -55,8 +55,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op7_simhash, op8_chat, op9_exact_dedup)}
+    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op7_simhash, op8_chat, op9_exact_dedup, op10_jaccard)}
 
 
 #: DuckDB has SHA-1 in hex; base32 reads its 160 bits five at a time.
