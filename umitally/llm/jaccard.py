@@ -369,3 +369,14 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     least = named.groupBy("root").agg(F.min("least").alias("component"))
     of_set = named.select("sid", "root").join(least, "root").select("sid", "component")
     return rows.join(of_set, "sid", "left").select("doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+
+
+def dedup_rows(docs: DataFrame) -> DataFrame:
+    """The rows that stay, with all their columns: of each component the row with the smallest doc_id.
+
+    Rows without shingles stay. Only what goes is joined to the rows, and it is ids alone; of rows that repeat the id
+    that stays all do, as exact deduplication comes before.
+    """
+    found = jaccard_classes(docs)
+    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti")
