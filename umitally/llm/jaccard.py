@@ -15,8 +15,11 @@ which is a Jaccard distance of at most a quarter.
   threshold of a pivot are linked to it. The documents that components still tell apart go to the Voronoi region of
   their nearest pivot, are replicated to every region whose pivot is at most twice the threshold farther (the
   triangle inequality), and are compared where their distances to all pivots differ by at most the threshold.
-* Comparison. A 256-bucket count vector of each set bounds the difference of two sets from below; pairs that pass it are
-  compared in full. Of each document first one partner is compared, then the pairs that lie in different components.
+  A pair that meets in a frequent region and shared a rare shingle has met in its region too, so here two sets can have
+  no more in common than either holds beside its rare shingles, which excludes most pairs that cannot link.
+* Comparison. Bit k of a set's parity vector tells whether an odd number of its shingles fall into bucket k, so two vectors
+  differ in no more bits than the sets in shingles: a lower bound of their distance. Pairs that pass it are compared in
+  full. Of each document first one partner is compared, then the pairs that lie in different components.
 
 No pair is dropped, capped or sampled. Copies collapse before anything is shuffled and are one set throughout; pairs
 inside a component that is already known are not compared, as they change no component.
@@ -43,8 +46,8 @@ from umitally.llm.components import components
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Counters of the corpus sketch (8 MB whatever the corpus), and its blocks, which are summed apart.
 COUNTERS, COUNTER_BLOCKS = 1 << 21, 64
-#: Buckets of a set's count vector; second pivots of a frequent shingle's region.
-BUCKETS, PIVOTS = 256, 4
+#: Bits of a set's parity vector for each shingle, at least (a power of two in all); second pivots of a frequent region.
+BITS_EACH, PIVOTS = 4, 4
 #: Ids up to this number are broadcast to fetch their texts; beyond, the texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 CACHE = 400_000
@@ -126,15 +129,20 @@ def frequency_classes(counts: np.ndarray) -> np.ndarray:
     return np.where(rare, 0, np.log2(np.maximum(counts, 1)) + 1).astype(np.uint8)
 
 
-def bucket_counts(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
+def parities(s: np.ndarray, bits: int | None = None) -> bytes:
+    """The parity vector, 2^k >= BITS_EACH * n bits; the vector of half its length is the exclusive or of its halves."""
+    bits = bits or max(256, 1 << (BITS_EACH * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").tobytes()
 
 
-_WINDOW_SCHEMA = "n bigint, sid bigint, buckets binary, rare array<bigint>, frequent array<bigint>"
+#: Words of the short parity vector that conditions of joins use.
+SHORT = 16
+_WINDOW_SCHEMA = "n bigint, sid bigint, parity binary, rare array<bigint>, frequent array<bigint>, short array<bigint>"
 
 
 def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """doc_id, n, sid of every row; the first row of a set in a batch also has its count vector and window."""
+    """doc_id, n, sid of every row; the first row of a set in a batch also has its parity vector and window."""
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(classes)
@@ -142,14 +150,14 @@ def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached, of = _WordHash(), shared.value
         for batch in slices(batches, "text", 4 << 20):
-            seen, n, sid, buckets, rare, frequent = set(), [], [], [], [], []
+            seen, n, sid, parity, rare, frequent, short = set(), [], [], [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingles(t, cached)
                 n.append(len(s))
                 key = set_id(s) if len(s) else None
                 sid.append(key)
                 if key is None or key in seen:
-                    buckets.append(None), rare.append(None), frequent.append(None)
+                    parity.append(None), rare.append(None), frequent.append(None), short.append(None)
                     continue
                 seen.add(key)
                 c = of[_sketch_slots(s)]
@@ -157,13 +165,14 @@ def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                 w = window(len(s))
                 first = s[c == 0]
                 if len(first) >= w:
-                    rare.append(first[:w].view(np.int64)), frequent.append(None)
+                    rare.append(first[:w].view(np.int64)), frequent.append(None), short.append(None)
                 else:
                     order = np.argsort(c, kind="stable")[len(first) : w]
                     rare.append(first.view(np.int64)), frequent.append(s[order].view(np.int64))
-                buckets.append(bucket_counts(s))
+                    short.append(np.frombuffer(parities(s, 64 * SHORT), np.int64))
+                parity.append(parities(s))
             lists = lambda x: pa.array(x, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n": pa.array(n, pa.int64()), "sid": pa.array(sid, pa.int64()), "buckets": pa.array(buckets, pa.binary()), "rare": lists(rare), "frequent": lists(frequent)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n": pa.array(n, pa.int64()), "sid": pa.array(sid, pa.int64()), "parity": pa.array(parity, pa.binary()), "rare": lists(rare), "frequent": lists(frequent), "short": lists(short)})
 
     return rows.mapInArrow(run, f"doc_id {kind}, {_WINDOW_SCHEMA}")
 
@@ -223,22 +232,27 @@ def _region_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _entries(found: DataFrame, column: str, offset: bool) -> DataFrame:
     place = F.col("pos") + F.size("rare") if offset else F.col("pos")
-    return found.where(f"{column} IS NOT NULL").select("sid", "n", "rare", F.posexplode(column).alias("pos", "token")).select("token", "sid", "n", place.cast("bigint").alias("place"))
-
-
-def _buckets_fit(na: pd.Series, nb: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-    """Bucket-wise differences bound |x ^ y| from below, and linked sets have 700 |x ^ y| <= 100 (|x| + |y|) at 75 %."""
-    x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), BUCKETS).astype(np.int16)
-    y = np.frombuffer(b"".join(b), np.uint8).reshape(len(b), BUCKETS)
-    apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
+    return found.where(f"{column} IS NOT NULL").select("sid", "n", "rare", "short", F.posexplode(column).alias("pos", "token")).select("token", "sid", "n", place.cast("bigint").alias("place"), (F.col("n") - F.size("rare")).alias("rest"), "short")
+
+
+def _parities_fit(na: pd.Series, nb: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether sets of these sizes that differ in at least as many shingles as their vectors do in bits can link."""
+    apart = np.empty(len(a), np.int64)
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+        while len(x) != len(y):
+            if len(x) < len(y):
+                x, y = y, x
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        apart[i] = np.bitwise_count(x ^ y).sum()
     total = (na + nb).to_numpy()
     return pd.Series((DENOMINATOR + NUMERATOR) * (total - apart) >= 2 * NUMERATOR * total)
 
 
 def _may_link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) whose count vectors let them link."""
-    of = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("buckets").alias(f"v{x}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").where(F.pandas_udf(_buckets_fit, "boolean")("na", "nb", "va", "vb")).select("a", "b")
+    """pairs (a, b) whose parity vectors let them link."""
+    of = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"v{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(F.pandas_udf(_parities_fit, "boolean")("na", "nb", "va", "vb")).select("a", "b")
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +282,7 @@ _LINKED = f"{DENOMINATOR} * common >= {NUMERATOR} * total"
 
 def _contents(docs: DataFrame, members: DataFrame, sids: DataFrame) -> DataFrame:
     """The shingles of the given sets, from the text of one document of each; written, as several joins read it."""
-    wanted = members.where("buckets IS NOT NULL").join(sids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    wanted = members.where("parity IS NOT NULL").join(sids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     ids = write_table(wanted.select("doc_id").where("doc_id IS NOT NULL").distinct())
     few = ids.count() <= BROADCAST_IDS
     rows = docs.select("doc_id", "text")
@@ -312,22 +326,25 @@ def _boundary_pairs(entries: DataFrame, pivots: DataFrame, distances: DataFrame,
     labelled = entries.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     apart = labelled.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("token")
     rows = labelled.join(apart, "token", "left_semi")
-    per = rows.join(pivots, "token").select("token", "sid", "n", "place", "root", F.explode("pivots").alias("pivot"))
+    per = rows.join(pivots, "token").select("token", "sid", "n", "place", "rest", "short", "root", F.explode("pivots").alias("pivot"))
     far = F.when(F.col("sid") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))
     measured = per.join(distances.select(F.col("a").alias("sid"), F.col("b").alias("pivot"), "distance"), ["sid", "pivot"], "left").withColumn("d", far)
     # A document whose size excludes a link with a pivot has no distance to it and is replicated to all regions.
     cells = measured.groupBy("token", "sid").agg(
-        F.first("n").alias("n"), F.first("place").alias("place"), F.first("root").alias("root"),
+        F.first("n").alias("n"), F.first("place").alias("place"), F.first("rest").alias("rest"), F.first("short").alias("short"), F.first("root").alias("root"),
         F.min(F.struct(F.coalesce("d", F.lit(9.0)).alias("near"), "pivot")).alias("home"),
         F.count(F.when(F.col("d").isNull(), 1)).alias("unknown"), F.collect_list(F.struct("pivot", "d")).alias("all"),
     )
     eps = 1 - NUMERATOR / DENOMINATOR + 1e-9
-    side = lambda x: [F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("place").alias(f"i{x}"), F.col("root").alias(f"r{x}"), F.map_from_entries("all").alias(f"d{x}")]
+    side = lambda x: [F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("place").alias(f"i{x}"), F.col("rest").alias(f"s{x}"), F.col("short").alias(f"v{x}"), F.col("root").alias(f"r{x}"), F.map_from_entries("all").alias(f"d{x}")]
     home = cells.select("token", F.col("home.pivot").alias("cell"), *side("a"))
     replica = cells.select("token", F.explode("all").alias("at"), F.col("home.near").alias("near"), "unknown", *side("b"))
     replica = replica.where((F.col("unknown") > 0) | (F.col("at.d") <= F.col("near") + 2 * eps)).withColumn("cell", F.col("at.pivot")).drop("at", "near", "unknown")
     close = F.forall(F.map_keys("da"), lambda p: F.coalesce(F.abs(F.col("da")[p] - F.col("db")[p]) <= eps, F.lit(True)))
     sizes = (DENOMINATOR * F.least("na", "nb") >= NUMERATOR * F.greatest("na", "nb")) & ((DENOMINATOR + NUMERATOR) * (F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))) >= NUMERATOR * (F.col("na") + F.col("nb")))
+    sizes = sizes & ((DENOMINATOR + NUMERATOR) * F.least("sa", "sb") >= NUMERATOR * (F.col("na") + F.col("nb")))
+    apart = sum(F.bit_count(F.get("va", F.lit(k)).bitwiseXOR(F.get("vb", F.lit(k)))) for k in range(SHORT))
+    sizes = sizes & ((DENOMINATOR + NUMERATOR) * (F.col("na") + F.col("nb") - apart) >= 2 * NUMERATOR * (F.col("na") + F.col("nb")))
     met = home.join(replica, ["token", "cell"]).where((F.col("ra") != F.col("rb")) & (F.col("a") != F.col("b")) & sizes & close)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -336,8 +353,8 @@ def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, labels): doc_id, n, sid of every row; node, root of every set that links with another."""
     classes = frequency_classes(frequency_sketch(docs))
     members = write_table(windows(docs, classes))
-    sets = write_table(members.where("buckets IS NOT NULL").select("sid", "n", "buckets").dropDuplicates(["sid"]))
-    rare = _entries(members, "rare", False).repartition("token").sortWithinPartitions("token")
+    sets = write_table(members.where("parity IS NOT NULL").select("sid", "n", "parity").dropDuplicates(["sid"]))
+    rare = _entries(members, "rare", False).drop("rest", "short").repartition("token").sortWithinPartitions("token")
     met = rare.mapInArrow(_region_pairs, "a bigint, b bigint").distinct()
     frequent = write_table(_entries(members, "frequent", True).dropDuplicates(["token", "sid"]))
     pivots = write_table(_region_pivots(frequent))
@@ -354,7 +371,8 @@ def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     distances = compared.select("a", "b", (1 - F.col("common") / F.col("total")).alias("distance"))
     links = compared.where(_LINKED).select("a", "b")
     labels = components(links)
-    rest = _with_labels(near.unionByName(_boundary_pairs(frequent, pivots, distances, labels)).distinct(), labels)
+    boundary = _may_link(_boundary_pairs(frequent, pivots, distances, labels), sets)
+    rest = _with_labels(near.unionByName(boundary).distinct(), labels)
     more = write_table(compare(rest, contents).where(_LINKED).select("a", "b"))
     if more.limit(1).count():
         labels = components(links.unionByName(more))
