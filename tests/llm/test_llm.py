@@ -311,6 +311,13 @@ def test_simhash_edits(spark, documents):
         assert seen.setdefault(text[i], r.fingerprint) == r.fingerprint
         assert abs(r.near_edited - distance(r.fingerprint, r.edited_fingerprint)) < 1e-12 and abs(r.near_next - distance(r.fingerprint, got[nxt].fingerprint)) < 1e-12
     assert np.mean([r.near_edited > r.near_next for r in got.values()]) > 0.98
+    prints = {int(r.fingerprint, 16): min(q.doc_id for q in got.values() if q.fingerprint == r.fingerprint) for r in got.values()}
+    for i, r in got.items():
+        if i % 50:
+            assert r.n_near is None and r.nearest_id is None
+            continue
+        near = [(d, least) for fp, least in prints.items() if 0 < (d := (fp ^ int(r.fingerprint, 16)).bit_count()) <= simhash.RADIUS]
+        assert (r.n_near, r.nearest_id) == (len(near), min(near, default=(None, None))[1])
 
 
 def test_simhash_votes(spark):
@@ -327,15 +334,15 @@ def test_simhash_votes(spark):
         assert got[k] == "".join(f"{w:08x}" for w in words)
 
 
-@pytest.mark.parametrize("radius", [0, 1, 3, 5])
-def test_simhash_neighbours(spark, radius):
+@pytest.mark.parametrize(("radius", "blocks"), [(0, None), (1, 3), (3, None), (3, 6), (5, 6)])
+def test_simhash_neighbours(spark, radius, blocks):
     rng = random.Random(radius)
     base = [rng.getrandbits(128) for _ in range(20)]
     flip = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(128), n))
     all_ = [f"{x:032x}" for b in base for x in (b, b, *(flip(b, n) for n in range(1, 7)))]
     fps = spark.createDataFrame([(x,) for x in all_], "fingerprint string")
     want = {(a, b, (int(a, 16) ^ int(b, 16)).bit_count()) for a in all_ for b in all_ if (int(a, 16) ^ int(b, 16)).bit_count() <= radius}
-    assert {tuple(r) for r in simhash.neighbours(fps, fps, radius).collect()} == want
+    assert {tuple(r) for r in simhash.neighbours(fps, fps, radius, blocks).collect()} == want
 
 
 def test_simhash_edges(spark, edge, empty):

@@ -2,35 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_dirs: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A fresh path below spark.checkpoint.dir, which driver and executors share.
-
-    Only where that setting is absent and the master is local[*] (tests) is a folder of this machine used.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        app = spark.sparkContext.applicationId
-        if app not in _own_dirs:
-            _own_dirs[app] = tempfile.mkdtemp(prefix="umitally-")
-            atexit.register(shutil.rmtree, _own_dirs[app], ignore_errors=True)
-        base = "file://" + _own_dirs[app]
-    return f"{base.rstrip('/')}/umitally/{uuid.uuid4().hex}"
+from umitally.sources.workdir import shared_dir
 
 
 def write_table(df: DataFrame, *, compression: str = "zstd") -> DataFrame:
@@ -81,8 +61,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, modulus:
 
 def stable_hash(words: list[str]) -> np.ndarray:
     """A stable 64-bit hash of each string, whatever process computes it (xxhash of the UTF-8 bytes)."""
-    import xxhash
-
     digest = xxhash.xxh3_64_intdigest
     return np.fromiter((digest(w) for w in words), np.uint64, len(words))
 

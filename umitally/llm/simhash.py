@@ -5,9 +5,10 @@ longer pairs are rarer. Two 64-bit hashes of a term vote with its weight on 128
 for it outweigh those against. The votes of two bits, 32 apart, share one 64-bit sum, so 64 sums serve 128 bits and run in
 generated code.
 
-Neighbours within a Hamming radius r < BLOCKS are found by permuted block tables: a fingerprint is cut into BLOCKS blocks
-of equal width, and two that differ in at most r bits agree in at least BLOCKS - r of them. A table for each choice of so
-many blocks, keyed by their bits, therefore holds every neighbour, and candidates are compared in full.
+Neighbours within a Hamming radius r are found by permuted block tables: a fingerprint is cut into b > r blocks of about
+equal width, and two that differ in at most r bits agree in at least b - r of them. A table for each choice of so many
+blocks, keyed by their bits, therefore holds every neighbour, and candidates are compared in full. b = r + 1 makes r + 1
+tables keyed by 128 / (r + 1) bits; more blocks make more tables with longer keys, for corpora where such keys are crowded.
 
 Defined cases: null text is empty; a text without words has the fingerprint 0; a text of one word has that word as its only
 term; rows with one id and one text are one document; null ids come last in descending order; an empty table gives no rows;
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from umitally.llm.common import write_table
 
 BITS, LANES = 128, 32
-#: Blocks of the permuted tables.
-BLOCKS = 6
+#: Hamming radius of the search, and every how many ids one is a query of with_edits.
+RADIUS, QUERY_EVERY = 3, 50
 
 
 def terms(text: Column) -> Column:
@@ -100,8 +101,10 @@ def following(ids: DataFrame) -> DataFrame:
 def with_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document and of its edited text, in which the last third is the next document's beginning.
 
-    Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. Whole texts are
-    shuffled once, by key; the beginnings of the next documents, a third at most, once more. The votes need no shuffle.
+    Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and, for ids that
+    QUERY_EVERY divides (else null), n_near and nearest_id: how many other fingerprints of all documents lie within RADIUS,
+    and the smallest doc_id with the nearest of them. Whole texts are shuffled once, by key; the beginnings of the next
+    documents, a third at most, once more. The votes need no shuffle.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", text.alias("text")).withColumn("_key", F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5("text")))))
@@ -120,22 +123,27 @@ def with_edits(docs: DataFrame) -> DataFrame:
     )
     found = write_table(pair)
     of_next = found.select(F.col("_key").alias("_next"), F.col("_fp").alias("_next_fp"))
-    joined = order.join(found, "_key").join(of_next, "_next")
-    result = joined.select(
-        "_key", "doc_id", F.col("_n").cast("bigint").alias("n_chars"), "edited_sha256", as_hex(F.col("_fp")).alias("fingerprint"), as_hex(F.col("_edited")).alias("edited_fingerprint"),
+    named = order.join(found, "_key").withColumn("fingerprint", as_hex(F.col("_fp")))
+    asks = F.coalesce(F.col("doc_id") % QUERY_EVERY == 0, F.lit(False))
+    distinct = write_table(named.groupBy("fingerprint").agg(F.min("doc_id").alias("_least"), F.max(asks).alias("_asks")))
+    near = neighbours(distinct.where("_asks"), distinct).where("fingerprint <> near").join(distinct.select(F.col("fingerprint").alias("near"), "_least"), "near")
+    near = near.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("_n_near"), F.min(F.struct("distance", "_least"))["_least"].alias("_nearest"))
+    result = named.join(of_next, "_next").join(near, "fingerprint", "left").select(
+        "_key", "doc_id", F.col("_n").cast("bigint").alias("n_chars"), "edited_sha256", "fingerprint", as_hex(F.col("_edited")).alias("edited_fingerprint"),
         likeness(F.col("_fp"), F.col("_edited")).alias("near_edited"), likeness(F.col("_fp"), F.col("_next_fp")).alias("near_next"),
+        F.when(asks, F.coalesce("_n_near", F.lit(0).cast("bigint"))).alias("n_near"), F.when(asks, F.col("_nearest")).alias("nearest_id"),
     )
     copies = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_copies"))
     return result.join(copies, "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).drop("_key", "_copies", "_copy")
 
 
-def block_tables(fps: DataFrame, radius: int, fp_col: str = "fingerprint") -> DataFrame:
-    """fps with `_table` and `_bits`: a row for each choice of BLOCKS - radius blocks of the hexadecimal fingerprint."""
-    if not 0 <= radius < BLOCKS:
-        raise ValueError(f"radius must be from 0 to {BLOCKS - 1}")
-    edges = [BITS // 4 * k // BLOCKS for k in range(BLOCKS + 1)]
-    block = [F.substring(fp_col, edges[k] + 1, edges[k + 1] - edges[k]) for k in range(BLOCKS)]
-    keys = [F.concat(*(block[k] for k in chosen)) for chosen in combinations(range(BLOCKS), BLOCKS - radius)]
+def block_tables(fps: DataFrame, radius: int, blocks: int, fp_col: str = "fingerprint") -> DataFrame:
+    """fps with `_table` and `_bits`: a row for each choice of blocks - radius blocks of the hexadecimal fingerprint."""
+    if not 0 <= radius < blocks <= BITS // 4:
+        raise ValueError("radius must be less than the number of blocks")
+    edges = [BITS // 4 * k // blocks for k in range(blocks + 1)]
+    block = [F.substring(fp_col, edges[k] + 1, edges[k + 1] - edges[k]) for k in range(blocks)]
+    keys = [F.concat(*(block[k] for k in chosen)) for chosen in combinations(range(blocks), blocks - radius)]
     return fps.select("*", F.posexplode(F.array(*keys)).alias("_table", "_bits"))
 
 
@@ -144,12 +152,13 @@ def _distance(a: str, b: str) -> Column:
     return sum(F.bit_count(x.bitwiseXOR(y)) for x, y in zip(words[:4], words[4:], strict=True))
 
 
-def neighbours(queries: DataFrame, fps: DataFrame, radius: int = 3) -> DataFrame:
+def neighbours(queries: DataFrame, fps: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """Distinct fingerprints of queries with every distinct fingerprint of fps within radius: fingerprint, near, distance.
 
     Copies collapse before the tables are joined, so a group of equal fingerprints is one row whatever its size.
     """
-    q = block_tables(queries.select("fingerprint").distinct(), radius)
-    t = block_tables(fps.select(F.col("fingerprint").alias("near")).distinct(), radius, "near")
+    blocks = blocks or radius + 1
+    q = block_tables(queries.select("fingerprint").distinct(), radius, blocks)
+    t = block_tables(fps.select(F.col("fingerprint").alias("near")).distinct(), radius, blocks, "near")
     met = q.join(t, ["_table", "_bits"]).where(_distance("fingerprint", "near") <= radius)
     return met.select("fingerprint", "near", _distance("fingerprint", "near").cast("int").alias("distance")).distinct()
