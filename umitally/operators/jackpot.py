@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from umitally.operators.tally import KEY, barcode_summary
+from umitally.operators.tally import KEY
+
+
+def _ratio(up: Column, mass: Column, total: Column) -> Column:
+    """The sum of x m (N + 1) is the mass times N + 1, which the numerator lacks yet."""
+    numerator = (up - (mass * (total + 1)).cast("decimal(38,0)")).cast("double")
+    return F.when(total.isNull(), F.lit(float("nan"))).when(mass == 0, F.lit(0.0)).otherwise(numerator / (total * mass).cast("double"))
 
 
 def gini(counts: DataFrame, column: str = "n") -> DataFrame:
@@ -24,9 +30,7 @@ def gini(counts: DataFrame, column: str = "n") -> DataFrame:
         F.sum((F.col("x") * F.col("m")).cast(big)).cast(big).alias("mass"),
         F.sum((F.col("x") * (2 * F.col("m") * F.col("c") + F.col("m") * (F.col("m") + 1)).cast(big)).cast(big)).cast(big).alias("up"),
     )
-    # sum of x m (N + 1) is the mass times N + 1
-    up = F.col("up") - (F.col("mass") * (F.col("total") + 1)).cast(big)
-    return sums.select(F.when(F.col("total").isNull(), F.lit(float("nan"))).when(F.col("mass") == 0, F.lit(0.0)).otherwise(up.cast("double") / (F.col("total") * F.col("mass")).cast("double")).alias("gini"))
+    return sums.select(_ratio(F.col("up"), F.col("mass"), F.col("total")).alias("gini"))
 
 
 def gini_capped(tuples: DataFrame, cap: int) -> DataFrame:
@@ -39,16 +43,30 @@ def gini_capped(tuples: DataFrame, cap: int) -> DataFrame:
 def run_summary(parsed: DataFrame, *, gini_cap: int | None = None) -> DataFrame:
     """One row: n_total, n_parsed, n_failed, n_tuples, n_barcodes, gini, mean_reads, max_reads, pct_parsed, pct_failed.
 
-    Reads are grouped once, rejects as one more group; everything else is computed from the groups, whose shuffle the
-    branches share.
+    One chain of groupings, so that reads are parsed once: tuples (rejects are one more group), then barcodes with the
+    histogram of their tuples' counts, then the histogram of all counts, from which every figure follows. Only the last
+    meets in one task; see gini().
     """
-    grouped = parsed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
-    tuples = grouped.where("barcode IS NOT NULL")
-    reads = grouped.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_total"), F.coalesce(F.sum(F.when(F.col("barcode").isNotNull(), F.col("n"))), F.lit(0)).alias("n_parsed"))
-    of_tuples = barcode_summary(tuples).agg(F.coalesce(F.sum("num_unique_umis"), F.lit(0)).alias("n_tuples"), F.count(F.lit(1)).alias("n_barcodes"))
-    most = tuples.agg(F.coalesce(F.max("n"), F.lit(0)).cast("bigint").alias("max_reads"), F.coalesce(F.avg("n"), F.lit(0.0)).alias("mean_reads"))
-    g = gini(tuples) if gini_cap is None else gini_capped(tuples, gini_cap)
-    one = reads.crossJoin(F.broadcast(of_tuples)).crossJoin(F.broadcast(most)).crossJoin(F.broadcast(g))  # single rows
+    big = "decimal(38,0)"
+    tuples = parsed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+    if gini_cap is not None:
+        tuples = tuples.persist()
+    by_count = tuples.groupBy("barcode", "n").agg(F.count(F.lit(1)).alias("m"))
+    # A barcode's smallest count stands for the barcode, so that summing the marks counts barcodes.
+    marked = by_count.groupBy("barcode").agg(F.array_sort(F.collect_list(F.struct("n", "m"))).alias("h")).select(F.col("barcode").isNotNull().alias("ok"), F.posexplode("h").alias("pos", "at"))
+    hist = marked.groupBy("ok", F.col("at.n").cast(big).alias("x")).agg(F.sum("at.m").cast(big).alias("m"), F.sum((F.col("pos") == 0).cast("long")).alias("b"))
+    run = hist.withColumn("c", (F.sum(F.when(F.col("ok"), F.col("m"))).over(W.orderBy("x", "ok")) - F.col("m")).cast(big))
+    of = lambda e: F.sum(F.when(F.col("ok"), e))
+    sums = run.agg(
+        F.sum((F.col("x") * F.col("m")).cast(big)).cast(big).alias("reads"), of((F.col("x") * F.col("m")).cast(big)).cast(big).alias("mass"),
+        of(F.col("m")).cast(big).alias("total"), of(F.col("b")).alias("b"), F.max(F.when(F.col("ok"), F.col("x"))).alias("most"),
+        of((F.col("x") * (2 * F.col("m") * F.col("c") + F.col("m") * (F.col("m") + 1)).cast(big)).cast(big)).cast(big).alias("up"),
+    )
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    exact = _ratio(F.col("up"), F.col("mass"), F.col("total")).alias("gini")
+    one = sums.select(count("reads").alias("n_total"), count("mass").alias("n_parsed"), count("total").alias("n_tuples"), count("b").alias("n_barcodes"), exact, F.coalesce(F.col("mass").cast("double") / F.col("total").cast("double"), F.lit(0.0)).alias("mean_reads"), count("most").alias("max_reads"))
+    if gini_cap is not None:
+        one = one.drop("gini").crossJoin(F.broadcast(gini_capped(tuples.where("barcode IS NOT NULL"), gini_cap)))  # single rows
     failed = F.col("n_total") - F.col("n_parsed")
     share = lambda x: F.when(F.col("n_total") > 0, 100.0 * x / F.col("n_total")).otherwise(F.lit(0.0))
     return one.select("n_total", "n_parsed", failed.alias("n_failed"), "n_tuples", "n_barcodes", "gini", "mean_reads", "max_reads", share(F.col("n_parsed")).alias("pct_parsed"), share(failed).alias("pct_failed"))

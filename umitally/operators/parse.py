@@ -15,7 +15,8 @@ def parse_reads(reads: DataFrame, layout: ReadLayout, *, seq_col: str = "seq") -
     """reads with umi5, barcode, umi3, which are all null where a read is rejected.
 
     One Arrow UDF finds the places, five integers a read; the strings are cut from the read in the JVM. A null read is
-    rejected.
+    rejected. The UDF is declared nondeterministic, as the optimizer would otherwise copy it into every filter on the
+    result and search each read once more for each.
     """
 
     @F.pandas_udf("struct<umi5:int,inner5:int,barcode:int,umi3:int,end:int>")
@@ -23,6 +24,7 @@ def parse_reads(reads: DataFrame, layout: ReadLayout, *, seq_col: str = "seq") -
         found = match.parse(["" if s is None else s for s in seqs], layout).astype(np.int32)
         return pd.DataFrame(found, columns=["umi5", "inner5", "barcode", "umi3", "end"])
 
+    places = places.asNondeterministic()
     at = F.col("_at")
     ok = (at["umi5"] >= 0) & F.col(seq_col).isNotNull()
     cut = lambda a, b: F.when(ok, F.substring(seq_col, a + 1, b - a))
