@@ -44,13 +44,15 @@ from umitally.llm.common import slices, write_table
 from umitally.llm.components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
-#: Counters of the corpus sketch (8 MB whatever the corpus), and its blocks, which are summed apart.
-COUNTERS, COUNTER_BLOCKS = 1 << 21, 64
+#: Counters of the corpus sketch (16 MB whatever the corpus), and its blocks, which are summed apart.
+COUNTERS, COUNTER_BLOCKS = 1 << 22, 64
+#: Classes under this are rare: chance alone may explain a counter. They tell counts in steps of a standard deviation.
+FREQUENT = 8
 #: Bits of a set's parity vector for each shingle, at least (a power of two in all); second pivots of a frequent region.
 BITS_EACH, PIVOTS = 4, 4
 #: Ids up to this number are broadcast to fetch their texts; beyond, the texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-CACHE = 400_000
+CACHE = 200_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _MIX, _HALF = np.uint64(0xD6E8FEB86659FD93), np.uint64(32)
 
@@ -103,14 +105,14 @@ def frequency_sketch(docs: DataFrame) -> np.ndarray:
                 s = shingles(t, cached)
                 found[set_id(s)] = s  # copies in a batch count once
             total += np.bincount(_sketch_slots(np.concatenate(list(found.values()))), minlength=COUNTERS).astype(np.uint32)
-        parts = np.split(total, COUNTER_BLOCKS)
+        parts = np.split(np.minimum(total, 65535).astype(np.uint16), COUNTER_BLOCKS)  # one task's count of 65535 is frequent in any case
         yield pa.RecordBatch.from_pydict({"block": pa.array(range(COUNTER_BLOCKS), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for b, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[b] = total.get(b, 0) + np.frombuffer(c, np.uint32).astype(np.uint64)
+                total[b] = total.get(b, 0) + np.frombuffer(c, np.uint16).astype(np.uint64)
         yield pa.RecordBatch.from_pydict({"block": pa.array(list(total), pa.int32()), "counts": pa.array([np.minimum(t, 2**32 - 1).astype(np.uint32).tobytes() for t in total.values()], pa.binary())})
 
     kind = "block int, counts binary"
@@ -123,10 +125,13 @@ def frequency_sketch(docs: DataFrame) -> np.ndarray:
 
 
 def frequency_classes(counts: np.ndarray) -> np.ndarray:
-    """0 for slots that chance alone explains (rare shingles), else the logarithm of the count."""
+    """The place of each slot's shingles in the order: by steps of the count's deviation from the usual load, up to six
+    (rare shingles); counts beyond what chance explains by their logarithm (frequent shingles)."""
     load = float(np.median(counts))
-    rare = counts <= load + 6 * np.sqrt(load) + 8
-    return np.where(rare, 0, np.log2(np.maximum(counts, 1)) + 1).astype(np.uint8)
+    sigma = max(1.0, np.sqrt(load))
+    steps = np.clip(np.ceil((counts - load) / sigma) - 1, 0, FREQUENT - 1)
+    rare = counts <= load + 6 * sigma + 8
+    return np.where(rare, steps, np.log2(np.maximum(counts, 1)) + FREQUENT).astype(np.uint8)
 
 
 def parities(s: np.ndarray, bits: int | None = None) -> bytes:
@@ -136,8 +141,8 @@ def parities(s: np.ndarray, bits: int | None = None) -> bytes:
     return np.packbits(odd, bitorder="little").tobytes()
 
 
-#: Words of the short parity vector that conditions of joins use.
-SHORT = 16
+#: Words of the short parity vector, and first frequent shingles of a window, that conditions of joins use.
+SHORT, LEAD = 16, 8
 _WINDOW_SCHEMA = "n bigint, sid bigint, parity binary, rare array<bigint>, frequent array<bigint>, short array<bigint>"
 
 
@@ -162,14 +167,11 @@ def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                 seen.add(key)
                 c = of[_sketch_slots(s)]
                 # Shingles ascend, so a stable sort by class orders by class and hash; only the window is needed.
-                w = window(len(s))
-                first = s[c == 0]
-                if len(first) >= w:
-                    rare.append(first[:w].view(np.int64)), frequent.append(None), short.append(None)
-                else:
-                    order = np.argsort(c, kind="stable")[len(first) : w]
-                    rare.append(first.view(np.int64)), frequent.append(s[order].view(np.int64))
-                    short.append(np.frombuffer(parities(s, 64 * SHORT), np.int64))
+                order = np.argsort(c, kind="stable")[: window(len(s))]
+                first, k = s[order].view(np.int64), int((c[order] < FREQUENT).sum())
+                rare.append(first[:k])
+                frequent.append(first[k:] if k < len(first) else None)
+                short.append(np.frombuffer(parities(s, 64 * SHORT), np.int64) if k < len(first) else None)
                 parity.append(parities(s))
             lists = lambda x: pa.array(x, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n": pa.array(n, pa.int64()), "sid": pa.array(sid, pa.int64()), "parity": pa.array(parity, pa.binary()), "rare": lists(rare), "frequent": lists(frequent), "short": lists(short)})
@@ -232,7 +234,7 @@ def _region_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _entries(found: DataFrame, column: str, offset: bool) -> DataFrame:
     place = F.col("pos") + F.size("rare") if offset else F.col("pos")
-    return found.where(f"{column} IS NOT NULL").select("sid", "n", "rare", "short", F.posexplode(column).alias("pos", "token")).select("token", "sid", "n", place.cast("bigint").alias("place"), (F.col("n") - F.size("rare")).alias("rest"), "short")
+    return found.where(f"{column} IS NOT NULL").select("sid", "n", "rare", "short", "frequent", F.posexplode(column).alias("pos", "token")).select("token", "sid", "n", place.cast("bigint").alias("place"), (F.col("n") - F.size("rare")).alias("rest"), "short", F.slice("frequent", 1, LEAD).alias("lead"))
 
 
 def _parities_fit(na: pd.Series, nb: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
@@ -326,17 +328,17 @@ def _boundary_pairs(entries: DataFrame, pivots: DataFrame, distances: DataFrame,
     labelled = entries.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     apart = labelled.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("token")
     rows = labelled.join(apart, "token", "left_semi")
-    per = rows.join(pivots, "token").select("token", "sid", "n", "place", "rest", "short", "root", F.explode("pivots").alias("pivot"))
+    per = rows.join(pivots, "token").select("token", "sid", "n", "place", "rest", "short", "lead", "root", F.explode("pivots").alias("pivot"))
     far = F.when(F.col("sid") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))
     measured = per.join(distances.select(F.col("a").alias("sid"), F.col("b").alias("pivot"), "distance"), ["sid", "pivot"], "left").withColumn("d", far)
     # A document whose size excludes a link with a pivot has no distance to it and is replicated to all regions.
     cells = measured.groupBy("token", "sid").agg(
-        F.first("n").alias("n"), F.first("place").alias("place"), F.first("rest").alias("rest"), F.first("short").alias("short"), F.first("root").alias("root"),
+        F.first("n").alias("n"), F.first("place").alias("place"), F.first("rest").alias("rest"), F.first("short").alias("short"), F.first("lead").alias("lead"), F.first("root").alias("root"),
         F.min(F.struct(F.coalesce("d", F.lit(9.0)).alias("near"), "pivot")).alias("home"),
         F.count(F.when(F.col("d").isNull(), 1)).alias("unknown"), F.collect_list(F.struct("pivot", "d")).alias("all"),
     )
     eps = 1 - NUMERATOR / DENOMINATOR + 1e-9
-    side = lambda x: [F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("place").alias(f"i{x}"), F.col("rest").alias(f"s{x}"), F.col("short").alias(f"v{x}"), F.col("root").alias(f"r{x}"), F.map_from_entries("all").alias(f"d{x}")]
+    side = lambda x: [F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("place").alias(f"i{x}"), F.col("rest").alias(f"s{x}"), F.col("short").alias(f"v{x}"), F.col("lead").alias(f"f{x}"), F.col("root").alias(f"r{x}"), F.map_from_entries("all").alias(f"d{x}")]
     home = cells.select("token", F.col("home.pivot").alias("cell"), *side("a"))
     replica = cells.select("token", F.explode("all").alias("at"), F.col("home.near").alias("near"), "unknown", *side("b"))
     replica = replica.where((F.col("unknown") > 0) | (F.col("at.d") <= F.col("near") + 2 * eps)).withColumn("cell", F.col("at.pivot")).drop("at", "near", "unknown")
@@ -345,7 +347,9 @@ def _boundary_pairs(entries: DataFrame, pivots: DataFrame, distances: DataFrame,
     sizes = sizes & ((DENOMINATOR + NUMERATOR) * F.least("sa", "sb") >= NUMERATOR * (F.col("na") + F.col("nb")))
     apart = sum(F.bit_count(F.get("va", F.lit(k)).bitwiseXOR(F.get("vb", F.lit(k)))) for k in range(SHORT))
     sizes = sizes & ((DENOMINATOR + NUMERATOR) * (F.col("na") + F.col("nb") - apart) >= 2 * NUMERATOR * (F.col("na") + F.col("nb")))
-    met = home.join(replica, ["token", "cell"]).where((F.col("ra") != F.col("rb")) & (F.col("a") != F.col("b")) & sizes & close)
+    # A pair is not made again at a shingle if both windows begin with a common one that comes before it.
+    first = F.coalesce(F.get(F.array_intersect("fa", "fb"), F.lit(0)) == F.col("token"), F.lit(True))
+    met = home.join(replica, ["token", "cell"]).where((F.col("ra") != F.col("rb")) & (F.col("a") != F.col("b")) & sizes & close & first)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -354,7 +358,7 @@ def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = frequency_classes(frequency_sketch(docs))
     members = write_table(windows(docs, classes))
     sets = write_table(members.where("parity IS NOT NULL").select("sid", "n", "parity").dropDuplicates(["sid"]))
-    rare = _entries(members, "rare", False).drop("rest", "short").repartition("token").sortWithinPartitions("token")
+    rare = _entries(members, "rare", False).drop("rest", "short", "lead").repartition("token").sortWithinPartitions("token")
     met = rare.mapInArrow(_region_pairs, "a bigint, b bigint").distinct()
     frequent = write_table(_entries(members, "frequent", True).dropDuplicates(["token", "sid"]))
     pivots = write_table(_region_pivots(frequent))
