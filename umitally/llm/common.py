@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -78,8 +79,23 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that `column` holds about most_bytes or a single row; bounds what one step holds in memory."""
+#: How to empty what an operator remembers in this Python worker between tasks, by operator.
+_remembered: dict[str, Callable[[], None]] = {}
+
+
+def remember(owner: str, clear: Callable[[], None]) -> None:
+    """Say how to empty the owner's cache when a task of another operator runs in this worker."""
+    _remembered[owner] = clear
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 << 20, owner: str = "") -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that `column` holds about most_bytes or a single row; bounds what one step holds in memory.
+
+    Python workers live on between tasks, so the caches of other operators are emptied first, and at the end of its input
+    a task gives unused memory back to the system.
+    """
+    for other in [x for x in _remembered if x != owner]:
+        _remembered.pop(other)()
     for batch in batches:
         k = batch.schema.get_field_index(column)
         n = batch.num_rows
@@ -91,3 +107,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 8 <
             to = max(at + 1, int(np.searchsorted(off, off[at] + most_bytes, "right")) - 1)
             yield batch.slice(at, min(to, n) - at)
             at = to
+    release()
+
+
+def release() -> None:
+    """Return free memory of Arrow's pool and of the C library (where it is one that can) to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

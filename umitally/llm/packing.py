@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import slices, write_table
+from umitally.llm.common import remember, slices, write_table
 
 WINDOW = 4096
 #: Open windows of a partition.
@@ -98,6 +98,7 @@ def tokenizer(path: str) -> WordTokenizer:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path)
+    remember("packing", _tokenizers[path].known.clear)
     return _tokenizers[path]
 
 
@@ -186,7 +187,7 @@ def pack(docs: DataFrame, encode: Callable[[], Callable[[list[str]], list[bytes]
             data = {id_col: pa.array(cols[0], id_type)} | {n: pa.array(c, t) for n, c, t in zip([*_COLUMNS, "full"], cols[1:], arrow, strict=True)}
             return pa.RecordBatch.from_pydict(data | {"part": pa.array([part] * len(out), pa.int64())})
 
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, owner="packing"):
             id_type = batch.schema.field(0).type
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out = []

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import slices
+from umitally.llm.common import remember, slices
 
 SPACE = "▁"
 #: Piece types of the model format.
@@ -277,6 +277,7 @@ def model(path: str) -> PieceModel:
     """The model of a path, once for each Python worker."""
     if path not in _models:
         _models[path] = PieceModel(path)
+    remember("pieces", _models[path].known.clear)
     return _models[path]
 
 
@@ -291,7 +292,7 @@ def encode_decode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, owner="pieces"):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n, a, b, every, decoded = [], [], [], [], []
             for ids in m.encode_bytes(texts):

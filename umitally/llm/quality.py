@@ -29,9 +29,9 @@ from pyspark.sql import types as T
 
 from umitally.llm.common import held_out, labelled_sample, slices, stable_hash
 
-SAMPLE, BITS, RANK = 6000, 17, 6
+SAMPLE, BITS, RANK = 4000, 17, 6
 THRESHOLD = 0.7
-CACHE = 500_000
+CACHE = 150_000
 #: Steps of each structure statistic; a value's feature is the number of steps that it reaches.
 SHARES = (0.005, 0.01, 0.02, 0.04, 0.07, 0.11, 0.16, 0.22, 0.3, 0.4, 0.55, 0.75)
 LENGTHS = (1, 5, 10, 20, 40, 80, 160, 320, 640, 1280, 2560, 5120, 10240)
@@ -166,15 +166,16 @@ def score(docs: DataFrame, model: FactorisationMachine | None, *, columns: list[
     The model is 4 MB whatever the corpus.
     """
     kept = [c for c in columns or docs.columns if c != name]
-    rows = docs.select(*kept, F.col("text").alias("_text"), _with_length(docs).alias("_n_chars"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = kept.index("text") if "text" in kept else len(kept)
+    rows = docs.select(*kept, *([F.col("text").alias("_text")] if at == len(kept) else []), _with_length(docs).alias("_n_chars"))
+    text_col, shared = rows.columns[at], docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fm, cached = shared.value, _Cached()
-        for batch in slices(batches, "_text", 4 << 20):
-            texts, lengths = (batch.column(batch.num_columns - k).to_pylist() for k in (2, 1))
+        for batch in slices(batches, text_col, 4 << 20):
+            texts, lengths = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             s = _sigmoid(fm.logits(*vectors(texts, lengths, cached))) if fm else np.full(len(texts), 0.5)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(s.astype(np.float64))], [*kept, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(s.astype(np.float64))], [*kept, name])
 
     return rows.mapInArrow(run, T.StructType([*docs.select(*kept).schema.fields, T.StructField(name, T.DoubleType())]))
 

@@ -34,7 +34,7 @@ _TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)*|[.!?\n]+")
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 _ENDS = frozenset(".!?\n")
 #: Words remembered by a Python worker before it starts afresh.
-CACHE = 500_000
+CACHE = 250_000
 #: Sentences that begin within one block of so many words are one instance, so that a text of one-word exclamations has
 #: no more chances to look toxic than prose of its length.
 BLOCK = 8
