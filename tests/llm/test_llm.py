@@ -494,6 +494,16 @@ def test_jaccard_window_and_bounds():
             assert fits
 
 
+def test_sketch_in_two_steps(spark, documents, monkeypatch):
+    df = documents.limit(60).repartition(5).cache()
+    whole = jaccard.frequency_sketch(df)
+    monkeypatch.setattr(jaccard, "FAN_IN", 2)
+    cached = jaccard._WordHash()
+    sets = {s.tobytes(): s for r in df.collect() for s in [jaccard.shingles(r.text, cached)]}
+    # Copies count once in a batch, so sums are between those of the distinct texts and of all.
+    assert (jaccard.frequency_sketch(df) == whole).all() and sum(map(len, sets.values())) <= whole.sum()
+
+
 def test_components(spark):
     rng = random.Random(7)
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(200 + rng.randint(0, 60), 200 + rng.randint(0, 60)) for _ in range(50)]

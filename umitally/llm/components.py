@@ -11,27 +11,28 @@ from umitally.llm.common import write_table
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    least = write_table(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are tied to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = write_table(down.groupBy("a").agg(F.min("b").alias("m")))
     return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(a, b), a is not b -> (node, root): the least node of each node's component; nodes without edges are absent.
 
-    Each step groups with map-side minima and joins them back, so a node of very many edges is split by AQE and never
-    collected. Every round is written, which cuts lineage; the number of rounds grows with the logarithm of the size.
+    Each step groups with map-side minima and joins them back. The minima are written first, so that the join reads plain
+    shuffles, of which AQE splits the one that holds a node of very many edges. Every round is written too, which cuts
+    lineage; the number of rounds grows with the logarithm of the size.
     """
     edges = edges.select("a", "b").where("a <> b")
     state = None
     for _ in range(most_rounds):
-        edges = write_table(_small_star(_large_star(edges)).where("a <> b").distinct())
+        edges = write_table(_small_star(write_table(_large_star(edges))).where("a <> b").distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -37,15 +37,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import slices, write_table
+from umitally.llm.common import slices, small_batches, write_table
 from umitally.llm.components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Counters of the corpus sketch (16 MB whatever the corpus), and its blocks, which are summed apart.
 COUNTERS, COUNTER_BLOCKS = 1 << 22, 64
+#: Sketches of partitions that one task sums.
+FAN_IN = 512
 #: Classes under this are rare: chance alone may explain a counter. They tell counts in steps of a standard deviation.
 FREQUENT = 8
 #: Bits of a set's parity vector for each shingle, at least (a power of two in all); second pivots of a frequent region.
@@ -95,7 +98,10 @@ def _sketch_slots(s: np.ndarray) -> np.ndarray:
 
 
 def frequency_sketch(docs: DataFrame) -> np.ndarray:
-    """Counts of all shingles of all documents in COUNTERS slots. Blocks of slots are summed in parallel."""
+    """Counts of all shingles of all documents in COUNTERS slots.
+
+    Blocks of slots are summed in parallel; the sketches of very many partitions are summed in groups of FAN_IN first.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached, total = _WordHash(), np.zeros(COUNTERS, np.uint32)
@@ -106,21 +112,26 @@ def frequency_sketch(docs: DataFrame) -> np.ndarray:
                 found[set_id(s)] = s  # copies in a batch count once
             total += np.bincount(_sketch_slots(np.concatenate(list(found.values()))), minlength=COUNTERS).astype(np.uint32)
         parts = np.split(np.minimum(total, 65535).astype(np.uint16), COUNTER_BLOCKS)  # one task's count of 65535 is frequent in any case
-        yield pa.RecordBatch.from_pydict({"block": pa.array(range(COUNTER_BLOCKS), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
+        group = TaskContext.get().partitionId() // FAN_IN
+        yield pa.RecordBatch.from_pydict({"block": pa.array(range(COUNTER_BLOCKS), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary()), "part": pa.array([group] * COUNTER_BLOCKS, pa.int32())})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        total: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for b, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[b] = total.get(b, 0) + np.frombuffer(c, np.uint16).astype(np.uint64)
-        yield pa.RecordBatch.from_pydict({"block": pa.array(list(total), pa.int32()), "counts": pa.array([np.minimum(t, 2**32 - 1).astype(np.uint32).tobytes() for t in total.values()], pa.binary())})
-
-    kind = "block int, counts binary"
-    blocks = docs.select("text").mapInArrow(count, kind).repartition("block").mapInArrow(add, kind).toArrow()
+            for b, c, part in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                short = len(c) * COUNTER_BLOCKS // COUNTERS == 2
+                total[b, part] = total.get((b, part), 0) + np.frombuffer(c, np.uint16 if short else np.uint32).astype(np.uint64)
+        yield pa.RecordBatch.from_pydict({"block": pa.array([b for b, _ in total], pa.int32()), "counts": pa.array([np.minimum(t, 2**32 - 1).astype(np.uint32).tobytes() for t in total.values()], pa.binary()), "part": pa.array([p for _, p in total], pa.int32())})
+
+    kind = "block int, counts binary, part int"
+    sketches = docs.select("text").mapInArrow(count, kind)
+    if docs.rdd.getNumPartitions() > FAN_IN:
+        sketches = sketches.repartition("block", "part").mapInArrow(add, kind).withColumn("part", F.lit(0))
+    blocks = sketches.repartition("block").mapInArrow(add, kind).toArrow()
     out = np.zeros(COUNTERS, np.uint32)
     step = COUNTERS // COUNTER_BLOCKS
     for b, c in zip(blocks["block"].to_pylist(), blocks["counts"].to_pylist(), strict=True):
-        out[b * step : (b + 1) * step] = np.frombuffer(c, np.uint32)
+        out[b * step : (b + 1) * step] += np.frombuffer(c, np.uint32)
     return out
 
 
@@ -355,6 +366,7 @@ def _boundary_pairs(entries: DataFrame, pivots: DataFrame, distances: DataFrame,
 
 def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, labels): doc_id, n, sid of every row; node, root of every set that links with another."""
+    small_batches(docs.sparkSession)
     classes = frequency_classes(frequency_sketch(docs))
     members = write_table(windows(docs, classes))
     sets = write_table(members.where("parity IS NOT NULL").select("sid", "n", "parity").dropDuplicates(["sid"]))
