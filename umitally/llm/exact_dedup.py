@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from umitally.llm.common import slices, string_buffers, write_table
+from umitally.llm.common import slices, small_batches, string_buffers, write_table
 
 #: The characters that are deleted before texts are compared.
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -132,6 +132,7 @@ def _runs(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, keep_ro
 
 def dedup_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row with its group: id, keep_id, group_size, kept, text_sha256 (of the normalised text)."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, kind), T.StructField(text_col, T.StringType()), *_KEYS])
     rows = write_table(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(lambda it: _collapse(it, id_col, text_col, False), schema))
@@ -162,6 +163,7 @@ def dedup_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 def dedup_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns. The best row of a group so far is all that a task holds of it."""
+    small_batches(docs.sparkSession)
     schema = docs.schema
     names = schema.names
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from umitally.llm.common import fold, held_out, slices
+from umitally.llm.common import fold, held_out, slices, small_batches
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 16
 PER_LANGUAGE, WINDOWS_EACH, MAX_LANGUAGES = 1500, 3, 1000
@@ -198,6 +198,7 @@ def identify(docs: DataFrame, net: Network | None, *, columns: list[str] | None
 
     The network, some hundred KB whatever the corpus, goes to the tasks with the function.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(*(c for c in columns or docs.columns if c not in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import remember, slices, write_table
+from umitally.llm.common import remember, slices, small_batches, write_table
 
 WINDOW = 4096
 #: Open windows of a partition.
@@ -173,6 +173,7 @@ def pack(docs: DataFrame, encode: Callable[[], Callable[[list[str]], list[bytes]
     encode is called once in each task and gives a function from texts to their ids. The result of the one scan is written
     once (a few dozen bytes a piece), as full windows and last windows are treated differently.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col), F.col(text_col))
     kind = rows.schema[id_col].dataType.simpleString()
     numbers = ", ".join(f"{c} bigint" for c in _COLUMNS)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import remember, slices
+from umitally.llm.common import remember, slices, small_batches
 
 SPACE = "▁"
 #: Piece types of the model format.
@@ -286,6 +286,7 @@ def encode_decode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
 
     A narrow map: no shuffle, and a batch holds about 8 MB of text. Other columns are neither read nor carried.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col), F.col(text_col))
     kind = rows.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_ids else "")

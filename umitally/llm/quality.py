@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from umitally.llm.common import held_out, labelled_sample, slices, stable_hash
+from umitally.llm.common import held_out, labelled_sample, slices, small_batches, stable_hash
 
 SAMPLE, BITS, RANK = 4000, 17, 6
 THRESHOLD = 0.7
@@ -165,6 +165,7 @@ def score(docs: DataFrame, model: FactorisationMachine | None, *, columns: list[
 
     The model is 4 MB whatever the corpus.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in columns or docs.columns if c != name]
     at = kept.index("text") if "text" in kept else len(kept)
     rows = docs.select(*kept, *([F.col("text").alias("_text")] if at == len(kept) else []), _with_length(docs).alias("_n_chars"))

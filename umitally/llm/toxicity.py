@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import held_out, labelled_sample, slices, stable_hash
+from umitally.llm.common import held_out, labelled_sample, slices, small_batches, stable_hash
 
 SAMPLE, BITS, LEAST = 4000, 18, 5
 #: Lengths of the beginnings that are features beside the word.
@@ -191,6 +191,7 @@ def score(docs: DataFrame, model: SentenceModel | None, *, locate: bool = False,
 
     A narrow map; the model is 1 MB whatever the corpus.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, score double, predicted int" + (", offending array<struct<start:int,end:int,p:double,sentence:string>>" if locate else "")

@@ -37,6 +37,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from umitally.llm.common import small_batches
+
 #: Rows of a shard, compressed bytes at which a file is closed, and the most ids of the splitters' sample.
 SHARD_ROWS, ROLL_BYTES, SAMPLE = 4096, 64 << 20, 200_000
 #: Records carry no capture time of their own, and the clock would make files differ.
@@ -131,6 +133,7 @@ def write_archives(pages: DataFrame, uri: str, *, id_col: str = "page_id", url_c
     The payloads are shuffled once. Which record holds a payload is found from ids and digests alone: a grouped maximum
     that is combined on the map side, joined back to ids and digests, where AQE splits a digest that many rows share.
     """
+    small_batches(pages.sparkSession)
     store, base = _target(uri)
     store.create_dir(base, recursive=True)
     kind = pages.schema[id_col].dataType
