@@ -49,7 +49,7 @@ def _better(a: tuple, b: tuple) -> bool:
 def _collapse(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, whole: bool) -> Iterator[pa.RecordBatch]:
     """One row for each document, or (whole) only those that represent their batch's group; see key_table."""
     serial = TaskContext.get().partitionId() << 36
-    for batch in slices(batches, text_col, 8 << 20):
+    for batch in slices(batches, text_col, 2 << 20):
         raw, off = string_buffers(batch.column(batch.schema.get_field_index(text_col)))
         ids = batch.column(batch.schema.get_field_index(id_col)).to_pylist()
         starts = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))

@@ -34,7 +34,7 @@ OPEN = 64
 #: Partitions whose last windows are merged together.
 MERGE = 256
 #: Words remembered by a Python worker before it starts afresh.
-CACHE = 600_000
+CACHE = 450_000
 
 
 class WordTokenizer:
@@ -188,7 +188,7 @@ def pack(docs: DataFrame, encode: Callable[[], Callable[[list[str]], list[bytes]
             data = {id_col: pa.array(cols[0], id_type)} | {n: pa.array(c, t) for n, c, t in zip([*_COLUMNS, "full"], cols[1:], arrow, strict=True)}
             return pa.RecordBatch.from_pydict(data | {"part": pa.array([part] * len(out), pa.int64())})
 
-        for batch in slices(batches, text_col, owner="packing"):
+        for batch in slices(batches, text_col, 1 << 20, owner="packing"):
             id_type = batch.schema.field(0).type
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out = []

@@ -284,7 +284,7 @@ def model(path: str) -> PieceModel:
 def encode_decode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Ids and the decoded text of every row, as digests, or (with_ids) as the arrays and texts themselves.
 
-    A narrow map: no shuffle, and a batch holds about 8 MB of text. Other columns are neither read nor carried.
+    A narrow map: no shuffle, and a batch holds about 1 MB of text. Other columns are neither read nor carried.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col), F.col(text_col))
@@ -293,7 +293,7 @@ def encode_decode(docs: DataFrame, model_path: str, *, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)
-        for batch in slices(batches, text_col, owner="pieces"):
+        for batch in slices(batches, text_col, 1 << 20, owner="pieces"):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n, a, b, every, decoded = [], [], [], [], []
             for ids in m.encode_bytes(texts):

@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: FactorisationMachine | None, *, columns: list[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fm, cached = shared.value, _Cached()
-        for batch in slices(batches, text_col, 4 << 20):
+        for batch in slices(batches, text_col, 2 << 20):
             texts, lengths = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             s = _sigmoid(fm.logits(*vectors(texts, lengths, cached))) if fm else np.full(len(texts), 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(s.astype(np.float64))], [*kept, name])
