@@ -136,12 +136,12 @@ def frequency_sketch(docs: DataFrame) -> np.ndarray:
 
 
 def frequency_classes(counts: np.ndarray) -> np.ndarray:
-    """The place of each slot's shingles in the order: by steps of the count's deviation from the usual load, up to six
+    """The place of each slot's shingles in the order: by steps of the count's deviation from the usual load, up to three
     (rare shingles); counts beyond what chance explains by their logarithm (frequent shingles)."""
     load = float(np.median(counts))
     sigma = max(1.0, np.sqrt(load))
     steps = np.clip(np.ceil((counts - load) / sigma) - 1, 0, FREQUENT - 1)
-    rare = counts <= load + 6 * sigma + 8
+    rare = counts <= load + 3 * sigma + 4
     return np.where(rare, steps, np.log2(np.maximum(counts, 1)) + FREQUENT).astype(np.uint8)
 
 
@@ -165,7 +165,7 @@ def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached, of = _WordHash(), shared.value
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             seen, n, sid, parity, rare, frequent, short = set(), [], [], [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingles(t, cached)
@@ -400,7 +400,9 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     members, labels = link_components(docs)
     rows = members.select("doc_id", F.col("n").alias("n_shingles"), "sid")
     named = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least")).join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    least = named.groupBy("root").agg(F.min("least").alias("component"))
+    # Written, so that the join reads plain shuffles, of which AQE splits the one that holds a component of very many sets.
+    named = write_table(named)
+    least = write_table(named.groupBy("root").agg(F.min("least").alias("component")))
     of_set = named.select("sid", "root").join(least, "root").select("sid", "component")
     return rows.join(of_set, "sid", "left").select("doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
 
