@@ -338,16 +338,17 @@ def _boundary_pairs(entries: DataFrame, pivots: DataFrame, distances: DataFrame,
     """Pairs of frequent regions that components still tell apart, by Voronoi regions of the pivots and their windows."""
     labelled = entries.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     apart = labelled.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("token")
-    rows = labelled.join(apart, "token", "left_semi")
-    per = rows.join(pivots, "token").select("token", "sid", "n", "place", "rest", "short", "lead", "root", F.explode("pivots").alias("pivot"))
+    rows = write_table(labelled.join(apart, "token", "left_semi"))
+    # Distances are gathered by keys alone; what the conditions need is joined to the one row of each (shingle, set) after.
+    per = rows.select("token", "sid").join(pivots, "token").select("token", "sid", F.explode("pivots").alias("pivot"))
     far = F.when(F.col("sid") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))
     measured = per.join(distances.select(F.col("a").alias("sid"), F.col("b").alias("pivot"), "distance"), ["sid", "pivot"], "left").withColumn("d", far)
     # A document whose size excludes a link with a pivot has no distance to it and is replicated to all regions.
-    cells = measured.groupBy("token", "sid").agg(
-        F.first("n").alias("n"), F.first("place").alias("place"), F.first("rest").alias("rest"), F.first("short").alias("short"), F.first("lead").alias("lead"), F.first("root").alias("root"),
+    places = measured.groupBy("token", "sid").agg(
         F.min(F.struct(F.coalesce("d", F.lit(9.0)).alias("near"), "pivot")).alias("home"),
         F.count(F.when(F.col("d").isNull(), 1)).alias("unknown"), F.collect_list(F.struct("pivot", "d")).alias("all"),
     )
+    cells = rows.join(places, ["token", "sid"])
     eps = 1 - NUMERATOR / DENOMINATOR + 1e-9
     side = lambda x: [F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("place").alias(f"i{x}"), F.col("rest").alias(f"s{x}"), F.col("short").alias(f"v{x}"), F.col("lead").alias(f"f{x}"), F.col("root").alias(f"r{x}"), F.map_from_entries("all").alias(f"d{x}")]
     home = cells.select("token", F.col("home.pivot").alias("cell"), *side("a"))
