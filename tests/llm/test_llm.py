@@ -345,6 +345,29 @@ def test_simhash_neighbours(spark, radius, blocks):
     assert {tuple(r) for r in simhash.neighbours(fps, fps, radius, blocks).collect()} == want
 
 
+@pytest.mark.parametrize(("radius", "blocks"), [(simhash.RADIUS, None), (5, 4), (12, 5)])
+def test_simhash_wide_neighbours(spark, radius, blocks):
+    """Radii that need blocks with flipped bits; distances on both sides of the radius, high bits included."""
+    rng = random.Random(radius)
+    base = [rng.getrandbits(128) for _ in range(10)] + [0, (1 << 128) - 1]
+    flip = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(128), n))
+    all_ = [f"{x:032x}" for b in base for x in (b, b, *(flip(b, n) for n in range(1, radius + 4)))]
+    fps = spark.createDataFrame([(x,) for x in all_], "fingerprint string")
+    want = {(a, b, d) for a in set(all_) for b in set(all_) if (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= radius}
+    got = [tuple(r) for r in simhash.neighbours(fps, fps, radius, blocks).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_simhash_finds_near_copies(spark):
+    """Copies at a Jaccard similarity of 0.75 and more (of five-word shingles) of a text among unrelated ones."""
+    rng = random.Random(11)
+    rows = [(50 * g + k, " ".join(words if k else base)) for g in range(12) for base in [[f"{rng.choice('abcdefgh')}{rng.randint(0, 9**5)}" for _ in range(200)]] for k in range(3) for words in [[f"new{k}" if i in (60 * k, 130) else w for i, w in enumerate(base)]]]
+    sets = {i: shingle_set(t) for i, t in rows}
+    alike = {i: {j for j in sets if j != i and len(sets[i] & sets[j]) >= 0.75 * len(sets[i] | sets[j])} for i in sets}
+    got = {r.doc_id: r for r in simhash.with_edits(spark.createDataFrame(rows, "doc_id bigint, text string")).where("doc_id % 50 = 0").collect()}
+    assert len(got) == 12 and all(len(alike[i]) == 2 and r.n_near == 2 and r.nearest_id in alike[i] for i, r in got.items())
+
+
 def test_simhash_edges(spark, edge, empty):
     rows = simhash.with_edits(edge).collect()
     assert len(rows) == len(EDGE) and {r.fingerprint for r in rows if r.doc_id in (2, 3, 4)} == {"0" * 32}
