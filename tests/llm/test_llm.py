@@ -368,6 +368,25 @@ def test_simhash_finds_near_copies(spark):
     assert len(got) == 12 and all(len(alike[i]) == 2 and r.n_near == 2 and r.nearest_id in alike[i] for i, r in got.items())
 
 
+def test_simhash_lists_neighbours_and_copies(spark, documents):
+    texts = [(i, t) for i, t in sorted(texts_of(documents).items()) if i < 300]
+    base = " ".join(f"w{i}" for i in range(200))
+    rows = [*texts, *((1000 + i, base) for i in range(5)), (1005, base.replace("w60 ", "x ")), (1006, base.replace("w60 ", "x ")), (1007, base.replace("w9 ", "y ")), (1050, "alone in the world"), (None, base)]
+    rows += rows[-5:-3]  # repeated rows are one document
+    got = simhash.with_edits(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    by = defaultdict(set)
+    for r in got:
+        by[r.fingerprint].add(r.doc_id)
+    for r in got:
+        if r.doc_id is None or r.doc_id % 50:
+            assert r.n_copies is None and r.neighbours is None
+            continue
+        near = sorted((d, min(i for i in ids if i is not None), fp, len(ids)) for fp, ids in by.items() if 0 < (d := (int(fp, 16) ^ int(r.fingerprint, 16)).bit_count()) <= simhash.RADIUS)
+        assert (r.n_copies, [tuple(x) for x in r.neighbours]) == (len(by[r.fingerprint]) - 1, near) and r.n_near == len(near)
+    one = next(r for r in got if r.doc_id == 1000)
+    assert one.n_copies == 5 and {(x.doc_id, x.n_docs) for x in one.neighbours} == {(1005, 2), (1007, 1)} and next(r for r in got if r.doc_id == 1050).neighbours == []
+
+
 def test_simhash_edges(spark, edge, empty):
     rows = simhash.with_edits(edge).collect()
     assert len(rows) == len(EDGE) and {r.fingerprint for r in rows if r.doc_id in (2, 3, 4)} == {"0" * 32}

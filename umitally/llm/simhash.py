@@ -111,7 +111,10 @@ def with_edits(docs: DataFrame) -> DataFrame:
 
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and, for ids that
     QUERY_EVERY divides (else null), n_near and nearest_id: how many other fingerprints of all documents lie within RADIUS,
-    and the smallest doc_id with the nearest of them. Whole texts are shuffled once, by key; the beginnings of the next
+    and the smallest doc_id with the nearest of them; n_copies: how many other documents have the same fingerprint; and
+    neighbours: each of the n_near fingerprints, nearest first, with its distance, smallest doc_id and number of documents.
+    Documents are told by id and text. A list is as long as its fingerprints are many, however often they are copied; the
+    copies themselves are the rows that share a fingerprint. Whole texts are shuffled once, by key; the beginnings of the next
     documents, a third at most, once more. The votes need no shuffle.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -133,13 +136,19 @@ def with_edits(docs: DataFrame) -> DataFrame:
     of_next = found.select(F.col("_key").alias("_next"), F.col("_fp").alias("_next_fp"))
     named = order.join(found, "_key").withColumn("fingerprint", as_hex(F.col("_fp")))
     asks = F.coalesce(F.col("doc_id") % QUERY_EVERY == 0, F.lit(False))
-    distinct = write_table(named.groupBy("fingerprint").agg(F.min("doc_id").alias("_least"), F.max(asks).alias("_asks")))
-    near = neighbours(distinct.where("_asks"), distinct).where("fingerprint <> near").join(distinct.select(F.col("fingerprint").alias("near"), "_least"), "near")
-    near = near.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("_n_near"), F.min(F.struct("distance", "_least"))["_least"].alias("_nearest"))
+    distinct = write_table(named.groupBy("fingerprint").agg(F.min("doc_id").alias("_least"), F.max(asks).alias("_asks"), F.count(F.lit(1)).alias("_docs")))
+    near = neighbours(distinct.where("_asks"), distinct).join(distinct.select(F.col("fingerprint").alias("near"), "_least", "_docs"), "near")
+    # Each asking fingerprint meets itself, too.
+    other = F.col("fingerprint") != F.col("near")
+    near = near.groupBy("fingerprint").agg(
+        F.count_if(other).alias("_n_near"), F.min(F.when(other, F.struct("distance", "_least")))["_least"].alias("_nearest"), F.max(F.when(~other, F.col("_docs") - 1)).alias("_n_copies"),
+        F.sort_array(F.collect_list(F.when(other, F.struct("distance", F.col("_least").alias("doc_id"), F.col("near").alias("fingerprint"), F.col("_docs").alias("n_docs"))))).alias("_neighbours"),
+    )
     result = named.join(of_next, "_next").join(near, "fingerprint", "left").select(
         "_key", "doc_id", F.col("_n").cast("bigint").alias("n_chars"), "edited_sha256", "fingerprint", as_hex(F.col("_edited")).alias("edited_fingerprint"),
         likeness(F.col("_fp"), F.col("_edited")).alias("near_edited"), likeness(F.col("_fp"), F.col("_next_fp")).alias("near_next"),
-        F.when(asks, F.coalesce("_n_near", F.lit(0).cast("bigint"))).alias("n_near"), F.when(asks, F.col("_nearest")).alias("nearest_id"),
+        F.when(asks, F.col("_n_near")).alias("n_near"), F.when(asks, F.col("_nearest")).alias("nearest_id"),
+        F.when(asks, F.col("_n_copies")).alias("n_copies"), F.when(asks, F.col("_neighbours")).alias("neighbours"),
     )
     copies = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_copies"))
     return result.join(copies, "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).drop("_key", "_copies", "_copy")
