@@ -189,6 +189,22 @@ def test_words_equal_library():
         assert np.frombuffer(b, "<u4").tolist() == e.ids, t
 
 
+def test_packing_equals_unmodified_library(spark):
+    """Texts with added tokens, in any case and before a combining sign, as the library encodes them by default."""
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(WORDS)
+    rng = random.Random(3)
+    parts = ["a", "the end ", " ", "12", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|StartOfText|>", "<|endoftext", "|>", "\u0338", "é", "\n", "漢"]
+    texts = ["<|endoftext|>", "x<|startoftext|>y", *("".join(rng.choice(parts) for _ in range(rng.randint(1, 8))) for _ in range(3000))]
+    want = [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [49407]
+    for t, b, ids in zip(texts, packing.tokenizer(WORDS).encode_bytes(texts), want, strict=True):
+        assert np.frombuffer(b, "<u4").tolist() == ids, t
+    got = packing.pack_words(docs_of(spark, [(k, t, "en") for k, t in enumerate(texts[:50])]), WORDS).collect()
+    assert {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in got} == {k: (len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4").tobytes())) for k, ids in enumerate(want[:50])}
+
+
 # 4 quality and 5 language
 
 

@@ -42,6 +42,9 @@ class WordTokenizer:
 
     Texts of Latin letters and common signs, where the pattern and the lower-casing mean the same here as in the library,
     are cut into words, each of which the library encodes once; any other text is encoded by the library as a whole.
+
+    With added_tokens, the file's added tokens (as <|endoftext|>) get their own ids where a text holds them, as the library
+    does by default; such texts are encoded as a whole. Else special ones are taken for ordinary signs.
     """
 
     #: Below U+0250 without U+0130, whose lower case is two characters, and without separators that the library takes for
@@ -51,13 +54,13 @@ class WordTokenizer:
     _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     _WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[\d\xb2\xb3\xb9\xbc-\xbe]|(?:[^\w\s]|_)+")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, *, added_tokens: bool = False):
         import json
 
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not added_tokens
         self.tok.no_truncation()
         self.tok.no_padding()
         with open(path, encoding="utf-8") as f:
@@ -65,14 +68,22 @@ class WordTokenizer:
         steps = [x["type"] for x in spec["normalizer"]["normalizers"]]
         splits = spec["pre_tokenizer"]["pretokenizers"]
         self.by_word = splits[0]["pattern"].get("Regex") == self._PATTERN and steps == ["NFC", "Replace", "Lowercase"] and splits[0]["behavior"] == "Removed" and splits[0]["invert"] and [x["type"] for x in splits] == ["Split", "ByteLevel"] and not splits[1]["add_prefix_space"]
+        # Some are sought in the text as it is, others in its lower case; either is looked for without regard to case.
+        self.added = {x.content.lower() for x in self.tok.get_added_tokens_decoder().values()} if added_tokens else set()
+        self.by_word = self.by_word and not any(re.search(r"\s", x) for x in self.added)
         self.known: dict[str, bytes] = {}
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers, without special tokens."""
         cut: list[list[str] | None] = []
         for t in texts:
-            t = unicodedata.normalize("NFC", t)
-            cut.append(self._WORD.findall(t.lower()) if self.by_word and self._PLAIN.fullmatch(t) else None)
+            raw, t = t, unicodedata.normalize("NFC", t)
+            low = t.lower()
+            plain = self.by_word and self._PLAIN.fullmatch(t) and not any(x in low for x in self.added)
+            if plain and self.added and raw != t:  # a sign that joins the one before may hide a token
+                low_raw = raw.lower()
+                plain = not any(x in low_raw for x in self.added)
+            cut.append(self._WORD.findall(low) if plain else None)
         words = set().union(*(c for c in cut if c))
         new = list(words.difference(self.known))
         if len(self.known) + len(new) > CACHE:
@@ -97,7 +108,7 @@ def tokenizer(path: str) -> WordTokenizer:
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
+        _tokenizers[path] = WordTokenizer(path, added_tokens=True)
     remember("packing", _tokenizers[path].known.clear)
     return _tokenizers[path]
 
