@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from umitally.llm import chat, components, exact_dedup, jaccard, language, packing, pieces, quality, simhash, toxicity, warc
+from umitally.llm import chat, components, exact_dedup, jaccard, language, packing, pieces, quality, queries, simhash, toxicity, warc
 from umitally.llm.common import shared_dir
 
 SF = "/root/testdata/sf0.01"
@@ -88,6 +88,23 @@ def test_noisy_or():
     assert model.score("...", cached) == 0.0 and len(model.sentences("a. b. c.", cached)) == 1
 
 
+def test_locate_names_the_likeliest():
+    weights = np.zeros(1 << toxicity.BITS, np.float32)
+    weights[toxicity.buckets(["bad"])] = 0.4
+    model = toxicity.SentenceModel(weights, -0.5)
+    cached = model.cache()
+    plain, worse = " ".join(["w"] * 9) + ".", " ".join(["w"] * 8) + " bad."
+    text = f"{plain} {worse} {plain}"
+    assert model.score(text, cached) >= toxicity.THRESHOLD
+    (a, b, p), = model.locate(text, cached)
+    assert text[a:b].strip() == worse and 0.47 < p < 0.5 and model.locate("...", cached) == []
+
+
+def test_toxicity_query_locates(spark):
+    got = queries.op1_toxicity(spark, SF).where("predicted = 1").collect()
+    assert got and all(r.offending for r in got)
+
+
 def test_toxicity_edges(edge, empty, labels):
     none = labels.where("false")
     assert toxicity.predict(edge, none).count() == len(EDGE)

@@ -18,7 +18,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), locate=True)
 
 
 def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,16 +94,17 @@ class SentenceModel:
     def locate(self, text: str, cached: _Cached, threshold: float = 0.5) -> list[tuple[int, int, float]]:
         """Begin, end and probability of the sentences at or over threshold, in code points of the lower-cased text.
 
+        If several sentences make a text toxic but none reaches the threshold alone, the likeliest is given.
         Lower-casing keeps lengths but for a few letters; where it does not, the original text is searched.
         """
         low = text.lower()
         low = low if len(low) == len(text) else text
-        out = []
+        found = []
         for m in _SENTENCE.finditer(low):
             p = self.sentences(m[0], cached)
-            if len(p) and p.max() >= threshold:
-                out.append((m.start(), m.end(), float(p.max())))
-        return out
+            if len(p):
+                found.append((m.start(), m.end(), float(p.max())))
+        return [x for x in found if x[2] >= threshold] or sorted(found, key=lambda x: -x[2])[:1]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
