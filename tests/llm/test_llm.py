@@ -454,6 +454,17 @@ def test_chat_links_and_order(spark):
     assert chat.messages(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("before", "after"), [("\n", ""), (" \t\r\n", "\n"), ("", " \n")])
+def test_chat_white_space_around_objects(spark, before, after):
+    call = json.dumps({"content": "c", "tool_calls": [{"id": "a", "name": "search", "arguments": {"query": "q"}}]})
+    result = json.dumps({"tool_call_id": "a", "content": "r"})
+    rows = [(1, 0, "assistant", call), (1, 1, "tool", result), (1, 2, "assistant", "\n plain ")]
+    df = lambda a, b: spark.createDataFrame([(c, t, r, a + x + b if x[0] == "{" else x) for c, t, r, x in rows], "conv_id bigint, turn bigint, role string, text string")
+    got = sorted(map(tuple, chat.messages(df(before, after)).collect()), key=lambda r: r[1])
+    assert got == sorted(map(tuple, chat.messages(df("", "")).collect()), key=lambda r: r[1])
+    assert [r[5] for r in got] == ["call", "result", "message"] and json.loads(got[2][9])["content"] == "\n plain "
+
+
 # 9 exact deduplication
 
 

@@ -5,6 +5,8 @@ A message's text may carry tool use as JSON:
 * assistant: {"content": ..., "tool_calls": [{"id", "name", "arguments": {...}}, ...]}
 * tool: {"tool_call_id", "content"} - the result of a call of the same conversation
 
+White space of JSON (space, tab, line feed, carriage return) around the object does not matter.
+
 Calls and results are linked by a hash join on (conversation, call id). Of calls that repeat an id the earliest counts.
 Messages are ordered topologically: a result stands after the message that made its call even where its turn is smaller.
 The order is a key (anchor turn, step, turn), found by the join alone, so a conversation of any length needs no window
@@ -66,9 +68,9 @@ def messages(conversations: DataFrame, tools: dict | None = None) -> DataFrame:
     """
     tools = TOOLS if tools is None else tools
     base = conversations.select("conv_id", "turn", F.coalesce(F.col("role"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    is_object = F.col("text").startswith("{")
+    bare = F.trim(F.col("text"), F.lit(" \t\r\n"))
     parsed = (
-        base.withColumn("_json", F.when(is_object & F.col("role").isin("assistant", "tool"), F.try_parse_json("text")))
+        base.withColumn("_json", F.when(bare.startswith("{") & F.col("role").isin("assistant", "tool"), F.try_parse_json(bare)))
         .withColumn("_calls", F.when(F.col("role") == "assistant", F.try_variant_get("_json", "$.tool_calls", CALLS)))
         .withColumn("calls", F.when(F.size("_calls") > 0, F.col("_calls")))
         .withColumn("result_of", F.when(F.col("role") == "tool", F.try_variant_get("_json", "$.tool_call_id", "string")))
