@@ -88,6 +88,10 @@ def test_noisy_or():
     assert model.score("...", cached) == 0.0 and len(model.sentences("a. b. c.", cached)) == 1
 
 
+def test_toxicity_sample():
+    assert toxicity.SAMPLE >= 6000
+
+
 def test_locate_names_the_likeliest():
     weights = np.zeros(1 << toxicity.BITS, np.float32)
     weights[toxicity.buckets(["bad"])] = 0.4
