@@ -577,11 +577,25 @@ def test_jaccard_window_and_bounds():
         common = rng.integers(0, min(n, m) + 1)
         x = rng.integers(0, 2**63, n, dtype=np.uint64)
         y = np.concatenate([x[:common], rng.integers(0, 2**63, m - common, dtype=np.uint64)])
-        import pandas as pd
-
-        fits = jaccard._parities_fit(pd.Series([n]), pd.Series([m]), pd.Series([jaccard.parities(x)]), pd.Series([jaccard.parities(y)]))[0]
-        if 100 * common >= 75 * (n + m - common):
-            assert fits
+        apart = np.bitwise_count((jaccard.parities(x) ^ jaccard.parities(y)).view(np.uint64)).sum()
+        assert common <= min((n + m - apart) / 2, n, m)
+
+
+def test_regions():
+    """Runs of every size over batches cut anywhere, with copies of rows, against a plain grouping."""
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    for step in (1, 2, 3, 7, 1000):
+        rows = sorted((t, s, 10, 0) for t in range(40) for s in rng.sample(range(100), rng.choice([1, 2, 3, 7, 8, 9, 10, 30])) for _ in range(rng.choice([1, 1, 1, 3])))
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[k : k + step], strict=True)], ["token", "sid", "n", "place"]) for k in range(0, len(rows), step)]
+        out = [r for b in jaccard._regions(iter(batches)) for r in b.to_pylist()]
+        groups = defaultdict(set)
+        for t, s, _, _ in rows:
+            groups[t].add(s)
+        assert sorted((r["token"], r["sid"]) for r in out if r["token"] is not None) == sorted((t, s) for t, g in groups.items() if len(g) > jaccard.SMALL for s in g)
+        assert {(r["sid"], r["other"]) for r in out if r["token"] is None} == {(a, b) for g in groups.values() if len(g) <= jaccard.SMALL for a in g for b in g if a < b}
+    assert list(jaccard._regions(iter([]))) == []
 
 
 def test_sketch_in_two_steps(spark, documents, monkeypatch):

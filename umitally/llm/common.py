@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,13 +15,32 @@ from pyspark.sql import functions as F
 from umitally.sources.workdir import shared_dir
 
 
-def write_table(df: DataFrame, *, compression: str = "zstd") -> DataFrame:
+#: Paths that the open temporary_tables() blocks delete at their end, the innermost last.
+_temporary: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what write_table() wrote within the block, but for tables that are to be kept."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _temporary.pop():
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+
+
+def write_table(df: DataFrame, *, compression: str = "zstd", keep: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     This cuts lineage: what follows rereads the files, so a lost executor never forces the work before to run again,
-    and values that depend on task order are fixed once.
+    and values that depend on task order are fixed once. keep: beyond the end of the enclosing temporary_tables().
     """
     path = shared_dir(df.sparkSession)
+    if _temporary and not keep:
+        _temporary[-1].append(path)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -9,24 +9,27 @@ which is a Jaccard distance of at most a quarter.
   in one global order, and the window that a partner can be in replicates it to the regions of its first
   |x| - ceil(0.75 |x|) + 1 shingles: partners always meet in the region of a shingle of both windows. The order puts
   frequent shingles last, by a sketch that counts all shingles of the corpus, so passages that many documents share
-  make no region. Any order gives exact results; the sketch only decides how small regions are.
-* Recursion. Regions of rare shingles are joined directly. A region of a frequent shingle (a large group of near copies)
-  gets PIVOTS documents as second pivots, to which all its documents' distances are computed. Documents within the
-  threshold of a pivot are linked to it. The documents that components still tell apart go to the Voronoi region of
-  their nearest pivot, are replicated to every region whose pivot is at most twice the threshold farther (the
-  triangle inequality), and are compared where their distances to all pivots differ by at most the threshold.
-  A pair that meets in a frequent region and shared a rare shingle has met in its region too, so here two sets can have
-  no more in common than either holds beside its rare shingles, which excludes most pairs that cannot link.
+  make no region. Any order gives exact results; the sketch only decides how large regions are.
+* Region sizes are counted exactly. A region of at most SMALL sets is joined directly.
+* Recursion. A larger region gets a document as its pivot, that which a hash puts first. Each set belongs to the Voronoi
+  region of one pivot, that with which it shares the most of its regions, and is compared with that pivot alone. Sets of one
+  component need no further comparison, so what is linked is closed; what is left of a region is asked to join its largest
+  component by another pivot, level by level, as long as many sets are asked and link.
+* Boundary. A set that is not of a region's largest component can have partners in each Voronoi region that the region's
+  sets belong to. It is replicated to those whose radius and its distance from the pivot allow a partner (the triangle
+  inequality, with a lower bound of the distance), and joined there with the sets whose distance from the pivot differs by
+  no more than the threshold. This is the one join that is not linear: sets that link with nothing, times the sets of a
+  Voronoi region that hold many of the same shingles. It compares sizes and bit vectors; pairs that pass are compared in full.
 * Comparison. Bit k of a set's parity vector tells whether an odd number of its shingles fall into bucket k, so two vectors
-  differ in no more bits than the sets in shingles: a lower bound of their distance. Pairs that pass it are compared in
-  full. Of each document first one partner is compared, then the pairs that lie in different components.
+  differ in no more bits than the sets in shingles: a lower bound of their distance. Of each set first one partner is
+  compared, then the pairs that lie in different components.
 
 No pair is dropped, capped or sampled. Copies collapse before anything is shuffled and are one set throughout; pairs
 inside a component that is already known are not compared, as they change no component.
 
 Defined cases: null text, empty text and text of white space have no shingle and link with nothing; fewer than five words
 are one shingle; rows that repeat an id or a text are joined like others; a null id is never a component's name unless
-all its members lack one; an empty table gives no rows; other columns are not read.
+all its members lack one; ids may be of any type that has an order; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,15 +37,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import slices, small_batches, write_table
-from umitally.llm.components import components
+from umitally.llm.common import slices, small_batches, temporary_tables, write_table
+from umitally.llm.components import components, merged
 
 WORDS, NUMERATOR, DENOMINATOR = 5, 75, 100
 #: Counters of the corpus sketch (16 MB whatever the corpus), and its blocks, which are summed apart.
@@ -51,8 +53,11 @@ COUNTERS, COUNTER_BLOCKS = 1 << 22, 64
 FAN_IN = 512
 #: Classes under this are rare: chance alone may explain a counter. They tell counts in steps of a standard deviation.
 FREQUENT = 8
-#: Bits of a set's parity vector for each shingle, at least (a power of two in all); second pivots of a frequent region.
-BITS_EACH, PIVOTS = 4, 4
+#: Sets of a region that is joined directly, at most; words of a parity vector.
+SMALL, WORDS_OF_PARITY = 8, 16
+#: Another level of pivots follows while the sets that ask for one are at least one in so many of those of large regions,
+#: and one in so many of those asked has linked; LEVELS bounds the levels, as the boundary join ends the recursion exactly.
+FEW, YIELD, LEVELS = 16, 4, 8
 #: Ids up to this number are broadcast to fetch their texts; beyond, the texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 CACHE = 200_000
@@ -145,20 +150,18 @@ def frequency_classes(counts: np.ndarray) -> np.ndarray:
     return np.where(rare, steps, np.log2(np.maximum(counts, 1)) + FREQUENT).astype(np.uint8)
 
 
-def parities(s: np.ndarray, bits: int | None = None) -> bytes:
-    """The parity vector, 2^k >= BITS_EACH * n bits; the vector of half its length is the exclusive or of its halves."""
-    bits = bits or max(256, 1 << (BITS_EACH * len(s) - 1).bit_length())
+def parities(s: np.ndarray) -> np.ndarray:
+    """The parity vector as signed words."""
+    bits = 64 * WORDS_OF_PARITY
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
-    return np.packbits(odd, bitorder="little").tobytes()
+    return np.packbits(odd, bitorder="little").view(np.int64)
 
 
-#: Words of the short parity vector, and first frequent shingles of a window, that conditions of joins use.
-SHORT, LEAD = 16, 8
-_WINDOW_SCHEMA = "n bigint, sid bigint, parity binary, rare array<bigint>, frequent array<bigint>, short array<bigint>"
+_WINDOW_SCHEMA = "n bigint, sid bigint, rare array<bigint>, frequent array<bigint>"
 
 
 def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """doc_id, n, sid of every row; the first row of a set in a batch also has its parity vector and window."""
+    """doc_id, n, sid of every row; the first row of a set in a batch also has its window."""
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(classes)
@@ -166,14 +169,14 @@ def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached, of = _WordHash(), shared.value
         for batch in slices(batches, "text", 2 << 20):
-            seen, n, sid, parity, rare, frequent, short = set(), [], [], [], [], [], []
+            seen, n, sid, rare, frequent = set(), [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingles(t, cached)
                 n.append(len(s))
                 key = set_id(s) if len(s) else None
                 sid.append(key)
                 if key is None or key in seen:
-                    parity.append(None), rare.append(None), frequent.append(None), short.append(None)
+                    rare.append(None), frequent.append(None)
                     continue
                 seen.add(key)
                 c = of[_sketch_slots(s)]
@@ -182,10 +185,8 @@ def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                 first, k = s[order].view(np.int64), int((c[order] < FREQUENT).sum())
                 rare.append(first[:k])
                 frequent.append(first[k:] if k < len(first) else None)
-                short.append(np.frombuffer(parities(s, 64 * SHORT), np.int64) if k < len(first) else None)
-                parity.append(parities(s))
             lists = lambda x: pa.array(x, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n": pa.array(n, pa.int64()), "sid": pa.array(sid, pa.int64()), "parity": pa.array(parity, pa.binary()), "rare": lists(rare), "frequent": lists(frequent), "short": lists(short)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n": pa.array(n, pa.int64()), "sid": pa.array(sid, pa.int64()), "rare": lists(rare), "frequent": lists(frequent)})
 
     return rows.mapInArrow(run, f"doc_id {kind}, {_WINDOW_SCHEMA}")
 
@@ -200,72 +201,84 @@ def _reachable(i, j, a, b) -> np.ndarray:
     return (DENOMINATOR + NUMERATOR) * most >= NUMERATOR * (a + b)
 
 
-def _region_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs a < b of each run of equal shingles whose sizes and places let them link; distinct within about a million."""
+def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (token, sid, n, place), sorted by token and sid, a run of equal tokens a region. Copies of a row count once.
+
+    Of a region of at most SMALL sets: the pairs sid < other whose sizes and places let them link, without token, distinct
+    within about a million. Of a larger one: its rows, as they come, so that a region of any size takes no memory.
+    """
     held: list[np.ndarray] = []
-    rest = None
+    names = ["token", "sid", "n", "other"]
+
+    def rows(token, sid, n) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(sid), pa.array(n), pa.nulls(len(sid), pa.int64())], names)
 
     def drain() -> Iterator[pa.RecordBatch]:
         pairs = np.unique(np.concatenate(held), axis=0) if held else np.zeros((0, 2), np.int64)
         held.clear()
         if len(pairs):
-            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-    def within(token, sid, n, place) -> None:
-        first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-        size = np.diff(np.append(first, len(token)))
-        first, size = first[size > 1], size[size > 1]
-        # Row k of a run is paired with the size - 1 - k rows behind it.
-        at = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        behind = np.repeat(first + size, size) - at - 1
-        for part in np.array_split(np.arange(len(at)), max(1, int(behind.sum() // 2_000_000))):
-            x, k = at[part], behind[part]
-            i = np.repeat(x, k)
-            j = i + 1 + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-            ok = (sid[i] != sid[j]) & _sizes_fit(n[i], n[j])
-            i, j = i[ok], j[ok]
-            ok = _reachable(place[i], place[j], n[i], n[j])
-            i, j = i[ok], j[ok]
-            if len(i):
-                held.append(np.unique(np.stack([np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])], axis=1), axis=0))
-
-    for batch in batches:
-        cols = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns]
-        if rest is not None:
-            cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
-        last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last run may go on
-        rest = [c[last:] for c in cols]
-        within(*(c[:last] for c in cols))
+            none = pa.nulls(len(pairs), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[:, 0]), none, pa.array(pairs[:, 1])], names)
+
+    def whole(token, sid, n, place) -> Iterator[pa.RecordBatch]:
+        """Whole regions."""
+        first = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
+        size = np.repeat(np.diff(np.append(first, len(token))), np.diff(np.append(first, len(token))))
+        large = size > SMALL
+        if large.any():
+            yield rows(token[large], sid[large], n[large])
+        few = (size > 1) & ~large
+        token, sid, n, place = token[few], sid[few], n[few], place[few]
+        for step in range(1, SMALL):
+            i = np.flatnonzero(token[step:] == token[:-step]) if len(token) > step else np.zeros(0, np.int64)
+            j = i + step
+            ok = _sizes_fit(n[i], n[j]) & _reachable(place[i], place[j], n[i], n[j])
+            if ok.any():
+                held.append(np.stack([sid[i[ok]], sid[j[ok]]], axis=1))  # a region's sids ascend
+
+    rest, hot, before = [np.zeros(0, np.int64)] * 4, None, None
+    for batch in (b for b in batches if b.num_rows):
+        cols = [np.concatenate((r, c.to_numpy(zero_copy_only=False).astype(np.int64))) for r, c in zip(rest, batch.columns, strict=True)]
+        token, sid = cols[:2]
+        fresh = np.append((token[0], sid[0]) != before, (token[1:] != token[:-1]) | (sid[1:] != sid[:-1]))
+        before = None
+        cols = [c[fresh] for c in cols]
+        if hot is not None:  # the region that the rows before belong to is large already
+            same = int(np.searchsorted(cols[0], hot, "right"))
+            if same:
+                yield rows(*(c[:same] for c in cols[:3]))
+                before = (hot, int(cols[1][same - 1]))
+            cols = [c[same:] for c in cols]
+        if len(cols[0]):
+            hot, before = None, None
+            last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last region may go on
+            yield from whole(*(c[:last] for c in cols))
+            rest = [c[last:] for c in cols]
+            if len(rest[0]) > SMALL:
+                yield rows(*rest[:3])
+                hot, before = int(rest[0][-1]), (int(rest[0][-1]), int(rest[1][-1]))
+                rest = [np.zeros(0, np.int64)] * 4
+        else:
+            rest = cols
+            before = before or (token[-1], sid[-1])
         if sum(map(len, held)) > 1_000_000:
             yield from drain()
-    if rest is not None:
-        within(*rest)
+    yield from whole(*rest)
     yield from drain()
 
 
-def _entries(found: DataFrame, column: str, offset: bool) -> DataFrame:
-    place = F.col("pos") + F.size("rare") if offset else F.col("pos")
-    return found.where(f"{column} IS NOT NULL").select("sid", "n", "rare", "short", "frequent", F.posexplode(column).alias("pos", "token")).select("token", "sid", "n", place.cast("bigint").alias("place"), (F.col("n") - F.size("rare")).alias("rest"), "short", F.slice("frequent", 1, LEAD).alias("lead"))
+def _entries(found: DataFrame, column: str) -> DataFrame:
+    return found.where(f"{column} IS NOT NULL").select("sid", "n", F.posexplode(column).alias("pos", "token")).select("token", "sid", "n", F.col("pos").cast("bigint").alias("place"))
 
 
-def _parities_fit(na: pd.Series, nb: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-    """Whether sets of these sizes that differ in at least as many shingles as their vectors do in bits can link."""
-    apart = np.empty(len(a), np.int64)
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-        while len(x) != len(y):
-            if len(x) < len(y):
-                x, y = y, x
-            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-        apart[i] = np.bitwise_count(x ^ y).sum()
-    total = (na + nb).to_numpy()
-    return pd.Series((DENOMINATOR + NUMERATOR) * (total - apart) >= 2 * NUMERATOR * total)
+def _sizes(a: str, b: str) -> F.Column:
+    return DENOMINATOR * F.least(a, b) >= NUMERATOR * F.greatest(a, b)
 
 
-def _may_link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b) whose parity vectors let them link."""
-    of = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"v{x}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").where(F.pandas_udf(_parities_fit, "boolean")("na", "nb", "va", "vb")).select("a", "b")
+def _most_common(n: str, other_n: str, v: str, other_v: str) -> F.Column:
+    """The most shingles that sets of these sizes and parity vectors can have in common."""
+    apart = sum(F.bit_count(F.get(v, F.lit(k)).bitwiseXOR(F.get(other_v, F.lit(k)))) for k in range(WORDS_OF_PARITY))
+    return F.least((F.col(n) + F.col(other_n) - apart) / 2, F.col(n), F.col(other_n))
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,8 +307,8 @@ _LINKED = f"{DENOMINATOR} * common >= {NUMERATOR} * total"
 
 
 def _contents(docs: DataFrame, members: DataFrame, sids: DataFrame) -> DataFrame:
-    """The shingles of the given sets, from the text of one document of each; written, as several joins read it."""
-    wanted = members.where("parity IS NOT NULL").join(sids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    """sid, shingles, parity of the given sets, from the text of one document of each; written, as several joins read it."""
+    wanted = members.where("rare IS NOT NULL").join(sids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     ids = write_table(wanted.select("doc_id").where("doc_id IS NOT NULL").distinct())
     few = ids.count() <= BROADCAST_IDS
     rows = docs.select("doc_id", "text")
@@ -310,59 +323,89 @@ def _contents(docs: DataFrame, members: DataFrame, sids: DataFrame) -> DataFrame
                 s = shingles(t, cached)
                 if len(s) and (k := set_id(s)) not in seen:
                     seen.add(k)
-                    out.append((k, s.tobytes()))
+                    out.append((k, s.tobytes(), parities(s)))
             if out:
-                sid, data = zip(*out, strict=True)
-                yield pa.RecordBatch.from_pydict({"sid": pa.array(sid, pa.int64()), "shingles": pa.array(data, pa.binary())})
+                sid, data, bits = zip(*out, strict=True)
+                yield pa.RecordBatch.from_pydict({"sid": pa.array(sid, pa.int64()), "shingles": pa.array(data, pa.binary()), "parity": pa.array(bits, pa.list_(pa.int64()))})
 
-    found = texts.mapInArrow(run, "sid bigint, shingles binary")
+    found = texts.mapInArrow(run, "sid bigint, shingles binary, parity array<bigint>")
     # Only rows that repeat an id, or have none, can give one set twice.
     repeats = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count()
     return write_table(found.dropDuplicates(["sid"]) if repeats else found, compression="lz4")
 
 
-def _with_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+    return write_table(compare(pairs, contents).where(_LINKED).select("a", "b"))
+
+
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """pairs (a, b) that lie in different components."""
     of = lambda x: labels.select(F.col("node").alias(x), F.col("root").alias(f"r{x}"))
     joined = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
     return joined.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _region_pivots(entries: DataFrame) -> DataFrame:
-    """token, pivots: the documents of each frequent shingle that PIVOTS hashes put first; combined on the map side."""
-    firsts = [F.min(F.struct(F.xxhash64("sid", F.lit(j)), "sid"))["sid"] for j in range(PIVOTS)]
-    return entries.groupBy("token").agg(F.array_distinct(F.array(*firsts)).alias("pivots"))
-
-
-def _boundary_pairs(entries: DataFrame, pivots: DataFrame, distances: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of frequent regions that components still tell apart, by Voronoi regions of the pivots and their windows."""
-    labelled = entries.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    apart = labelled.groupBy("token").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("token")
-    rows = write_table(labelled.join(apart, "token", "left_semi"))
-    # Distances are gathered by keys alone; what the conditions need is joined to the one row of each (shingle, set) after.
-    per = rows.select("token", "sid").join(pivots, "token").select("token", "sid", F.explode("pivots").alias("pivot"))
-    far = F.when(F.col("sid") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance"))
-    measured = per.join(distances.select(F.col("a").alias("sid"), F.col("b").alias("pivot"), "distance"), ["sid", "pivot"], "left").withColumn("d", far)
-    # A document whose size excludes a link with a pivot has no distance to it and is replicated to all regions.
-    places = measured.groupBy("token", "sid").agg(
-        F.min(F.struct(F.coalesce("d", F.lit(9.0)).alias("near"), "pivot")).alias("home"),
-        F.count(F.when(F.col("d").isNull(), 1)).alias("unknown"), F.collect_list(F.struct("pivot", "d")).alias("all"),
-    )
-    cells = rows.join(places, ["token", "sid"])
+def _rooted(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """large (token, sid, n) with the root of each set's component."""
+    return large.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+
+
+def _first_pivots(large: DataFrame) -> DataFrame:
+    """sid, n, pivot: each set's Voronoi region. Sets that are alone in all their regions are left out.
+
+    Regions are grouped with map-side minima and counts, and a region's pivot is joined back to it, so a region of very many
+    sets is no hot task.
+    """
+    pivots = write_table(large.groupBy("token").agg(F.min(F.struct(F.xxhash64("sid"), "sid"))["sid"].alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1").select("token", "pivot"))
+    shared = large.join(pivots, "token").groupBy("sid", "n", "pivot").agg(F.count(F.lit(1)).alias("shared"))
+    # A pivot is nearest to itself.
+    best = F.max(F.struct(F.col("sid") == F.col("pivot"), "shared", F.xxhash64("pivot"), "pivot"))["pivot"]
+    return write_table(shared.groupBy("sid", "n").agg(best.alias("pivot")))
+
+
+def _largest_parts(rooted: DataFrame, level: int) -> DataFrame:
+    """token, root, pivot, pivot_n of the largest component of each region that holds several, with a pivot out of it."""
+    parts = rooted.groupBy("token", "root").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("sid", F.lit(level)).alias("h"), "sid", "n")).alias("at"))
+    best = parts.groupBy("token").agg(F.max(F.struct("size", "root", "at")).alias("best"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    return best.select("token", F.col("best.root").alias("largest"), F.col("best.at.sid").alias("pivot"), F.col("best.at.n").alias("pivot_n"))
+
+
+def _asked(large: DataFrame, labels: DataFrame, tried: DataFrame, level: int) -> DataFrame:
+    """(a, b): each set outside the largest component of a region, with the pivot out of such a component with which it
+    shares the most regions, if sizes allow a link and the two have not been compared."""
+    rooted = write_table(_rooted(large, labels))
+    open_ = rooted.join(_largest_parts(rooted, level), "token").where((F.col("root") != F.col("largest")) & _sizes("n", "pivot_n"))
+    shared = open_.groupBy(F.col("sid").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    met = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return write_table(shared.join(met, ["a", "b"], "left_anti").groupBy("a").agg(F.max(F.struct("shared", F.xxhash64("b"), "b"))["b"].alias("b")))
+
+
+def _boundary_pairs(large: DataFrame, homes: DataFrame, contents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of large regions that may link and that components still tell apart; homes: sid, n, pivot, distance."""
     eps = 1 - NUMERATOR / DENOMINATOR + 1e-9
-    side = lambda x: [F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("place").alias(f"i{x}"), F.col("rest").alias(f"s{x}"), F.col("short").alias(f"v{x}"), F.col("lead").alias(f"f{x}"), F.col("root").alias(f"r{x}"), F.map_from_entries("all").alias(f"d{x}")]
-    home = cells.select("token", F.col("home.pivot").alias("cell"), *side("a"))
-    replica = cells.select("token", F.explode("all").alias("at"), F.col("home.near").alias("near"), "unknown", *side("b"))
-    replica = replica.where((F.col("unknown") > 0) | (F.col("at.d") <= F.col("near") + 2 * eps)).withColumn("cell", F.col("at.pivot")).drop("at", "near", "unknown")
-    close = F.forall(F.map_keys("da"), lambda p: F.coalesce(F.abs(F.col("da")[p] - F.col("db")[p]) <= eps, F.lit(True)))
-    sizes = (DENOMINATOR * F.least("na", "nb") >= NUMERATOR * F.greatest("na", "nb")) & ((DENOMINATOR + NUMERATOR) * (F.least("ia", "ib") + F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))) >= NUMERATOR * (F.col("na") + F.col("nb")))
-    sizes = sizes & ((DENOMINATOR + NUMERATOR) * F.least("sa", "sb") >= NUMERATOR * (F.col("na") + F.col("nb")))
-    apart = sum(F.bit_count(F.get("va", F.lit(k)).bitwiseXOR(F.get("vb", F.lit(k)))) for k in range(SHORT))
-    sizes = sizes & ((DENOMINATOR + NUMERATOR) * (F.col("na") + F.col("nb") - apart) >= 2 * NUMERATOR * (F.col("na") + F.col("nb")))
-    # A pair is not made again at a shingle if both windows begin with a common one that comes before it.
-    first = F.coalesce(F.get(F.array_intersect("fa", "fb"), F.lit(0)) == F.col("token"), F.lit(True))
-    met = home.join(replica, ["token", "cell"]).where((F.col("ra") != F.col("rb")) & (F.col("a") != F.col("b")) & sizes & close & first)
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    vector = contents.select("sid", "parity")
+    rooted = write_table(_rooted(large, labels))
+    open_ = _largest_parts(rooted, 0).select("token", "largest")
+    entries = write_table(rooted.join(open_, "token"))
+    minors = write_table(entries.where("root <> largest").select("token", "sid"))
+    cells = homes.groupBy("pivot").agg(F.max("distance").alias("radius"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    with_n = homes.select(F.col("sid").alias("pivot"), F.col("n").alias("pn")).join(vector.select(F.col("sid").alias("pivot"), F.col("parity").alias("pv")), "pivot")
+    about = write_table(cells.join(with_n, "pivot"))
+    met = write_table(entries.select("token", "sid").join(homes.select("sid", "pivot"), "sid").select("token", "pivot").distinct())
+    sides = homes.select("sid", "n").join(vector, "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    asking = sides.join(minors.select("sid").distinct(), "sid", "left_semi").withColumnRenamed("parity", "v")
+    common = _most_common("n", "pn", "v", "pv")
+    # The least distance from the pivot that sizes and parity vectors allow.
+    replicas = (
+        minors.join(met, "token").select("sid", "pivot").distinct().join(asking, "sid").join(about, "pivot")
+        .where((F.col("n") * DENOMINATOR >= F.col("least_n") * NUMERATOR) & (F.col("most_n") * DENOMINATOR >= F.col("n") * NUMERATOR))
+        .withColumn("from", F.greatest(F.lit(0.0), 1 - common / (F.col("n") + F.col("pn") - common))).where(F.col("from") <= F.col("radius") + eps)
+        .select("pivot", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("v").alias("va"), F.col("root").alias("ra"), "from")
+    )
+    home = homes.select("sid", "pivot", "distance").join(sides, "sid").select("pivot", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("vb"), F.col("root").alias("rb"), "distance")
+    fits = (DENOMINATOR + NUMERATOR) * _most_common("na", "nb", "va", "vb") >= NUMERATOR * (F.col("na") + F.col("nb"))
+    pairs = write_table(replicas).join(write_table(home), "pivot").where((F.col("ra") != F.col("rb")) & (F.col("distance") >= F.col("from") - eps) & _sizes("na", "nb") & fits)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -370,42 +413,48 @@ def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     small_batches(docs.sparkSession)
     classes = frequency_classes(frequency_sketch(docs))
     members = write_table(windows(docs, classes))
-    sets = write_table(members.where("parity IS NOT NULL").select("sid", "n", "parity").dropDuplicates(["sid"]))
-    rare = _entries(members, "rare", False).drop("rest", "short", "lead").repartition("token").sortWithinPartitions("token")
-    met = rare.mapInArrow(_region_pairs, "a bigint, b bigint").distinct()
-    frequent = write_table(_entries(members, "frequent", True).dropDuplicates(["token", "sid"]))
-    pivots = write_table(_region_pivots(frequent))
-    to_pivots = (
-        frequent.join(pivots, "token").select("sid", "n", F.explode("pivots").alias("pivot")).where("sid <> pivot").distinct()
-        .join(sets.select(F.col("sid").alias("pivot"), F.col("n").alias("pn")), "pivot")
-        .where(DENOMINATOR * F.least("n", "pn") >= NUMERATOR * F.greatest("n", "pn")).select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
-    )
-    near = write_table(_may_link(met, sets))
-    stars = write_table(to_pivots)
-    contents = _contents(docs, members, near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid"))).unionByName(frequent.select("sid")).distinct())
+    rare = _entries(members, "rare").repartition("token").sortWithinPartitions("token", "sid")
+    regions = write_table(rare.mapInArrow(_regions, "token bigint, sid bigint, n bigint, other bigint"))
+    near = write_table(regions.where("token IS NULL").select(F.col("sid").alias("a"), F.col("other").alias("b")).distinct())
+    frequent = _entries(members, "frequent").select("token", "sid", "n").dropDuplicates(["token", "sid"])
+    large = write_table(regions.where("token IS NOT NULL").select("token", "sid", "n").unionByName(frequent))
+    homes = _first_pivots(large)
+    contents = _contents(docs, members, near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid"))).unionByName(homes.select("sid")).distinct())
     one = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    stars = homes.where("sid <> pivot").select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
     compared = write_table(compare(one.unionByName(stars).distinct(), contents))
-    distances = compared.select("a", "b", (1 - F.col("common") / F.col("total")).alias("distance"))
-    links = compared.where(_LINKED).select("a", "b")
-    labels = components(links)
-    boundary = _may_link(_boundary_pairs(frequent, pivots, distances, labels), sets)
-    rest = _with_labels(near.unionByName(boundary).distinct(), labels)
-    more = write_table(compare(rest, contents).where(_LINKED).select("a", "b"))
-    if more.limit(1).count():
-        labels = components(links.unionByName(more))
-    return members, labels
+    labels = components(compared.where(_LINKED).select("a", "b"))
+    n_sets, tried = homes.count(), compared.select("a", "b")
+    for level in range(1, LEVELS):
+        asked = _asked(large, labels, tried, level)
+        if (n := asked.count()) * FEW < n_sets or not n:
+            break
+        more = _linked(asked, contents)
+        labels, tried = merged(labels, more), tried.unionByName(asked)
+        if more.count() * YIELD < n:
+            break
+    distances = compared.select(F.col("a").alias("sid"), F.col("b").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("distance"))
+    placed = write_table(homes.join(distances, ["sid", "pivot"], "left").select("sid", "n", "pivot", F.coalesce("distance", F.lit(0.0)).alias("distance")))
+    left = write_table(_across(near, labels).unionByName(_boundary_pairs(large, placed, contents, labels)).distinct())
+    labels = merged(labels, _linked(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), contents))
+    return members, merged(labels, _linked(_across(left, labels), contents))
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id that links reach, itself included) of every row."""
-    members, labels = link_components(docs)
-    rows = members.select("doc_id", F.col("n").alias("n_shingles"), "sid")
-    named = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least")).join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    # Written, so that the join reads plain shuffles, of which AQE splits the one that holds a component of very many sets.
-    named = write_table(named)
-    least = write_table(named.groupBy("root").agg(F.min("least").alias("component")))
-    of_set = named.select("sid", "root").join(least, "root").select("sid", "component")
-    return rows.join(of_set, "sid", "left").select("doc_id", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    """doc_id, n_shingles, component_id (the smallest doc_id that links reach, itself included) of every row.
+
+    The result is written; the tables on the way to it are deleted.
+    """
+    with temporary_tables(docs.sparkSession):
+        members, labels = link_components(docs)
+        rows = members.select("doc_id", F.col("n").alias("n_shingles"), "sid")
+        named = rows.where("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("least")).join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        # Written, so that the join reads plain shuffles, of which AQE splits the one that holds a component of very many sets.
+        named = write_table(named)
+        least = write_table(named.groupBy("root").agg(F.min("least").alias("component")))
+        of_set = named.select("sid", "root").join(least, "root").select("sid", "component")
+        component = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id")
+        return write_table(rows.join(of_set, "sid", "left").select("doc_id", "n_shingles", component), keep=True)
 
 
 def dedup_rows(docs: DataFrame) -> DataFrame:
