@@ -21,8 +21,8 @@ which is a Jaccard distance of at most a quarter.
   no more than the threshold. This is the one join that is not linear: sets that link with nothing, times the sets of a
   Voronoi region that hold many of the same shingles. It compares sizes and bit vectors; pairs that pass are compared in full.
 * Comparison. Bit k of a set's parity vector tells whether an odd number of its shingles fall into bucket k, so two vectors
-  differ in no more bits than the sets in shingles: a lower bound of their distance. Of each set first one partner is
-  compared, then the pairs that lie in different components.
+  differ in no more bits than the sets in shingles: a lower bound of their distance. Pairs that long vectors let pass are
+  compared in full, of each set first one partner, then the pairs that lie in different components.
 
 No pair is dropped, capped or sampled. Copies collapse before anything is shuffled and are one set throughout; pairs
 inside a component that is already known are not compared, as they change no component.
@@ -37,6 +37,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -53,12 +54,15 @@ COUNTERS, COUNTER_BLOCKS = 1 << 22, 64
 FAN_IN = 512
 #: Classes under this are rare: chance alone may explain a counter. They tell counts in steps of a standard deviation.
 FREQUENT = 8
-#: Sets of a region that is joined directly, at most; words of a parity vector.
-SMALL, WORDS_OF_PARITY = 8, 16
+#: Sets of a region that is joined directly, at most.
+SMALL = 8
+#: Bits of a set's parity vector for each shingle, at least (a power of two in all); words of the short vectors of joins.
+BITS_EACH, SHORT = 4, 16
 #: Another level of pivots follows while the sets that ask for one are at least one in so many of those of large regions,
 #: and one in so many of those asked has linked; LEVELS bounds the levels, as the boundary join ends the recursion exactly.
 FEW, YIELD, LEVELS = 16, 4, 8
-#: Ids up to this number are broadcast to fetch their texts; beyond, the texts are joined by a shuffle.
+#: Ids up to this number (8 bytes each, if they are longs) are broadcast to fetch their texts or shingles; beyond, these are
+#: joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 CACHE = 200_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -150,18 +154,18 @@ def frequency_classes(counts: np.ndarray) -> np.ndarray:
     return np.where(rare, steps, np.log2(np.maximum(counts, 1)) + FREQUENT).astype(np.uint8)
 
 
-def parities(s: np.ndarray) -> np.ndarray:
-    """The parity vector as signed words."""
-    bits = 64 * WORDS_OF_PARITY
+def parities(s: np.ndarray, bits: int | None = None) -> bytes:
+    """The parity vector, 2^k >= BITS_EACH * n bits; the vector of half its length is the exclusive or of its halves."""
+    bits = bits or max(256, 1 << (BITS_EACH * len(s) - 1).bit_length())
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
-    return np.packbits(odd, bitorder="little").view(np.int64)
+    return np.packbits(odd, bitorder="little").tobytes()
 
 
-_WINDOW_SCHEMA = "n bigint, sid bigint, rare array<bigint>, frequent array<bigint>"
+_WINDOW_SCHEMA = "n bigint, sid bigint, parity binary, rare array<bigint>, frequent array<bigint>"
 
 
 def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
-    """doc_id, n, sid of every row; the first row of a set in a batch also has its window."""
+    """doc_id, n, sid of every row; the first row of a set in a batch also has its parity vector and window."""
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(classes)
@@ -169,14 +173,14 @@ def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cached, of = _WordHash(), shared.value
         for batch in slices(batches, "text", 2 << 20):
-            seen, n, sid, rare, frequent = set(), [], [], [], []
+            seen, n, sid, parity, rare, frequent = set(), [], [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingles(t, cached)
                 n.append(len(s))
                 key = set_id(s) if len(s) else None
                 sid.append(key)
                 if key is None or key in seen:
-                    rare.append(None), frequent.append(None)
+                    parity.append(None), rare.append(None), frequent.append(None)
                     continue
                 seen.add(key)
                 c = of[_sketch_slots(s)]
@@ -185,8 +189,9 @@ def windows(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                 first, k = s[order].view(np.int64), int((c[order] < FREQUENT).sum())
                 rare.append(first[:k])
                 frequent.append(first[k:] if k < len(first) else None)
+                parity.append(parities(s))
             lists = lambda x: pa.array(x, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n": pa.array(n, pa.int64()), "sid": pa.array(sid, pa.int64()), "rare": lists(rare), "frequent": lists(frequent)})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n": pa.array(n, pa.int64()), "sid": pa.array(sid, pa.int64()), "parity": pa.array(parity, pa.binary()), "rare": lists(rare), "frequent": lists(frequent)})
 
     return rows.mapInArrow(run, f"doc_id {kind}, {_WINDOW_SCHEMA}")
 
@@ -277,10 +282,30 @@ def _sizes(a: str, b: str) -> F.Column:
 
 def _most_common(n: str, other_n: str, v: str, other_v: str) -> F.Column:
     """The most shingles that sets of these sizes and parity vectors can have in common."""
-    apart = sum(F.bit_count(F.get(v, F.lit(k)).bitwiseXOR(F.get(other_v, F.lit(k)))) for k in range(WORDS_OF_PARITY))
+    apart = sum(F.bit_count(F.get(v, F.lit(k)).bitwiseXOR(F.get(other_v, F.lit(k)))) for k in range(SHORT))
     return F.least((F.col(n) + F.col(other_n) - apart) / 2, F.col(n), F.col(other_n))
 
 
+def _parities_fit(na: pd.Series, nb: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+    """Whether sets of these sizes that differ in at least as many shingles as their vectors do in bits can link."""
+    apart = np.empty(len(a), np.int64)
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+        while len(x) != len(y):
+            if len(x) < len(y):
+                x, y = y, x
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        apart[i] = np.bitwise_count(x ^ y).sum()
+    total = (na + nb).to_numpy()
+    return pd.Series((DENOMINATOR + NUMERATOR) * (total - apart) >= 2 * NUMERATOR * total)
+
+
+def _may_link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b) whose parity vectors let them link."""
+    of = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"v{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(F.pandas_udf(_parities_fit, "boolean")("na", "nb", "va", "vb")).select("a", "b")
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b, x, y = batch.columns
@@ -297,18 +322,26 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compare(pairs: DataFrame, contents: DataFrame) -> DataFrame:
-    """a, b, common, total (sizes of intersection and union) of each pair; contents has sid and its shingles as bytes."""
-    left = contents.select(F.col("sid").alias("a"), F.col("shingles").alias("x"))
-    right = contents.select(F.col("sid").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_overlaps, "a bigint, b bigint, common bigint, total bigint")
+    """a, b, common, total (sizes of intersection and union) of each pair; contents has sid and its shingles as bytes.
+
+    Only the sets that take part are shuffled.
+    """
+    pairs = write_table(pairs)
+    few = pairs.count() <= BROADCAST_IDS
+
+    def side(of: str, shingles: str) -> DataFrame:
+        ids = pairs.select(F.col(of).alias("sid")).distinct()
+        return contents.join(F.broadcast(ids) if few else ids, "sid", "left_semi").select(F.col("sid").alias(of), F.col("shingles").alias(shingles))
+
+    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_overlaps, "a bigint, b bigint, common bigint, total bigint")
 
 
 _LINKED = f"{DENOMINATOR} * common >= {NUMERATOR} * total"
 
 
 def _contents(docs: DataFrame, members: DataFrame, sids: DataFrame) -> DataFrame:
-    """sid, shingles, parity of the given sets, from the text of one document of each; written, as several joins read it."""
-    wanted = members.where("rare IS NOT NULL").join(sids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    """sid, shingles, short (parity vector) of the given sets, from the text of one document of each; written, as several joins read it."""
+    wanted = members.where("parity IS NOT NULL").join(sids, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     ids = write_table(wanted.select("doc_id").where("doc_id IS NOT NULL").distinct())
     few = ids.count() <= BROADCAST_IDS
     rows = docs.select("doc_id", "text")
@@ -323,12 +356,12 @@ def _contents(docs: DataFrame, members: DataFrame, sids: DataFrame) -> DataFrame
                 s = shingles(t, cached)
                 if len(s) and (k := set_id(s)) not in seen:
                     seen.add(k)
-                    out.append((k, s.tobytes(), parities(s)))
+                    out.append((k, s.tobytes(), np.frombuffer(parities(s, 64 * SHORT), np.int64)))
             if out:
                 sid, data, bits = zip(*out, strict=True)
-                yield pa.RecordBatch.from_pydict({"sid": pa.array(sid, pa.int64()), "shingles": pa.array(data, pa.binary()), "parity": pa.array(bits, pa.list_(pa.int64()))})
+                yield pa.RecordBatch.from_pydict({"sid": pa.array(sid, pa.int64()), "shingles": pa.array(data, pa.binary()), "short": pa.array(bits, pa.list_(pa.int64()))})
 
-    found = texts.mapInArrow(run, "sid bigint, shingles binary, parity array<bigint>")
+    found = texts.mapInArrow(run, "sid bigint, shingles binary, short array<bigint>")
     # Only rows that repeat an id, or have none, can give one set twice.
     repeats = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").limit(1).count()
     return write_table(found.dropDuplicates(["sid"]) if repeats else found, compression="lz4")
@@ -383,17 +416,17 @@ def _asked(large: DataFrame, labels: DataFrame, tried: DataFrame, level: int) ->
 def _boundary_pairs(large: DataFrame, homes: DataFrame, contents: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of large regions that may link and that components still tell apart; homes: sid, n, pivot, distance."""
     eps = 1 - NUMERATOR / DENOMINATOR + 1e-9
-    vector = contents.select("sid", "parity")
+    vector = contents.select("sid", "short")
     rooted = write_table(_rooted(large, labels))
     open_ = _largest_parts(rooted, 0).select("token", "largest")
     entries = write_table(rooted.join(open_, "token"))
     minors = write_table(entries.where("root <> largest").select("token", "sid"))
     cells = homes.groupBy("pivot").agg(F.max("distance").alias("radius"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    with_n = homes.select(F.col("sid").alias("pivot"), F.col("n").alias("pn")).join(vector.select(F.col("sid").alias("pivot"), F.col("parity").alias("pv")), "pivot")
+    with_n = homes.select(F.col("sid").alias("pivot"), F.col("n").alias("pn")).join(vector.select(F.col("sid").alias("pivot"), F.col("short").alias("pv")), "pivot")
     about = write_table(cells.join(with_n, "pivot"))
     met = write_table(entries.select("token", "sid").join(homes.select("sid", "pivot"), "sid").select("token", "pivot").distinct())
     sides = homes.select("sid", "n").join(vector, "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    asking = sides.join(minors.select("sid").distinct(), "sid", "left_semi").withColumnRenamed("parity", "v")
+    asking = sides.join(minors.select("sid").distinct(), "sid", "left_semi").withColumnRenamed("short", "v")
     common = _most_common("n", "pn", "v", "pv")
     # The least distance from the pivot that sizes and parity vectors allow.
     replicas = (
@@ -402,7 +435,7 @@ def _boundary_pairs(large: DataFrame, homes: DataFrame, contents: DataFrame, lab
         .withColumn("from", F.greatest(F.lit(0.0), 1 - common / (F.col("n") + F.col("pn") - common))).where(F.col("from") <= F.col("radius") + eps)
         .select("pivot", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("v").alias("va"), F.col("root").alias("ra"), "from")
     )
-    home = homes.select("sid", "pivot", "distance").join(sides, "sid").select("pivot", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("vb"), F.col("root").alias("rb"), "distance")
+    home = homes.select("sid", "pivot", "distance").join(sides, "sid").select("pivot", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("short").alias("vb"), F.col("root").alias("rb"), "distance")
     fits = (DENOMINATOR + NUMERATOR) * _most_common("na", "nb", "va", "vb") >= NUMERATOR * (F.col("na") + F.col("nb"))
     pairs = write_table(replicas).join(write_table(home), "pivot").where((F.col("ra") != F.col("rb")) & (F.col("distance") >= F.col("from") - eps) & _sizes("na", "nb") & fits)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -415,7 +448,8 @@ def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = write_table(windows(docs, classes))
     rare = _entries(members, "rare").repartition("token").sortWithinPartitions("token", "sid")
     regions = write_table(rare.mapInArrow(_regions, "token bigint, sid bigint, n bigint, other bigint"))
-    near = write_table(regions.where("token IS NULL").select(F.col("sid").alias("a"), F.col("other").alias("b")).distinct())
+    sets = write_table(members.where("parity IS NOT NULL").select("sid", "n", "parity").dropDuplicates(["sid"]))
+    near = write_table(_may_link(regions.where("token IS NULL").select(F.col("sid").alias("a"), F.col("other").alias("b")).distinct(), sets))
     frequent = _entries(members, "frequent").select("token", "sid", "n").dropDuplicates(["token", "sid"])
     large = write_table(regions.where("token IS NOT NULL").select("token", "sid", "n").unionByName(frequent))
     homes = _first_pivots(large)
@@ -435,7 +469,8 @@ def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             break
     distances = compared.select(F.col("a").alias("sid"), F.col("b").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("distance"))
     placed = write_table(homes.join(distances, ["sid", "pivot"], "left").select("sid", "n", "pivot", F.coalesce("distance", F.lit(0.0)).alias("distance")))
-    left = write_table(_across(near, labels).unionByName(_boundary_pairs(large, placed, contents, labels)).distinct())
+    boundary = _may_link(_boundary_pairs(large, placed, contents, labels), sets)
+    left = write_table(_across(near, labels).unionByName(boundary).distinct())
     labels = merged(labels, _linked(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), contents))
     return members, merged(labels, _linked(_across(left, labels), contents))
 
