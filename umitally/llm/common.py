@@ -56,6 +56,17 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores before each as it takes that df has no column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -70,25 +81,22 @@ def held_out(modulus: int, remainder: int, column: str = "doc_id") -> F.Column:
     return F.coalesce(fold(column, modulus) == F.lit(remainder), F.lit(False))
 
 
-#: Longer texts (in bytes) are scored like any other but not taken for training, so a sample's size is bounded.
-LONGEST_SAMPLE = 1 << 16
-
-
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, modulus: int, remainder: int, limit: int, columns: list[str]) -> pa.Table:
     """At most `limit` labelled training rows: the given columns of docs and `_label`, in an order that is always the same.
 
     The sample is the `limit` training ids with the smallest xxhash64, so it is spread over the whole table. Only these
-    ids (16 bytes each) are broadcast; the texts are scanned once, and those of the sample reach the driver, at most
-    limit * LONGEST_SAMPLE bytes and a few KB each as a rule. Repeated label rows of an id count once, with the larger
-    label; null ids, labels and texts are not learnt from.
+    ids (16 bytes each) are broadcast; the texts are scanned once, and one row of each id, whole texts of any length, reaches
+    the driver: of rows that repeat an id the one with the least text. Repeated label rows of an id count once, with the
+    larger label; null ids, labels and texts are not learnt from.
     """
     ids = (
         labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull() & (fold("doc_id", modulus) != remainder))
         .groupBy("doc_id").agg(F.max(target).cast("int").alias("_label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     )
-    rows = docs.select("doc_id", *columns).where(F.octet_length("text") <= LONGEST_SAMPLE).join(F.broadcast(ids), "doc_id").toArrow()
-    return rows.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    rows = docs.select("doc_id", *columns).where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
+    one = rows.groupBy("doc_id", "_label").agg(F.min(F.struct("text", *(c for c in columns if c != "text"))).alias("_row"))
+    return one.select("doc_id", *(F.col(f"_row.{c}").alias(c) for c in columns), "_label").toArrow().sort_by([("doc_id", "ascending")])
 
 
 def stable_hash(words: list[str]) -> np.ndarray:
