@@ -4,16 +4,17 @@ Writing: the digest of every payload names the record that holds it (the largest
 are range-sorted by id into shards whose splitters come from a hash-chosen sample, so equal input gives equal shards. A
 task streams its shard into gzip members, rolls to a new file when the compressed size is reached, and writes each file
 under a temporary name that it renames when the file is whole. Contents do not depend on attempts, so a task that runs
-twice replaces a file by an equal one. The manifest of all files is renamed into place last and is the commit: readers
-open what it lists and nothing else.
+twice replaces a file by an equal one. When a shard's files are whole its task writes a manifest of them, also under a
+temporary name. A small root manifest with the number of shards is renamed into place last and is the commit: readers open
+what the manifests of its shards list and nothing else. The driver sees sums, never a row a file.
 
 Output goes through pyarrow's file systems (local, HDFS, S3 and others by the scheme of the folder), as Spark has no sink
 for binary files.
 
 Defined cases: null or empty payloads are empty payloads and take part in revisits; a null id sorts first and never names
 a payload unless all its copies lack an id; a row that repeats an id and a payload is a revisit of the first; rows of one
-id with other payloads get record ids of their own; a null URL becomes the record's id; an empty table gives a manifest
-without files; other columns are not read.
+id with other payloads get record ids of their own; a null URL becomes the record's id; an empty table gives a shard
+without files; ids may be integers or strings; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pandas as pd
@@ -57,6 +58,10 @@ def member(data: bytes, level: int = 6) -> bytes:
     return z.compress(data) + z.flush()
 
 
+def page_urn(id_) -> str:
+    return "urn:nopage" if id_ is None else "urn:page:" + quote(str(id_), safe="")
+
+
 def record(record_id: str, url: str, payload: bytes, refers_to: str | None, date: str = DATE) -> bytes:
     """A response record, or a revisit record, which keeps the HTTP header of the full payload but not the payload."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
@@ -87,6 +92,10 @@ def _put(store: fs.FileSystem, path: str, data: bytes) -> None:
     store.move(temporary, path)
 
 
+def shard_manifest(shard: int) -> str:
+    return f"shard-{shard:06d}.json"
+
+
 class _Shard:
     """Files of one shard, written one after another."""
 
@@ -114,9 +123,15 @@ class _Shard:
         if self.out is not None:
             self.out.close()
             self.store.move(self.temporary, f"{self.base}/{self.name}")
-            self.made.append((self.shard, self.name, self.size, self.records, self.sha.hexdigest()))
+            self.made.append({"name": self.name, "bytes": self.size, "records": self.records, "sha256": self.sha.hexdigest()})
             self.out = None
 
+    def commit(self) -> tuple[int, int, int]:
+        """Close the shard and write its manifest; numbers of files, records and bytes."""
+        self.close()
+        _put(self.store, f"{self.base}/{shard_manifest(self.shard)}", json.dumps({"files": self.made}, sort_keys=True).encode())
+        return len(self.made), sum(x["records"] for x in self.made), sum(x["bytes"] for x in self.made)
+
 
 def splitters(pages: DataFrame, id_col: str, shards: int) -> list:
     """shards - 1 ids that cut the table into about equal ranges; the same for equal tables."""
@@ -128,7 +143,7 @@ def splitters(pages: DataFrame, id_col: str, shards: int) -> list:
 
 
 def write_archives(pages: DataFrame, uri: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0, shard_rows: int = SHARD_ROWS, roll_bytes: int = ROLL_BYTES) -> dict:
-    """Write every row and return the manifest. Payloads under least_bytes are never revisits.
+    """Write every row and return the root manifest. Payloads under least_bytes are never revisits.
 
     The payloads are shuffled once. Which record holds a payload is found from ids and digests alone: a grouped maximum
     that is combined on the map side, joined back to ids and digests, where AQE splits a digest that many rows share.
@@ -148,7 +163,8 @@ def write_archives(pages: DataFrame, uri: str, *, id_col: str = "page_id", url_c
     def shard_of(ids: pd.Series) -> pd.Series:
         known = ids.notna()
         out = np.zeros(len(ids), np.int32)
-        out[known] = np.searchsorted(np.array(cuts), ids[known].astype(np.array(cuts).dtype if cuts else None).to_numpy(), "right") if cuts else 0
+        edges = np.array(cuts, object if isinstance(cuts[0], str) else None)
+        out[known] = np.searchsorted(edges, ids[known].to_numpy().astype(edges.dtype), "right")
         return pd.Series(out)
 
     parted = all_rows.withColumn("shard", shard_of("id") if cuts else F.lit(0)).repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("id", F.col("sha1").isNull(), "sha1", "url", "payload")
@@ -164,25 +180,28 @@ def write_archives(pages: DataFrame, uri: str, *, id_col: str = "page_id", url_c
                     continue
                 payload = r["payload"]
                 sha = hashlib.sha1(payload).hexdigest()
-                name = "urn:page:" + ("null" if last is None else str(last))
+                name = page_urn(last)
                 own = name if not nth else f"{name}:{nth}"
                 nth += 1
                 refers = None
                 if len(payload) >= least_bytes:
                     if sha in notice:
-                        refers = f"urn:page:{'null' if notice[sha] is None else notice[sha]}"
+                        refers = page_urn(notice[sha])
                     elif sha in seen:
                         refers = seen[sha]
                     seen.setdefault(sha, own)
                 out.add(member(record(own, r["url"] or own, payload, refers)))
-        out.close()
-        cols = list(zip(*out.made, strict=True)) or [[]] * 5
-        yield pa.RecordBatch.from_pydict({n: pa.array(c, t) for (n, t), c in zip((("shard", pa.int32()), ("name", pa.string()), ("bytes", pa.int64()), ("records", pa.int64()), ("sha256", pa.string())), cols, strict=True)})
+        sums = [pa.array([x], pa.int64()) for x in out.commit()]
+        yield pa.RecordBatch.from_arrays(sums, ["files", "records", "bytes"])
 
-    made = parted.mapInArrow(write, "shard int, name string, bytes bigint, records bigint, sha256 string").orderBy("name").collect()
-    manifest = {"files": [r.asDict() for r in made], "records": sum(r["records"] for r in made)}
-    _put(store, f"{base}/{MANIFEST}", json.dumps(manifest, sort_keys=True).encode())
-    return manifest
+    made = parted.mapInArrow(write, "files bigint, records bigint, bytes bigint")
+    sums = made.agg(F.count(F.lit(1)).alias("shards"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("files", "records", "bytes"))).first().asDict()
+    if not sums["shards"]:  # no task runs where there is nothing to write
+        sums["shards"], _ = 1, _Shard(uri, 0, roll_bytes).commit()
+    elif sums["shards"] != len(cuts) + 1:
+        raise RuntimeError(f"{sums['shards']} of {len(cuts) + 1} shards have been written")
+    _put(store, f"{base}/{MANIFEST}", json.dumps(sums, sort_keys=True).encode())
+    return sums
 
 
 def parse_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -202,8 +221,14 @@ def parse_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], b
         yield head, block
 
 
+def files_of(store: fs.FileSystem, base: str, shard: int) -> list[dict]:
+    """name, bytes, records and sha256 of each file of a shard."""
+    with store.open_input_stream(f"{base}/{shard_manifest(shard)}") as f:
+        return json.loads(f.read())["files"]
+
+
 def read_archives(spark: SparkSession, uri: str, *, id_type: T.DataType | None = None) -> DataFrame:
-    """A row for each response and revisit record of the files in the manifest; block and payload digests are verified.
+    """A row for each response and revisit record of the files in the manifests; block and payload digests are verified.
 
     Columns: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload (null for revisits), file.
     """
@@ -212,16 +237,16 @@ def read_archives(spark: SparkSession, uri: str, *, id_type: T.DataType | None =
     id_type = id_type or T.LongType()
     store, base = _target(uri)
     with store.open_input_stream(f"{base}/{MANIFEST}") as f:
-        files = [x["name"] for x in json.loads(f.read())["files"]]
+        shards = json.loads(f.read())["shards"]
     schema = "page_id string, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, payload binary, file string"
-    id_of = re.compile(r"<urn:page:(-?\w+?)(?::\d+)?>")
+    id_of = re.compile(r"<urn:(?:page:([^:]*)|nopage)(?::\d+)?>")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = pa.schema([("page_id", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("payload", pa.binary()), ("file", pa.string())])
         store, base = _target(uri)
-        named = lambda text: None if text is None or (v := id_of.fullmatch(text)[1]) == "null" else v
+        named = lambda text: None if text is None or (v := id_of.fullmatch(text)[1]) is None else unquote(v)
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name in (x["name"] for k in batch.column(0).to_pylist() for x in files_of(store, base, k)):
                 out, size = [], 0
                 with store.open_input_stream(f"{base}/{name}", compression=None) as raw, gzip.open(raw) as stream:
                     for head, block in parse_records(stream):
@@ -242,6 +267,6 @@ def read_archives(spark: SparkSession, uri: str, *, id_type: T.DataType | None =
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), types, strict=True)], schema=types)
 
-    names = spark.createDataFrame([(f,) for f in files], "name string").repartition(max(1, len(files)))
-    found = names.mapInArrow(rows, schema)
+    # A task a shard, a few shards where there are thousands.
+    found = spark.range(0, shards, 1, min(shards, max(1000, -(-shards // 4)))).mapInArrow(rows, schema)
     return found.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
