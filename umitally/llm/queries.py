@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.messages(table(spark, sf_dir, "conversations"))
+    """All messages of the table, and the tool use that TOOL_USE_SQL adds to them."""
+    view = f"conversations_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "conversations").createOrReplaceTempView(view)
+    quoted = r"regexp_replace(to_json(array(text)), '(?s)^\\[(.*)\\]$', '$1')"
+    told = spark.sql(TOOL_USE_SQL.replace("CONVERSATIONS", view).replace("QUOTED", quoted))
+    spark.catalog.dropTempView(view)  # the plan has the table
+    return chat.messages(told)
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,12 +82,53 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM b
 """
 
-#: The conversations of the tables hold no tool use, so all their messages are plain; tests cover calls and results.
+#: The tables hold no tool use, so calls and results are made of their messages, in SQL that Spark and DuckDB both run
+#: (QUOTED is the text as a JSON string, CONVERSATIONS the table). Every message stays. Each assistant message makes a call at turn 100 + 10 * turn,
+#: every third a second one in the same message; k, the sum of conversation and turn, decides the tool, whether arguments
+#: are valid, and whether a result follows, comes before its call or is missing. Some user messages make a result of no call.
+TOOL_USE_SQL = """
+WITH base AS (SELECT conv_id, turn, role, text, conv_id + turn AS k, QUOTED AS q FROM CONVERSATIONS),
+made AS (
+  SELECT *, concat('{"id":"c', cast(turn AS string), CASE
+    WHEN k % 5 = 0 THEN concat('", "name":"search","arguments":{"query":', q, ', "limit":', cast(turn AS string), '}}')
+    WHEN k % 5 = 1 THEN '","name":"search","arguments":{"limit":"three"}}'
+    WHEN k % 5 = 2 THEN '","name":"convert","arguments":{"value":2.5,"unit":"ft"}}'
+    WHEN k % 5 = 3 THEN '","name":"calculate","arguments":{"extra":[1, {"b":null,"a":true}],"expression":"1 + 1"}}'
+    ELSE '","name":"draw","arguments":{}}' END,
+    CASE WHEN turn % 3 = 0 THEN concat(', {"id":"d', cast(turn AS string), '","name":"calculate","arguments":{"expression":"2 * 3"}}') ELSE '' END) AS calls
+  FROM base WHERE role = 'assistant' AND text IS NOT NULL)
+SELECT conv_id, turn, role, text FROM base
+UNION ALL SELECT conv_id, 100 + 10 * turn, 'assistant', concat('{"tool_calls":[', calls, ']}') FROM made
+UNION ALL SELECT conv_id, CASE WHEN k % 7 = 0 THEN 95 + 10 * turn ELSE 105 + 10 * turn END, 'tool', concat('{"content":', q, ',"tool_call_id":"c', cast(turn AS string), '"}') FROM made WHERE k % 3 <> 2
+UNION ALL SELECT conv_id, 106 + 10 * turn, 'tool', concat(' {"tool_call_id":"d', cast(turn AS string), '"}') FROM made WHERE turn % 3 = 0 AND k % 2 = 0
+UNION ALL SELECT conv_id, 107 + 10 * turn, 'tool', concat('{"tool_call_id":"none","content":', q, '}') FROM base WHERE role = 'user' AND k % 11 = 0 AND text IS NOT NULL
+"""
+
+#: What follows from the rule above, told message by message: no JSON is read, and calls meet results in a join.
 OP8_SQL = r"""
-SELECT conv_id, turn, turn AS anchor_turn, 0 AS step, coalesce(role, 'unknown') AS role, 'message' AS kind, NULL::VARCHAR AS call_ids,
-       0 AS linked, NULL::VARCHAR AS problems,
+WITH base AS (SELECT conv_id, turn, role, text, conv_id + turn AS k, to_json(text)::VARCHAR AS q FROM conversations),
+calls AS (SELECT *, 'c' || turn AS id, 100 + 10 * turn AS call_turn FROM base WHERE role = 'assistant' AND text IS NOT NULL),
+results AS (
+  SELECT conv_id, CASE WHEN k % 7 = 0 THEN 95 ELSE 105 END + 10 * turn AS turn, 'c' || turn AS id, q FROM calls WHERE k % 3 <> 2
+  UNION ALL SELECT conv_id, 106 + 10 * turn, 'd' || turn, NULL FROM calls WHERE turn % 3 = 0 AND k % 2 = 0
+  UNION ALL SELECT conv_id, 107 + 10 * turn, 'none', q FROM base WHERE role = 'user' AND k % 11 = 0 AND text IS NOT NULL),
+ids AS (SELECT conv_id, id, call_turn FROM calls UNION ALL SELECT conv_id, 'd' || turn, call_turn FROM calls WHERE turn % 3 = 0),
+answers AS (SELECT conv_id, call_turn, count(DISTINCT id)::INT AS n FROM ids JOIN results USING (conv_id, id) GROUP BY ALL)
+SELECT conv_id, turn, turn AS anchor_turn, 0 AS step, coalesce(role, 'unknown') AS role, 'message' AS kind, NULL::VARCHAR AS call_ids, 0 AS linked, NULL::VARCHAR AS problems,
        '{"role":' || to_json(coalesce(role, 'unknown')) || ',"content":' || to_json(coalesce(text, '')) || '}' AS json
-FROM conversations
+FROM base
+UNION ALL
+SELECT conv_id, call_turn, call_turn, 0, 'assistant', 'call', id || CASE WHEN turn % 3 = 0 THEN ',d' || turn ELSE '' END, coalesce(n, 0),
+       CASE WHEN k % 5 = 1 THEN 'missing query; limit is no integer' WHEN k % 5 = 2 THEN 'unit is not allowed' WHEN k % 5 = 3 THEN 'unexpected extra' WHEN k % 5 = 4 THEN 'unknown tool' ELSE '' END,
+       '{"role":"assistant","content":null,"tool_calls":[{"id":"' || id || '","name":' || CASE
+         WHEN k % 5 = 0 THEN '"search","arguments":{"limit":' || turn || ',"query":' || q || '}}' WHEN k % 5 = 1 THEN '"search","arguments":{"limit":"three"}}'
+         WHEN k % 5 = 2 THEN '"convert","arguments":{"unit":"ft","value":2.5}}' WHEN k % 5 = 3 THEN '"calculate","arguments":{"expression":"1 + 1","extra":[1,{"a":true,"b":null}]}}'
+         ELSE '"draw","arguments":{}}' END || CASE WHEN turn % 3 = 0 THEN ',{"id":"d' || turn || '","name":"calculate","arguments":{"expression":"2 * 3"}}' ELSE '' END || ']}'
+FROM calls LEFT JOIN answers USING (conv_id, call_turn)
+UNION ALL
+SELECT r.conv_id, r.turn, CASE WHEN i.call_turn >= r.turn THEN i.call_turn ELSE r.turn END, CASE WHEN i.call_turn >= r.turn THEN 1 ELSE 0 END, 'tool', 'result', id, CASE WHEN i.call_turn IS NULL THEN 0 ELSE 1 END, NULL,
+       '{"role":"tool","content":' || coalesce(q, 'null') || ',"tool_call_id":"' || id || '"' || CASE WHEN i.call_turn IS NULL THEN ',"orphan":true' ELSE '' END || '}'
+FROM results r LEFT JOIN ids i USING (conv_id, id)
 """
 
 OP9_SQL = r"""
