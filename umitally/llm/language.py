@@ -5,8 +5,9 @@ one. Filters of several widths slide over a window; each keeps its maximum, and
 languages. The network is trained here in numpy, on windows of labelled documents. As its input is one-hot, a filter is a
 sum of table rows; for scoring, the rows of two adjacent bytes are added up beforehand.
 
-Training data: at most about PER_LANGUAGE documents of each of the MAX_LANGUAGES most frequent values of lang, chosen by
-a hash of the id, and WINDOWS_EACH windows of each. Everything else covers all rows and whole texts.
+Training data: of every value of lang about PER_LANGUAGE documents at most (fewer where so many languages would come to
+more than ALL_LANGUAGES documents, but LEAST at least), chosen by a hash of the id, one row an id, and WINDOWS_EACH windows
+of each. Everything else covers all rows and whole texts.
 
 Defined cases: null text and text without letters are `und` with score 0; a null or repeated doc_id is scored like any
 other; rows with a null lang or id are not learnt from; with nothing to learn from all rows are `und`; other columns are
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from umitally.llm.common import fold, held_out, slices, small_batches
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 16
-PER_LANGUAGE, WINDOWS_EACH, MAX_LANGUAGES = 1500, 3, 1000
+PER_LANGUAGE, WINDOWS_EACH, ALL_LANGUAGES, LEAST = 1500, 3, 300_000, 20
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -149,11 +150,13 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], *, epochs: int = 5
 def fit(docs: DataFrame, *, modulus: int = 4, remainder: int = 2, per_language: int = PER_LANGUAGE) -> Network | None:
     """Train on text and lang of rows whose fold is not `remainder`; None if there are none."""
     known = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold("doc_id", modulus) != remainder))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a language, as the model has
     if not counts:
         return None
+    per_language = min(per_language, max(LEAST, ALL_LANGUAGES // len(counts)))
     share = docs.sparkSession.createDataFrame([(lang, min(1.0, per_language / n)) for lang, n in counts.items()], "lang string, share double")
     chosen = known.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    chosen = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     @F.pandas_udf("array<binary>")
     def cut(texts: pd.Series) -> pd.Series:
@@ -199,7 +202,7 @@ def identify(docs: DataFrame, net: Network | None, *, columns: list[str] | None
     The network, some hundred KB whatever the corpus, goes to the tasks with the function.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(*(c for c in columns or docs.columns if c not in names))
+    rows = docs.select(*(F.col(f"`{c}`") for c in columns or docs.columns if c not in names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = net.prepared() if net else None

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from umitally.llm.common import held_out, labelled_sample, slices, small_batches, stable_hash
+from umitally.llm.common import held_out, labelled_sample, slices, small_batches, stable_hash, unused
 
 SAMPLE, BITS, RANK = 4000, 17, 6
 THRESHOLD = 0.7
@@ -168,7 +168,8 @@ def score(docs: DataFrame, model: FactorisationMachine | None, *, columns: list[
     small_batches(docs.sparkSession)
     kept = [c for c in columns or docs.columns if c != name]
     at = kept.index("text") if "text" in kept else len(kept)
-    rows = docs.select(*kept, *([F.col("text").alias("_text")] if at == len(kept) else []), _with_length(docs).alias("_n_chars"))
+    own_text, own_length = unused(docs, "_text", "_n_chars")
+    rows = docs.select(*(F.col(f"`{c}`") for c in kept), *([F.col("text").alias(own_text)] if at == len(kept) else []), _with_length(docs).alias(own_length))
     text_col, shared = rows.columns[at], docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +179,7 @@ def score(docs: DataFrame, model: FactorisationMachine | None, *, columns: list[
             s = _sigmoid(fm.logits(*vectors(texts, lengths, cached))) if fm else np.full(len(texts), 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(s.astype(np.float64))], [*kept, name])
 
-    return rows.mapInArrow(run, T.StructType([*docs.select(*kept).schema.fields, T.StructField(name, T.DoubleType())]))
+    return rows.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), T.StructField(name, T.DoubleType())]))
 
 
 def predict(docs: DataFrame, labels: DataFrame, *, modulus: int = 4, remainder: int = 2) -> DataFrame:

@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's probability is logistic in its hashed words and word beginnings (so that
-an inflected stem is known by its stem), and a document's is the noisy-or of its sentences: 1 - product(1 - p). Only documents have labels; the gradient of the noisy-or tells sentences
-apart, so the trained weights also locate the sentences that make a document toxic.
+an inflected stem is known by its stem), and a document's is the noisy-or of its sentences: 1 - product(1 - p). Only
+documents have labels; the gradient of the noisy-or tells sentences apart, so the trained weights also locate the sentences
+that make a document toxic.
 
 Training data: at most SAMPLE labelled documents (see labelled_sample); hash buckets that occur in fewer than LEAST of
 them get no weight. Scoring covers every whole text.
@@ -31,7 +32,6 @@ STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.7
 #: Words and sentence ends; an apostrophe joins.
 _TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)*|[.!?\n]+")
-_SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 _ENDS = frozenset(".!?\n")
 #: Words remembered by a Python worker before it starts afresh.
 CACHE = 250_000
@@ -74,37 +74,37 @@ class SentenceModel:
     def cache(self) -> _Cached:
         return _Cached(self.weights)
 
-    def sentences(self, text: str, cached: _Cached) -> np.ndarray:
-        """The probability of each sentence that has a word."""
-        tokens = _TOKEN.findall(text.lower())
+    def _instances(self, tokens: list[str], cached: _Cached) -> tuple[np.ndarray, np.ndarray]:
+        """The token that each instance begins with, and the instance's probability."""
         w = np.fromiter(map(cached.__getitem__, tokens), np.float64, len(tokens))
         ends = np.isinf(w)
         words = np.flatnonzero(~ends)
         if not len(words):
-            return np.zeros(0)
+            return words, np.zeros(0)
         at = np.cumsum(ends)[words]
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         first = first[np.append(True, first[1:] // BLOCK != first[:-1] // BLOCK)]
-        return _sigmoid(np.add.reduceat(w[words], first) + self.bias)
+        return words[first], _sigmoid(np.add.reduceat(w[words], first) + self.bias)
+
+    def sentences(self, text: str, cached: _Cached) -> np.ndarray:
+        """The probability of each instance: a sentence that has a word, with short ones that follow in its block."""
+        return self._instances(_TOKEN.findall(text.lower()), cached)[1]
 
     def score(self, text: str, cached: _Cached) -> float:
         p = self.sentences(text, cached)
         return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())) if len(p) else 0.0
 
     def locate(self, text: str, cached: _Cached, threshold: float = 0.5) -> list[tuple[int, int, float]]:
-        """Begin, end and probability of the sentences at or over threshold, in code points of the lower-cased text.
+        """Begin, end and probability of the instances at or over threshold, in code points of the text.
 
-        If several sentences make a text toxic but none reaches the threshold alone, the likeliest is given.
-        Lower-casing keeps lengths but for a few letters; where it does not, the original text is searched.
+        They are the instances that the score combines. If several make a text toxic but none reaches the threshold alone,
+        the likeliest is given. Lower-casing keeps lengths but for the letter \u0130, which is taken for i here.
         """
-        low = text.lower()
-        low = low if len(low) == len(text) else text
-        found = []
-        for m in _SENTENCE.finditer(low):
-            p = self.sentences(m[0], cached)
-            if len(p):
-                found.append((m.start(), m.end(), float(p.max())))
-        return [x for x in found if x[2] >= threshold] or sorted(found, key=lambda x: -x[2])[:1]
+        found = list(_TOKEN.finditer(text.replace("\u0130", "i").lower()))
+        first, p = self._instances([m[0] for m in found], cached)
+        last = [*(first[1:] - 1), len(found) - 1]
+        spans = [(found[a].start(), found[b].end(), float(q)) for a, b, q in zip(first, last, p, strict=True)] if len(p) else []
+        return [x for x in spans if x[2] >= threshold] or sorted(spans, key=lambda x: -x[2])[:1]
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
