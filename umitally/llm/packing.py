@@ -18,10 +18,13 @@ import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,15 +36,16 @@ WINDOW = 4096
 OPEN = 64
 #: Partitions whose last windows are merged together.
 MERGE = 256
-#: Words remembered by a Python worker before it starts afresh.
-CACHE = 450_000
+#: Pieces of text between white space that a Python worker remembers before it starts afresh.
+CACHE = 800_000
 
 
 class WordTokenizer:
     """Ids of a `tokenizers` file whose pre-tokenizer keeps matches of a pattern and whose words are encoded alone.
 
     Texts of Latin letters and common signs, where the pattern and the lower-casing mean the same here as in the library,
-    are cut into words, each of which the library encodes once; any other text is encoded by the library as a whole.
+    are cut at white space, which no word spans; each different piece is cut into words once, and each different word is
+    encoded by the library once. Any other text is encoded by the library as a whole.
 
     With added_tokens, the file's added tokens (as <|endoftext|>) get their own ids where a text holds them, as the library
     does by default; such texts are encoded as a whole. Else special ones are taken for ordinary signs.
@@ -52,7 +56,7 @@ class WordTokenizer:
     _PLAIN = re.compile("[\x00-\x1b\x20-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e\u20a0-\u20bf]*")
     #: What the pattern below means for such texts; Python's \\w counts the fractions and raised digits as letters.
     _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    _WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|[\d\xb2\xb3\xb9\xbc-\xbe]|(?:[^\w\s]|_)+")
+    _WORD = re.compile(r"[^\W\d_\xb2\xb3\xb9\xbc-\xbe]+|'s|'t|'re|'ve|'m|'ll|'d|[\d\xb2\xb3\xb9\xbc-\xbe]|(?:[^\w\s]|_)+")
 
     def __init__(self, path: str, *, added_tokens: bool = False):
         import json
@@ -71,7 +75,30 @@ class WordTokenizer:
         # Some are sought in the text as it is, others in its lower case; either is looked for without regard to case.
         self.added = {x.content.lower() for x in self.tok.get_added_tokens_decoder().values()} if added_tokens else set()
         self.by_word = self.by_word and not any(re.search(r"\s", x) for x in self.added)
-        self.known: dict[str, bytes] = {}
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        self.last = np.zeros(1 + max(self.tok.get_vocab().values()), bool)  # ids that end a word
+        self.last[[i for x, i in self.tok.get_vocab().items() if suffix and x.endswith(suffix)]] = True
+        self.known: dict[str, bytes] = {}  # by word
+        self.pieces: dict[str, bytes] = {}  # by piece between white space
+
+    def clear(self) -> None:
+        self.known.clear()
+        self.pieces.clear()
+
+    def _learn(self, pieces: list[str]) -> None:
+        words = list(map(self._WORD.findall, pieces))
+        new = list(set().union(*words).difference(self.known))
+        for i in range(0, len(new), 1000):  # words apart by spaces stay apart; a call for each word would take twice as long
+            part = new[i : i + 1000]
+            ids = np.array(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part):  # not a file whose words all end in the suffix
+                e = self.tok.encode_batch([" ".join(part)], add_special_tokens=False)[0]
+                ends = np.searchsorted(np.array(e.word_ids), np.arange(1, len(part) + 1))
+            flat, at = ids.tobytes(), [0, *(ends * 4).tolist()]
+            self.known |= zip(part, [flat[x:y] for x, y in zip(at, at[1:], strict=False)], strict=True)
+        get = self.known.__getitem__
+        self.pieces |= zip(pieces, [get(w[0]) if len(w) == 1 else b"".join(map(get, w)) for w in words], strict=True)
 
     def encode_bytes(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers, without special tokens."""
@@ -83,21 +110,32 @@ class WordTokenizer:
             if plain and self.added and raw != t:  # a sign that joins the one before may hide a token
                 low_raw = raw.lower()
                 plain = not any(x in low_raw for x in self.added)
-            cut.append(self._WORD.findall(low) if plain else None)
-        words = set().union(*(c for c in cut if c))
-        new = list(words.difference(self.known))
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(words)
-        for i in range(0, len(new), 1000):  # words apart by spaces stay apart; a call for each word would take twice as long
-            part = new[i : i + 1000]
-            e = self.tok.encode_batch([" ".join(part)], add_special_tokens=False)[0]
-            flat, at = np.array(e.ids, "<u4").tobytes(), (np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1)) * 4).tolist()
-            self.known |= zip(part, [flat[x:y] for x, y in zip(at, at[1:], strict=False)], strict=True)
+            cut.append(low if plain else None)
         rest = [t for t, c in zip(texts, cut, strict=True) if c is None]
         whole = iter(self.tok.encode_batch_fast(rest, add_special_tokens=False)) if rest else iter(())
-        get = self.known.__getitem__
-        return [np.array(next(whole).ids, "<u4").tobytes() if c is None else b"".join(map(get, c)) for c in cut]
+        by_piece = iter(self._encode_plain([c for c in cut if c is not None]))
+        return [np.array(next(whole).ids, "<u4").tobytes() if c is None else next(by_piece) for c in cut]
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
+        """Each different piece of these texts is looked up once; the ids are gathered by piece numbers."""
+        lists = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        pieces, at = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        found = list(map(self.pieces.get, pieces))
+        new = list(compress(range(len(pieces)), map(not_, found)))
+        if len(self.pieces) + len(new) > CACHE:
+            self.clear()
+            new = range(len(pieces))
+        if len(new):
+            self._learn([pieces[i] for i in new])
+            for i in new:
+                found[i] = self.pieces[pieces[i]]
+        table, size = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+        start, count = np.cumsum(size) - size, size[at]
+        ends = np.cumsum(count)
+        ids = table[np.repeat(start[at] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.append(0, ends)[lists.offsets.to_numpy()]
+        return [ids[x:y].tobytes() for x, y in zip(bounds, bounds[1:], strict=False)]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -109,7 +147,7 @@ def tokenizer(path: str) -> WordTokenizer:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _tokenizers:
         _tokenizers[path] = WordTokenizer(path, added_tokens=True)
-    remember("packing", _tokenizers[path].known.clear)
+    remember("packing", _tokenizers[path].clear)
     return _tokenizers[path]
 
 
@@ -199,7 +237,7 @@ def pack(docs: DataFrame, encode: Callable[[], Callable[[list[str]], list[bytes]
             data = {id_col: pa.array(cols[0], id_type)} | {n: pa.array(c, t) for n, c, t in zip([*_COLUMNS, "full"], cols[1:], arrow, strict=True)}
             return pa.RecordBatch.from_pydict(data | {"part": pa.array([part] * len(out), pa.int64())})
 
-        for batch in slices(batches, text_col, 1 << 20, owner="packing"):
+        for batch in slices(batches, text_col, 4 << 20, owner="packing"):
             id_type = batch.schema.field(0).type
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out = []
