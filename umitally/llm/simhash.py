@@ -135,7 +135,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     found = write_table(pair)
     of_next = found.select(F.col("_key").alias("_next"), F.col("_fp").alias("_next_fp"))
     named = order.join(found, "_key").withColumn("fingerprint", as_hex(F.col("_fp")))
-    asks = F.coalesce(F.col("doc_id") % QUERY_EVERY == 0, F.lit(False))
+    asks = F.coalesce(F.col("doc_id").try_cast("bigint") % QUERY_EVERY == 0, F.lit(False))
     distinct = write_table(named.groupBy("fingerprint").agg(F.min("doc_id").alias("_least"), F.max(asks).alias("_asks"), F.count(F.lit(1)).alias("_docs")))
     near = neighbours(distinct.where("_asks"), distinct).join(distinct.select(F.col("fingerprint").alias("near"), "_least", "_docs"), "near")
     # Each asking fingerprint meets itself, too.
