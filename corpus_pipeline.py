@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from umitally.llm import exact_dedup, jaccard, language, packing, quality
-from umitally.llm.common import table, write_table
+from umitally.llm.common import table, unused, write_table
 from umitally.llm.queries import vocabulary
 
 #: Rows go if their language is unknown or less likely than this, and if their quality score is below that.
@@ -26,14 +26,16 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     net = language.fit(docs)
     if net is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    scored = language.identify(docs, net, names=("_lang_pred", "_lang_score"))
-    return scored.where((F.col("_lang_pred") != language.UNKNOWN) & (F.col("_lang_score") >= LEAST_LANGUAGE)).select(*docs.columns)
+    lang, score = unused(docs, "_lang", "_score")
+    scored = language.identify(docs, net, names=(lang, score))
+    return scored.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE)).drop(lang, score)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose quality score is not low; the threshold is under that of a prediction, as clean rows must stay."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, name="_quality").where(F.col("_quality") >= LEAST_QUALITY).select(*docs.columns)
+    (score,) = unused(docs, "_quality")
+    return quality.score(docs, model, name=score).where(F.col(score) >= LEAST_QUALITY).drop(score)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
