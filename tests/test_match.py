@@ -88,9 +88,48 @@ def test_random_reads_equal_plain_search(outer, errors):
 
 def test_c_limits():
     s = "A" * 300 + "ACGTACCATGTTGGCC" + "AA"
-    layout = MICRO.with_(max_umi=1000)
+    layout = MICRO.with_(max_umi=350)
     assert parsed([s], layout)[0] is not None
     assert parsed([s], layout.with_(c_limits=True)) == [None]
+    assert MICRO.with_(max_umi=381, c_limits=True).max_umi == 381
+    with pytest.raises(ValueError):
+        MICRO.with_(max_umi=382, c_limits=True)  # 4 + 2 * 382 + 3 places do not fit
+
+
+def plain_edit(s, o):
+    """One read at a time by the regex package."""
+    import regex
+
+    fuzzy = lambda a: f"(?:{regex.escape(a)}){{e<={o.max_errors}}}"
+    m = regex.search(f"(?b){fuzzy(o.inner5)}(.{{{o.barcode_length}}}){fuzzy(o.inner3)}", s)
+    if not m:
+        return None
+    begin, end = 0, len(s)
+    if o.outer5:
+        x = regex.search(fuzzy(o.outer5), s[: m.start()])
+        if not x:
+            return None
+        begin = x.end()
+    if o.outer3:
+        x = regex.search(fuzzy(o.outer3), s[m.end() :])
+        if not x:
+            return None
+        end = m.end() + x.start()
+    u5, u3 = s[begin : m.start()], s[m.end() : end]
+    return (u5, m[1], u3) if all(o.min_umi <= len(u) <= o.max_umi for u in (u5, u3)) else None
+
+
+@pytest.mark.parametrize("outer", [{}, {"outer5": "CAC"}, {"outer3": "GTG"}, {"outer5": "CAC", "outer3": "GTG"}])
+@pytest.mark.parametrize("errors", [0, 1, 2])
+def test_edit_mode_equals_reads_one_by_one(outer, errors):
+    rng = random.Random(10 + errors)
+    layout = ReadLayout("ACGTA", "TGGC", 3, min_umi=0, max_umi=40, max_errors=errors, mode="edit", **outer)
+    random_dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    seqs = [random_dna(rng.randint(0, 30)) for _ in range(200)]
+    core = lambda: "ACGTA" + random_dna(3) + "TGGC"
+    seqs += [random_dna(rng.randint(0, 9)) + "".join(core() + random_dna(rng.randint(0, 6)) for _ in range(rng.randint(1, 3))) for _ in range(200)]
+    seqs += [s[: rng.randint(0, len(s))] + rng.choice(["", "A", "\n", "É"]) + s[rng.randint(0, len(s)) :] for s in seqs]
+    assert parsed(seqs, layout) == [plain_edit(s, layout) for s in seqs]
 
 
 def test_edit_mode():

@@ -35,11 +35,6 @@ def test_against_sql(spark, duck, name):
     assert canonical(numbers(got)) == canonical(numbers(want))
 
 
-def test_edit_query_runs(spark):
-    parsed = QUERIES["parse_edit"](spark, SF)
-    assert parsed.count() == 6000 and parsed.where("barcode IS NOT NULL").count() >= 5622
-
-
 def test_entry(spark):
     import __spark_entry__
 

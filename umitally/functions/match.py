@@ -118,13 +118,39 @@ class EditParser:
         self.outer5 = regex.compile(fuzzy(layout.outer5)) if layout.outer5 else None
         self.outer3 = regex.compile(fuzzy(layout.outer3)) if layout.outer3 else None
 
-    def __call__(self, seq: str) -> tuple[int, int, int, int, int]:
+        self.layout = layout
+
+    def cores(self, seqs: list[str]) -> np.ndarray:
+        """Rows (inner5 start, barcode start, core end) of the best match of both inner anchors, -1 where there is none.
+
+        The leftmost match without errors is the best. A barcode of pattern dots holds no line feed, so reads with one, and
+        anchors that are patterns, are left to the search by pattern.
+        """
+        o, out = self.layout, np.full((len(seqs), 3), -1, np.int64)
+        todo = np.ones(len(seqs), bool)
+        if not o.regex_anchors:
+            a, gap, b = len(o.inner5), o.barcode_length, len(o.inner3)
+            for rows, chars in by_length(seqs):
+                at, _, _ = find_core(chars, o.inner5, o.inner3, gap, 0)
+                ok = (at >= 0) & ~(chars == 10).any(axis=1)
+                out[rows[ok]] = (at[:, None] + [0, a, a + gap + b])[ok]
+                todo[rows[ok]] = False
+        for i in np.flatnonzero(todo):
+            if m := self.core.search(seqs[i]):
+                out[i] = m.start(), m.start("barcode"), m.end()
+        return out
+
+    def __call__(self, seqs: list[str]) -> np.ndarray:
+        cores = self.cores(seqs)
+        out = np.column_stack([np.zeros(len(seqs), np.int64), cores, np.fromiter(map(len, seqs), np.int64, len(seqs))])
+        out[cores[:, 0] < 0] = -1
+        if self.outer5 is not None or self.outer3 is not None:
+            for i in np.flatnonzero(cores[:, 0] >= 0):
+                out[i] = self._trimmed(seqs[i], *out[i].tolist())
+        return out
+
+    def _trimmed(self, seq: str, begin: int, start: int, barcode: int, core_end: int, end: int) -> tuple[int, ...]:
         reject = (-1, -1, -1, -1, -1)
-        m = self.core.search(seq)
-        if not m:
-            return reject
-        start, core_end = m.start(), m.end()
-        begin, end = 0, len(seq)
         if self.outer5 is not None:
             o = self.outer5.search(seq[:start])
             if not o:
@@ -135,7 +161,7 @@ class EditParser:
             if not o:
                 return reject
             end = core_end + o.start()
-        return begin, start, m.start("barcode"), core_end, end
+        return begin, start, barcode, core_end, end
 
 
 def parse(seqs: list[str], layout: ReadLayout) -> np.ndarray:
@@ -143,8 +169,7 @@ def parse(seqs: list[str], layout: ReadLayout) -> np.ndarray:
     if layout.mode == "hamming":
         out = parse_hamming(seqs, layout)
     else:
-        one = EditParser(layout)
-        out = np.array([one(s) for s in seqs], np.int64).reshape(len(seqs), 5)
+        out = EditParser(layout)(seqs)
     most = min(layout.max_umi, 255) if layout.c_limits else layout.max_umi
     first, last = out[:, 1] - out[:, 0], out[:, 4] - out[:, 3]
     bad = (first < layout.min_umi) | (first > most) | (last < layout.min_umi) | (last > most)

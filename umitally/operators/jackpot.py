@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from umitally.operators.tally import KEY
+from umitally.sources.workdir import stored
 
 
 def _ratio(up: Column, mass: Column, total: Column) -> Column:
@@ -50,7 +51,7 @@ def run_summary(parsed: DataFrame, *, gini_cap: int | None = None) -> DataFrame:
     big = "decimal(38,0)"
     tuples = parsed.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
     if gini_cap is not None:
-        tuples = tuples.persist()
+        tuples = stored(tuples)
     by_count = tuples.groupBy("barcode", "n").agg(F.count(F.lit(1)).alias("m"))
     # A barcode's smallest count stands for the barcode, so that summing the marks counts barcodes.
     marked = by_count.groupBy("barcode").agg(F.array_sort(F.collect_list(F.struct("n", "m"))).alias("h")).select(F.col("barcode").isNotNull().alias("ok"), F.posexplode("h").alias("pos", "at"))

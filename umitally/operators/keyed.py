@@ -1,8 +1,10 @@
-"""Keyed-table operations: lookup, insert or replace, delete, select and sort."""
+"""Keyed-table operations: lookup, insertion, replacement, deletion, selection, order, scan and size."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 
@@ -11,6 +13,26 @@ def find(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return table.join(keys.select(key).distinct(), key, "left_semi")
 
 
+def add(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """table and the new rows. A key that is there already is not looked for; see replace()."""
+    return table.unionByName(rows)
+
+
+def add_in_order(table: DataFrame, rows: DataFrame, *by: str | Column) -> DataFrame:
+    """add() with the rows in the given order."""
+    return add(table, rows).orderBy(*by)
+
+
+def count(table: DataFrame) -> DataFrame:
+    """One row: n, the number of rows."""
+    return table.agg(F.count(F.lit(1)).alias("n"))
+
+
+def scan(table: DataFrame, inserted: str, action: Callable[[Iterator[Row]], None]) -> None:
+    """Give action the rows of each partition in the order of `inserted`; partitions follow that order, too."""
+    table.orderBy(inserted).foreachPartition(action)
+
+
 def replace(table: DataFrame, key: str, order: list[str]) -> DataFrame:
     """One row a key: the last by order, as later rows replace earlier ones. Combined before the shuffle."""
     rest = [c for c in table.columns if c != key]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from umitally.functions import match
 from umitally.plans.layout import ReadLayout
+from umitally.sources.workdir import stored
 
 
 def parse_reads(reads: DataFrame, layout: ReadLayout, *, seq_col: str = "seq") -> DataFrame:
@@ -25,18 +26,34 @@ def parse_reads(reads: DataFrame, layout: ReadLayout, *, seq_col: str = "seq") -
         return pd.DataFrame(found, columns=["umi5", "inner5", "barcode", "umi3", "end"])
 
     places = places.asNondeterministic()
-    at = F.col("_at")
+    name = "_at"
+    while name in {c.lower() for c in reads.columns}:
+        name = "_" + name
+    at = F.col(name)
     ok = (at["umi5"] >= 0) & F.col(seq_col).isNotNull()
     cut = lambda a, b: F.when(ok, F.substring(seq_col, a + 1, b - a))
     return (
-        reads.withColumn("_at", places(seq_col))
+        reads.withColumn(name, places(seq_col))
         .withColumn("umi5", cut(at["umi5"], at["inner5"]))
         .withColumn("barcode", cut(at["barcode"], at["barcode"] + layout.barcode_length))
         .withColumn("umi3", cut(at["umi3"], at["end"]))
-        .drop("_at")
+        .drop(name)
     )
 
 
+def split_once(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of one parse: reads are scanned and searched once, and the outcome is kept in the work folder.
+
+    Of an accepted read only read_id (if there is one), umi5, barcode and umi3 are kept, of a rejected one the columns that
+    it came with.
+    """
+    found, ids = ["umi5", "barcode", "umi3"], [c for c in parsed.columns if c == "read_id"]
+    rest = [c for c in parsed.columns if c not in (*found, *ids)]
+    lost = F.col("barcode").isNull()
+    kept = stored(parsed.select(*ids, *found, *(F.when(lost, F.col(c)).alias(c) for c in rest)))
+    return accepted(kept).select(*ids, *found), rejected(kept)
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.where("barcode IS NOT NULL")
 
@@ -68,8 +85,9 @@ def core_search(texts: DataFrame, layout: ReadLayout, *, text_col: str = "seq")
             out[rows] = np.stack(match.find_core(chars, layout.inner5, layout.inner3, layout.barcode_length, layout.max_errors), axis=1)
         return pd.DataFrame(out, columns=["pos", "e5", "e3"])
 
-    found = texts.withColumn("_at", search(text_col))
-    return found.select(*texts.columns, *(F.when(F.col("_at.pos") >= 0, F.col(f"_at.{c}")).alias(c) for c in ("pos", "e5", "e3")))
+    found = texts.select("*", search(text_col))
+    at = found[found.columns[-1]]
+    return found.select(*(found[c] for c in texts.columns), *(F.when(at["pos"] >= 0, at[c]).alias(c) for c in ("pos", "e5", "e3")))
 
 
 def anchor_search(texts: DataFrame, anchor: str, limit: int, *, text_col: str = "seq") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 MODES = ("hamming", "edit")
+#: Places of a fixed-size key under c_limits: three fields of at most 256 and their separators.
+KEY_CAPACITY = 771
 
 
 @dataclass(frozen=True)
@@ -13,7 +15,8 @@ class ReadLayout:
 
     max_errors holds for each anchor apart. mode "hamming" counts substitutions only, "edit" also insertions and
     deletions. An empty outer anchor is one that is not given. Anchors are literal text; in edit mode regex_anchors takes
-    them as pattern source. c_limits also rejects UMIs of 256 characters or more.
+    them as pattern source. c_limits also rejects UMIs of 256 characters or more, and layouts whose sort keys (both UMIs and
+    the barcode with their separators) could not be kept in KEY_CAPACITY characters.
     """
 
     inner5: str
@@ -37,6 +40,8 @@ class ReadLayout:
             raise ValueError(f"mode must be one of {MODES}")
         if self.max_errors < 0 or self.min_umi < 0:
             raise ValueError("max_errors and min_umi cannot be negative")
+        if self.c_limits and self.barcode_length + 2 * self.max_umi + 3 >= KEY_CAPACITY:
+            raise ValueError(f"barcode_length and twice max_umi must stay under {KEY_CAPACITY - 3}")
         if self.regex_anchors and self.mode != "edit":
             raise ValueError("regex_anchors needs mode edit")
         object.__setattr__(self, "outer5", self.outer5 or None)

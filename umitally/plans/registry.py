@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from umitally.operators import jackpot, keyed, parse, tally
 from umitally.plans import synth
 from umitally.plans.layout import ReadLayout
+from umitally.run import run
 from umitally.sources.fastq import read_fastq, write_fastq
+from umitally.sources.sinks import write_counts_tsv, write_rejects
 from umitally.sources.workdir import shared_dir
 
 L = synth.LAYOUT
@@ -47,11 +49,50 @@ def reads_synth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synth.reads(spark, sf_dir)
 
 
+def _fastq(spark: SparkSession, sf_dir: str, compression: str | None = None) -> str:
+    """A folder with all reads as FASTQ."""
+    folder = shared_dir(spark)
+    write_fastq(synth.reads(spark, sf_dir).withColumn("qual", F.translate("seq", "ACGT", "@#IN")), folder, compression=compression)
+    return folder
+
+
 def fastq_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all reads as FASTQ and scans them again; read_id depends on the order of the files and is left out."""
+    return read_fastq(spark, _fastq(spark, sf_dir)).select("header", "seq", "qual")
+
+
+def fastq_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_fastq(spark, _fastq(spark, sf_dir, "gzip")).select("header", "seq", "qual")
+
+
+def rejects_fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected reads written in the order of their line's keys and scanned again, so that read_id is their rank."""
+    keys = F.split(F.substring("header", 2, 100), ":")
+    number = ((keys[0].cast("bigint") * 10 + keys[1].cast("bigint")) * 1_000_000 + keys[2].cast("bigint")) * 100_000 + keys[3].cast("bigint")
+    reads = synth.reads(spark, sf_dir).withColumn("qual", F.translate("seq", "ACGT", "@#IN")).withColumn("read_id", number)
+    folder = shared_dir(spark)
+    write_rejects(parse.split_once(parse.parse_reads(reads, L))[1], folder)
+    return read_fastq(spark, folder)
+
+
+def counts_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts table of a whole run over FASTQ files, as text and back."""
     folder = shared_dir(spark)
-    write_fastq(synth.reads(spark, sf_dir).withColumn("qual", F.translate("seq", "ACGT", "@#IN")), folder)
-    return read_fastq(spark, folder).select("header", "seq", "qual")
+    run(spark, _fastq(spark, sf_dir), folder, None, L)
+    return spark.read.option("sep", "\t").option("header", True).schema("barcode string, total_reads bigint, num_unique_umis bigint").csv(folder)
+
+
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a whole run's report."""
+    lines = run(spark, _fastq(spark, sf_dir), None, None, L).report.split("\n")
+    return spark.createDataFrame(list(enumerate(lines)), "place int, line string")
+
+
+def empty_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts table of no read is its header."""
+    folder = shared_dir(spark)
+    write_counts_tsv(tally.barcode_summary(_tuples(spark, sf_dir).where(F.lit(False))), folder)
+    return spark.read.text(folder)
 
 
 def hamming_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +178,24 @@ def hash_find(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hash_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed.delete(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
+    """Customers without an urgent order."""
+    urgent = _table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return keyed.delete(_table(spark, sf_dir, "customer"), urgent.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
+
+
+def hash_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers, and those in debt once more."""
+    customers = _table(spark, sf_dir, "customer")
+    return keyed.add(customers, customers.where("c_acctbal < 0"))
+
+
+def hash_add_inorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    return keyed.add_in_order(customers.where("c_custkey % 2 = 0"), customers.where("c_custkey % 2 = 1"), "c_custkey")
+
+
+def hash_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.count(_table(spark, sf_dir, "customer"))
 
 
 def hash_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +210,7 @@ def hash_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.sort(_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), F.desc("c_acctbal"), "c_custkey")
 
 
-_QUERIES = [reads_synth, fastq_roundtrip, hamming_bounded, core_search, outer5_find, outer3_find, parse_reads, parse_outer, rejects, umi_bounds, tuple_counts, merge_tallies, barcode_summary, natural_tally, gini, gini_capped, run_summary, empty_input, text_anchor_search, parse_edit, hash_find, hash_delete, hash_replace, hash_select, hash_sort]
+_QUERIES = [reads_synth, fastq_roundtrip, fastq_gzip, rejects_fastq, counts_tsv, report, empty_tsv, hamming_bounded, core_search, outer5_find, outer3_find, parse_reads, parse_outer, rejects, umi_bounds, tuple_counts, merge_tallies, barcode_summary, natural_tally, gini, gini_capped, run_summary, empty_input, text_anchor_search, parse_edit, hash_find, hash_delete, hash_add, hash_add_inorder, hash_count, hash_replace, hash_select, hash_sort]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -176,6 +234,19 @@ def _core_sql(layout: ReadLayout) -> str:
         WHERE e5 <= {layout.max_errors} AND e3 <= {layout.max_errors} GROUP BY seq"""
 
 
+def _edit_sql(layout: ReadLayout) -> str:
+    """Joint matches by edit distance: every start, and every length that the errors leave to either anchor, is tried; the
+    fewest errors in all win, then the leftmost start, then the shortest first anchor, then the shortest second."""
+    a, b, gap, k = len(layout.inner5), len(layout.inner3), layout.barcode_length, layout.max_errors
+    order = "((e5 + e3) * 1000 + p) * 10000 + i * 100 + j"
+    return f"""SELECT seq, arg_min(p, {order})::INT AS s, arg_min(p + i, {order})::INT AS bc, arg_min(p + i + {gap} + j, {order})::INT AS ce
+        FROM (SELECT seq, p, i, j, levenshtein(substr(seq, p::INT + 1, i::INT), '{layout.inner5}') AS e5, levenshtein(substr(seq, (p + i)::INT + {gap + 1}, j::INT), '{layout.inner3}') AS e3
+              FROM (SELECT seq, p, i, unnest(range({b - k}, {b + k + 1})) AS j
+                    FROM (SELECT seq, p, unnest(range({a - k}, {a + k + 1})) AS i FROM (SELECT seq, unnest(range(0, length(seq))) AS p FROM u)))
+              WHERE p + i + {gap} + j <= length(seq))
+        WHERE e5 <= {k} AND e3 <= {k} GROUP BY seq"""
+
+
 def _parse_sql(layout: ReadLayout) -> str:
     """WITH clauses that end in parsed: header, seq, umi5, barcode, umi3 (null where rejected) of every read."""
     a, b, gap = len(layout.inner5), len(layout.inner3), layout.barcode_length
@@ -219,6 +290,20 @@ def oracle_sql() -> dict[str, str]:
         "parse_outer": f"{_parse_sql(L.with_(outer5='AC', outer3='GT', min_umi=0, max_umi=20, max_errors=1))} SELECT header, umi5, barcode, umi3 FROM parsed",
         "rejects": f"{parsed} SELECT header, seq FROM parsed WHERE barcode IS NULL",
         "umi_bounds": f"{_parse_sql(L.with_(min_umi=6, max_umi=7))} SELECT header, umi5, barcode, umi3 FROM parsed WHERE barcode IS NOT NULL",
+        "fastq_gzip": f"SELECT header, seq, translate(seq, 'ACGT', '@#IN') AS qual FROM ({synth.READS_SQL})",
+        "rejects_fastq": f"""{parsed}, k AS (SELECT header, seq, string_split(substr(header, 2), ':') AS key FROM parsed WHERE barcode IS NULL)
+            SELECT row_number() OVER (ORDER BY key[1]::BIGINT, key[2]::BIGINT, key[3]::BIGINT, key[4]::BIGINT) - 1 AS read_id, header, seq, translate(seq, 'ACGT', '@#IN') AS qual FROM k""",
+        "counts_tsv": f"{parsed}, t AS ({tuples.format('parsed')}) {by_barcode.format('t')}",
+        "report": f"""{parsed}, t AS ({tuples.format("parsed")}), g AS ({_gini_sql("t")}), c AS (SELECT count(*) AS n, count(barcode) AS ok FROM parsed),
+            lines AS (SELECT [format('Total reads:       {{:,}}', n), format('Parsed:            {{:,}} ({{:.1f}}%)', ok, 100.0::DOUBLE * ok / n), format('Failed:            {{:,}} ({{:.1f}}%)', n - ok, 100.0::DOUBLE * (n - ok) / n),
+                format('Distinct tuples:   {{:,}}', (SELECT count(*) FROM t)), format('Distinct barcodes: {{:,}}', (SELECT count(DISTINCT barcode) FROM t)), format('Gini:              {{:.6f}}', gini),
+                format('Reads a tuple:     mean {{:.2f}}, max {{:,}}', (SELECT avg(n) FROM t), (SELECT max(n) FROM t))] AS all_lines FROM c, g)
+            SELECT place::INT AS place, all_lines[place + 1] AS line FROM lines, range(7) AS r(place)""",
+        "empty_tsv": "SELECT concat_ws(chr(9), 'barcode', 'total_reads', 'num_unique_umis') AS value",
+        "parse_edit": f"""WITH r AS ({synth.READS_SQL}), u AS (SELECT DISTINCT seq FROM r), c AS ({_edit_sql(L)}),
+            ok AS (SELECT seq, substr(seq, 1, s) AS umi5, substr(seq, bc + 1, {L.barcode_length}) AS barcode, substr(seq, ce + 1) AS umi3 FROM c
+                   WHERE s BETWEEN {L.min_umi} AND {L.max_umi} AND length(seq) - ce BETWEEN {L.min_umi} AND {L.max_umi})
+            SELECT header, umi5, barcode, umi3 FROM r LEFT JOIN ok ON ok.seq = r.seq""",
         "tuple_counts": f"{parsed} {tuples.format('parsed')}",
         "merge_tallies": f"{parsed} {tuples.format('parsed')}",
         "barcode_summary": f"{parsed}, t AS ({tuples.format('parsed')}) {by_barcode.format('t')}",
@@ -237,7 +322,10 @@ def oracle_sql() -> dict[str, str]:
             b AS (SELECT doc_id, arg_min(p, (e5 + e3) * 10000000 + p)::INT AS pos, arg_min(e5, (e5 + e3) * 10000000 + p) AS e5, arg_min(e3, (e5 + e3) * 10000000 + p) AS e3 FROM e WHERE e5 <= 1 AND e3 <= 1 GROUP BY doc_id)
             SELECT doc_id, pos, e5, e3 FROM documents LEFT JOIN b USING (doc_id)""",
         "hash_find": "SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
-        "hash_delete": "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)",
+        "hash_delete": "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')",
+        "hash_add": "SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_acctbal < 0",
+        "hash_add_inorder": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_custkey",
+        "hash_count": "SELECT count(*) AS n FROM customer",
         "hash_replace": "SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM orders) WHERE k = 1",
         "hash_select": "SELECT * FROM customer WHERE c_acctbal > 0",
         "hash_sort": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey",

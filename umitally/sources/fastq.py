@@ -1,86 +1,136 @@
 """FASTQ as DataFrames.
 
 Spark's text source reads the files (plain or compressed, from any store) in splits. A record is four lines by count, as
-quality lines may begin with "@", so a split must know how many lines come before it: a first pass counts the lines of
-each split, a running sum by file gives its offset, and the second pass frames the records inside every split. Only the
-lines of records that cross a split's edge are shuffled, at most three at either end.
+quality lines may begin with "@", so a split must know how many lines come before it. A first pass counts the lines of each
+split and keeps its first and last three, which are all that records cut by a split's edge can have in it. A running sum by
+file gives each split its offset, and the second pass frames the records inside every split, four lines a step in Arrow.
+The cut records are put together from the lines of the first pass, so the input is read twice and never shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Splits whose offsets are broadcast (about 150 bytes each); a larger input needs larger splits.
-MOST_SPLITS = 500_000
-SCHEMA = "read_id bigint, header string, seq string, qual string"
+from umitally.sources.workdir import stored
+
+#: Up to so many splits their offsets are broadcast (about 150 bytes each); beyond, lines are joined to them by a shuffle.
+BROADCAST_SPLITS = 500_000
+#: Lines at either end of a split that can belong to records that the split does not hold whole.
+EDGE = 3
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """line, file, split_start of every line, in order within each split."""
-    return spark.read.option("lineSep", "\n").text(path).select(
-        F.regexp_extract("value", r"^[^\r]*", 0).alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
-    )
+    """line, file, start (of the split) of every line, in order within each split."""
+    return spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+
+
+def _fields(lines: pa.Array) -> pa.Array:
+    """Fields end at a carriage return."""
+    if lines.null_count == len(lines) or not pc.any(pc.match_substring(lines, "\r")).as_py():
+        return lines
+    return pc.replace_substring_regex(lines, "(?s)\r.*$", "")
+
+
+def _runs(*columns: pa.Array) -> list[tuple[int, int]]:
+    """First and end row of each run of rows that agree in all the columns, none of which is null."""
+    n = len(columns[0])
+    new = np.zeros(n, bool)
+    new[0] = True
+    for c in columns:
+        new[1:] |= pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
+    at = np.flatnonzero(new)
+    return list(zip(at.tolist(), [*at[1:].tolist(), n], strict=True))
+
+
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """file, start, n of each split, and its edge lines with their numbers in it."""
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string())]
+    key, n, first, last = None, 0, [], []
+
+    def row():
+        at = [*range(len(first)), *range(n - len(last), n)]
+        return [pa.array([x], k) for x, k in zip((*key, n, at, first + last), kinds, strict=True)]
+
+    for batch in (b for b in batches if b.num_rows):
+        line, file, start = batch.columns
+        for i, j in _runs(file, start):
+            own = (file[i].as_py(), start[i].as_py())
+            if own != key:
+                if key is not None:
+                    yield pa.RecordBatch.from_arrays(row(), ["file", "start", "n", "at", "lines"])
+                key, n, first, last = own, 0, [], []
+            part = line.slice(i, j - i)
+            k = min(EDGE - len(first), len(part))
+            first += _fields(part.slice(0, k)).to_pylist()
+            last = (last + _fields(part.slice(max(k, len(part) - EDGE))).to_pylist())[-EDGE:]
+            n += len(part)
+    if key is not None:
+        yield pa.RecordBatch.from_arrays(row(), ["file", "start", "n", "at", "lines"])
+
+
+def _frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records that lie whole in a split, from its lines in order with the numbers of lines and of reads before."""
+    key, at, rest = None, 0, None
+    for batch in (b for b in batches if b.num_rows):
+        if rest is not None:
+            at -= rest.num_rows
+            batch = pa.concat_batches([rest, batch])
+            rest = None
+        line, before, first = batch.columns
+        runs = _runs(before, first)
+        for i, j in runs:
+            own = (before[i].as_py(), first[i].as_py())
+            if own != key:
+                key, at = own, own[0]
+            skip = min(-at % 4, j - i)
+            whole = (j - i - skip) // 4
+            if whole:
+                step = i + skip + 4 * np.arange(whole)
+                ids = key[1] + (at + skip) // 4 + np.arange(whole)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(_fields(line.take(pa.array(step + k))) for k in (0, 1, 3))], ["read_id", "header", "seq", "qual"])
+            end = i + skip + 4 * whole
+            at += j - i
+            if j == batch.num_rows and end < j:
+                rest = batch.slice(end)
 
 
 def read_fastq(spark: SparkSession, path: str | list[str], *, incomplete: str = "drop") -> DataFrame:
     """read_id, header, seq, qual. read_id numbers the reads in file order, files by name.
 
     incomplete says what becomes of a last record of fewer than four lines: "drop", or "keep" with empty fields. Fields end
-    at a carriage return. Headers, third lines and lengths are not validated.
+    at a carriage return. Headers, third lines and lengths are not validated. The first pass runs when this is called; its
+    result, six lines a split, is kept in the work folder.
     """
     if incomplete not in ("drop", "keep"):
         raise ValueError('incomplete must be "drop" or "keep"')
     lines = _lines(spark, path)
-    counts = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"))
+    splits = stored(lines.mapInArrow(_edges, "file string, start bigint, n bigint, at array<bigint>, lines array<string>"))
     in_file = W.partitionBy("file").orderBy("start")
-    splits = counts.withColumn("before", F.sum("n").over(in_file) - F.col("n"))
-    files = splits.groupBy("file").agg(F.sum("n").alias("lines"))
+    counts = splits.select("file", "start", "n").withColumn("before", F.sum("n").over(in_file) - F.col("n"))
+    files = counts.groupBy("file").agg(F.sum("n").alias("lines"))
     # One row a file: numbers of reads are summed over the files before.
     firsts = files.withColumn("reads", F.ceil(F.col("lines") / 4)).withColumn("first", F.sum("reads").over(W.orderBy("file")) - F.col("reads"))
-    offsets = splits.join(firsts, "file").select("file", "start", "before", "first").persist()
-    if (n := offsets.count()) > MOST_SPLITS:
-        raise ValueError(f"{n} splits; raise spark.sql.files.maxPartitionBytes so that there are at most {MOST_SPLITS}")
-    placed = lines.join(F.broadcast(offsets), ["file", "start"]).select("line", "before", "first")
-
-    def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Whole records, and the lines of others as rows with a place (0 to 3) in their record."""
-        key, at, held = None, 0, []
-
-        def loose():
-            return [(key[1] + (at - len(held) + k) // 4, (at - len(held) + k) % 4, x, None, None) for k, x in enumerate(held)]
-
-        def batch_of(rows):
-            names = ["read_id", "place", "header", "seq", "qual"]
-            kinds = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
-        for batch in batches:
-            out = []
-            for line, before, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != (before, first):
-                    out += loose() if held else []
-                    key, at, held = (before, first), before, []
-                at += 1
-                held.append(line)
-                if at % 4 == 0:
-                    out += [(first + at // 4 - 1, -1, held[0], held[1], held[3])] if len(held) == 4 else loose()
-                    held = []
-            if out:
-                yield batch_of(out)
-        if held:
-            yield batch_of(loose())
-
-    framed = placed.mapInArrow(frame, "read_id bigint, place int, header string, seq string, qual string")
-    whole = framed.where("place < 0").select("read_id", "header", "seq", "qual")
-    cut = framed.where("place >= 0").groupBy("read_id").agg(
-        *(F.max(F.when(F.col("place") == k, F.col("header"))).alias(name) for k, name in enumerate(("header", "seq", "_plus", "qual"))), F.count(F.lit(1)).alias("_n")
-    )
-    cut = cut.where("_n = 4") if incomplete == "drop" else cut
+    offsets = stored(counts.join(firsts, "file").select("file", "start", "n", "before", "first"))
+    key = ["file", "start"]
+    if offsets.count() <= BROADCAST_SPLITS:
+        placed = lines.join(F.broadcast(offsets), key)
+    else:
+        placed = lines.withColumn("k", F.monotonically_increasing_id()).join(offsets.hint("merge"), key).repartition(*key).sortWithinPartitions(*key, "k")
+    whole = placed.select("line", "before", "first").mapInArrow(_frame, "read_id bigint, header string, seq string, qual string")
+    number = F.col("before") + F.col("e.at")
+    begins = number - number % 4
+    loose = splits.select(*key, F.explode(F.arrays_zip("at", "lines")).alias("e")).join(offsets, key)
+    loose = loose.where((begins < F.col("before")) | (begins + 3 >= F.col("before") + F.col("n"))).select((F.col("first") + F.floor(number / 4)).alias("read_id"), (number % 4).alias("place"), F.col("e.lines").alias("line"))
+    names = ("header", "seq", "plus", "qual")
+    cut = loose.groupBy("read_id").agg(*(F.max(F.when(F.col("place") == k, F.col("line"))).alias(name) for k, name in enumerate(names)), F.count(F.lit(1)).alias("lines"))
+    cut = cut.where("lines = 4") if incomplete == "drop" else cut
     return whole.unionByName(cut.select("read_id", *(F.coalesce(c, F.lit("")).alias(c) for c in ("header", "seq", "qual"))))
 
 

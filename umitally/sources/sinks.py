@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from umitally.sources.fastq import write_fastq
 
 
-def write_counts_tsv(summary: DataFrame, path: str, *, single_file: bool = True) -> None:
+HEADER = ["barcode", "total_reads", "num_unique_umis"]
+
+
+def write_counts_tsv(summary: DataFrame, path: str, *, single_file: bool = False) -> None:
     """barcode, total_reads, num_unique_umis as tab-separated text with a header, largest number of UMIs first.
 
-    The table has a row a barcode. single_file gives one part file, as one sorted task; without it the order is global
-    over the part files and the header is in each.
+    The order is global over the part files, each of which has the header. single_file gives one part, sorted by one task,
+    for tables of a size that one task can write. An empty table gives one file with the header alone.
     """
-    ordered = summary.select("barcode", "total_reads", "num_unique_umis")
+    ordered = summary.select(*HEADER)
     by = [F.desc("num_unique_umis"), F.col("barcode")]
     ordered = ordered.repartition(1).sortWithinPartitions(*by) if single_file else ordered.orderBy(*by)
     ordered.write.mode("errorifexists").option("sep", "\t").option("header", True).option("quote", "").csv(path)

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: dict[str, str] = {}
 
@@ -28,3 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
             atexit.register(shutil.rmtree, _own_dirs[app], ignore_errors=True)
         base = "file://" + _own_dirs[app]
     return f"{base.rstrip('/')}/umitally/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df written as Parquet to a shared folder and read back: it is computed once, and lost executors do not undo it."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
