@@ -55,7 +55,7 @@ FAN_IN = 512
 #: Classes under this are rare: chance alone may explain a counter. They tell counts in steps of a standard deviation.
 FREQUENT = 8
 #: Sets of a region that is joined directly, at most.
-SMALL = 8
+SMALL = 32
 #: Bits of a set's parity vector for each shingle, at least (a power of two in all); words of the short vectors of joins.
 BITS_EACH, SHORT = 4, 16
 #: Another level of pivots follows while the sets that ask for one are at least one in so many of those of large regions,
