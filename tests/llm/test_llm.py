@@ -684,6 +684,33 @@ def test_jaccard_hot_groups(spark, seed, share):
     assert got == jaccard_by_hand(rows) and len({c for _, _, c in got}) > 51
 
 
+def copies(n, edits, words=200):
+    """n copies of one text, each with its own words at `edits` places."""
+    rng = random.Random(edits)
+    base = [f"b{i}" for i in range(words)]
+    return [(k, " ".join(f"e{k}x{i}" if i in places else w for i, w in enumerate(base))) for k in range(n) for places in [set(rng.sample(range(words), edits))]]
+
+
+@pytest.mark.parametrize("edits", [2, 4])
+def test_jaccard_comparisons_grow_linearly(spark, monkeypatch, edits):
+    made, compare = [], jaccard.compare
+    monkeypatch.setattr(jaccard, "compare", lambda pairs, contents: made.append(pairs.count()) or compare(pairs, contents))
+    total = []
+    for n in (200, 400):
+        rows = copies(n, edits)
+        made.clear()
+        assert as_counter(jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string"))) == jaccard_by_hand(rows)
+        total.append(sum(made))
+    assert total[0] < 3 * 200 and total[1] < 2.5 * total[0]
+
+
+def test_jaccard_leaves_only_its_result(spark):
+    before = set(spark.sparkContext._jvm.java.io.File(shared_dir(spark).removeprefix("file://")).getParentFile().list() or [])
+    got = jaccard.jaccard_classes(docs_of(spark, [(1, "a b c d e f", "en"), (2, "a b c d e f", "en")]))
+    after = set(spark.sparkContext._jvm.java.io.File(shared_dir(spark).removeprefix("file://")).getParentFile().list())
+    assert len(after - before) == 1 and got.count() == 2
+
+
 def test_jaccard_window_and_bounds():
     rng = np.random.default_rng(4)
     for n in range(1, 60):
