@@ -367,6 +367,11 @@ def test_language_pairs_equal_single_rows():
     assert np.allclose(net.pooled(x).reshape(-1), np.concatenate(want), atol=1e-4)
 
 
+@pytest.mark.parametrize(("text", "letter"), [(None, False), ("", False), ("12 \u00b2 \u00bd \u2167 _", False), ("\u00b2 a", True), ("\u00e9", True), ("\u6f22", True), ("\U0001f642", False)])
+def test_letters(text, letter):
+    assert language.has_letter(text) is letter
+
+
 def test_language_edges(edge, empty):
     rows = language.predict(edge).collect()
     assert len(rows) == len(EDGE) and all((r.lang_pred, r.score) == ("und", 0.0) for r in rows if r.doc_id in (2, 3, 4))

@@ -32,7 +32,12 @@ from umitally.llm.common import fold, held_out, slices, small_batches
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 16
 PER_LANGUAGE, WINDOWS_EACH, ALL_LANGUAGES, LEAST = 1500, 3, 300_000, 20
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_SIGN = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a sign is a letter; the pattern also finds raised digits, fractions and letter-like numbers."""
+    return any(m[0].isalpha() for m in _SIGN.finditer(text or ""))
 
 
 def _classes() -> np.ndarray:
@@ -161,7 +166,7 @@ def fit(docs: DataFrame, *, modulus: int = 4, remainder: int = 2, per_language:
     @F.pandas_udf("array<binary>")
     def cut(texts: pd.Series) -> pd.Series:
         def some(t: str) -> list[bytes]:
-            if not _LETTER.search(t):
+            if not has_letter(t):
                 return []
             w = windows(t)
             return [w[i].tobytes() for i in sorted({len(w) * i // WINDOWS_EACH for i in range(WINDOWS_EACH)})]
@@ -181,7 +186,7 @@ def fit(docs: DataFrame, *, modulus: int = 4, remainder: int = 2, per_language:
 def score_texts(net: Network | None, texts: list[str | None], tables=None) -> list[tuple[str, float]]:
     """Language and its probability for each text: the mean over its windows, by the bytes they add."""
     out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
-    held = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if net else []
+    held = [i for i, t in enumerate(texts) if has_letter(t)] if net else []
     if not held:
         return out
     cut = [windows(texts[i]) for i in held]
