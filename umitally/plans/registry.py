@@ -236,9 +236,10 @@ def _core_sql(layout: ReadLayout) -> str:
 
 def _edit_sql(layout: ReadLayout) -> str:
     """Joint matches by edit distance: every start, and every length that the errors leave to either anchor, is tried; the
-    fewest errors in all win, then the leftmost start, then the shortest first anchor, then the shortest second."""
+    fewest errors in all win, then the leftmost start; of equally good ends of an anchor that by substitutions alone (the
+    length of the anchor) comes before longer and shorter ones, as the pattern search tries substitutions first."""
     a, b, gap, k = len(layout.inner5), len(layout.inner3), layout.barcode_length, layout.max_errors
-    order = "((e5 + e3) * 1000 + p) * 10000 + i * 100 + j"
+    order = f"(((e5 + e3) * 1000 + p) * 100 + abs(i - {a}) * 10 + abs(j - {b})) * 10000 + (50 - i) * 100 + 50 - j"
     return f"""SELECT seq, arg_min(p, {order})::INT AS s, arg_min(p + i, {order})::INT AS bc, arg_min(p + i + {gap} + j, {order})::INT AS ce
         FROM (SELECT seq, p, i, j, levenshtein(substr(seq, p::INT + 1, i::INT), '{layout.inner5}') AS e5, levenshtein(substr(seq, (p + i)::INT + {gap + 1}, j::INT), '{layout.inner3}') AS e3
               FROM (SELECT seq, p, i, unnest(range({b - k}, {b + k + 1})) AS j
