@@ -716,6 +716,21 @@ def test_jaccard_leaves_only_its_result(spark):
     assert len(after - before) == 1 and got.count() == 2
 
 
+@pytest.mark.parametrize("most", [jaccard.BROADCAST_IDS, 1])
+def test_jaccard_rows_that_stay(spark, monkeypatch, most):
+    """Few ids that go are broadcast whatever their table's estimated size, so texts stay where they are; many are joined."""
+    rows = copies(6, 2) + [(100 + k, f"own{k} a{k} b{k} c{k} d{k}") for k in range(5)] + [(200, None), (None, "x")]
+    docs = docs_of(spark, [(i, t, "en") for i, t in rows])
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", most)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.dedup_rows(docs)
+        assert ("BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()) == (most > 1)
+        assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _, c in jaccard_by_hand(rows) if i == c)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_jaccard_window_and_bounds():
     rng = np.random.default_rng(4)
     for n in range(1, 60):

@@ -495,9 +495,10 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 def dedup_rows(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns: of each component the row with the smallest doc_id.
 
-    Rows without shingles stay. Only what goes is joined to the rows, and it is ids alone; of rows that repeat the id
-    that stays all do, as exact deduplication comes before.
+    Rows without shingles stay. Only what goes is joined to the rows, and it is ids alone, so that no text is shuffled for
+    up to BROADCAST_IDS of them; of rows that repeat the id that stays all do, as exact deduplication comes before.
     """
     found = jaccard_classes(docs)
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
