@@ -696,7 +696,7 @@ def copies(n, edits, words=200):
     return [(k, " ".join(f"e{k}x{i}" if i in places else w for i, w in enumerate(base))) for k in range(n) for places in [set(rng.sample(range(words), edits))]]
 
 
-@pytest.mark.parametrize("edits", [2, 4])
+@pytest.mark.parametrize("edits", [2, 4, 6])
 def test_jaccard_comparisons_grow_linearly(spark, monkeypatch, edits):
     made, compare = [], jaccard.compare
     monkeypatch.setattr(jaccard, "compare", lambda pairs, contents: made.append(pairs.count()) or compare(pairs, contents))
@@ -709,6 +709,23 @@ def test_jaccard_comparisons_grow_linearly(spark, monkeypatch, edits):
     assert total[0] < 3 * 200 and total[1] < 2.5 * total[0]
 
 
+def test_jaccard_comparisons_of_many_copies(spark, monkeypatch):
+    """800 copies with 6056 links: still no more than three comparisons a document."""
+    made, compare = [], jaccard.compare
+    monkeypatch.setattr(jaccard, "compare", lambda pairs, contents: made.append(pairs.count()) or compare(pairs, contents))
+    rows = copies(800, 4)
+    assert as_counter(jaccard.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string"))) == jaccard_by_hand(rows)
+    assert sum(made) < 3 * 800
+
+
+def test_jaccard_rows_that_repeat_ids(spark):
+    """Rows are told by id and text: an unrelated row that repeats an id that goes stays, and null ids come last."""
+    base = copies(4, 1)
+    rows = [(1, base[0][1]), (5, base[1][1]), (5, "an unrelated text of its own words"), (None, base[2][1]), (None, "another text that has no partner"), (None, None), (2, None), (1, "one more of its kind here"), (None, "x y"), (9, "x y")]
+    kept = jaccard.dedup_rows(docs_of(spark, [(i, t, "en") for i, t in rows])).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter(rows) - Counter([rows[1], rows[3], (None, "x y")])
+
+
 def test_jaccard_leaves_only_its_result(spark):
     before = set(spark.sparkContext._jvm.java.io.File(shared_dir(spark).removeprefix("file://")).getParentFile().list() or [])
     got = jaccard.jaccard_classes(docs_of(spark, [(1, "a b c d e f", "en"), (2, "a b c d e f", "en")]))
