@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from umitally.llm import chat, exact_dedup, jaccard, language, packing, pieces, quality, simhash, toxicity, warc
+from umitally.llm import chat, exact_dedup, jaccard, language, merkle, packing, pieces, quality, setsketch, simhash, toxicity, warc
 from umitally.llm.common import shared_dir, table
 
 
@@ -66,8 +66,16 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op11_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_classes(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op7_simhash, op8_chat, op9_exact_dedup, op10_jaccard)}
+    return {f.__name__: f for f in (op1_toxicity, op2_pieces, op3_packing, op4_quality, op5_language, op6_warc, op7_simhash, op8_chat, op9_exact_dedup, op10_jaccard, op11_setsketch, op12_merkle)}
 
 
 #: DuckDB has SHA-1 in hex; base32 reads its 160 bits five at a time.
@@ -141,6 +149,45 @@ SELECT doc_id,
 FROM d WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)
 """
 
+#: Trees level by level: runs of three by position, proofs as the siblings of each level's ancestor, and folds of the tampered
+#: leaf, one level a step. DuckDB lacks CRC-32, which is computed bit by bit; only its lowest bit counts.
+OP12_SQL = r"""
+WITH RECURSIVE h AS (
+  SELECT doc_id, source, doc_id::VARCHAR AS d, coalesce('x' || source, '') AS tree, text,
+         list_aggregate(list_transform([doc_id::VARCHAR, source, lang, n_chars::VARCHAR], lambda v : CASE WHEN v IS NULL THEN '-' ELSE octet_length(encode(v)) || ':' || v END), 'string_agg', '') AS front FROM documents),
+leaves AS (
+  SELECT doc_id, tree, sha256(front || CASE WHEN text IS NULL THEN '-' ELSE octet_length(encode(text)) || ':' || text END) AS leaf,
+         CASE WHEN (list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(d) + 1), lambda i : ascii(d[i])::BIGINT)),
+                lambda c, b : list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i : CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) & 1) = 1
+              THEN sha256(front || CASE WHEN text IS NULL THEN '-' ELSE octet_length(encode(replace(text, chr(10), ''))) || ':' || replace(text, chr(10), '') END) END AS tampered FROM h),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS total FROM leaves),
+low AS (
+  SELECT tree, 0 AS lvl, pos, total, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, (total + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM low WHERE total > 1 GROUP BY tree, lvl, pos // 3, total),
+subroots AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS total FROM low WHERE total = 1),
+high AS (
+  SELECT 0 AS lvl, pos, total, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, (total + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM high WHERE total > 1 GROUP BY lvl, pos // 3, total),
+walk AS (
+  SELECT tree, pos AS leaf_pos, 0 AS lvl, pos, '' AS proof, coalesce(tampered, leaf) AS digest FROM placed
+  UNION ALL
+  SELECT w.tree, w.leaf_pos, w.lvl + 1, w.pos // 3, any_value(w.proof) || coalesce(string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos <> w.pos), ''),
+         sha256(string_agg(CASE WHEN n.pos = w.pos THEN w.digest ELSE n.digest END, '' ORDER BY n.pos))
+  FROM walk w JOIN low n ON n.tree = w.tree AND n.lvl = w.lvl AND n.pos // 3 = w.pos // 3 WHERE n.total > 1 GROUP BY w.tree, w.leaf_pos, w.lvl, w.pos),
+through AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY tree, leaf_pos ORDER BY lvl DESC) = 1),
+rise AS (
+  SELECT t.tree, t.leaf_pos, 0 AS lvl, s.pos, t.proof, t.digest FROM through t JOIN subroots s USING (tree)
+  UNION ALL
+  SELECT w.tree, w.leaf_pos, w.lvl + 1, w.pos // 3, any_value(w.proof) || coalesce(string_agg(n.digest, '' ORDER BY n.pos) FILTER (n.pos <> w.pos), ''),
+         sha256(string_agg(CASE WHEN n.pos = w.pos THEN w.digest ELSE n.digest END, '' ORDER BY n.pos))
+  FROM rise w JOIN high n ON n.lvl = w.lvl AND n.pos // 3 = w.pos // 3 WHERE n.total > 1 GROUP BY w.tree, w.leaf_pos, w.lvl, w.pos),
+done AS (SELECT * FROM rise QUALIFY row_number() OVER (PARTITION BY tree, leaf_pos ORDER BY lvl DESC) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, d.digest AS folded_root, d.digest = root AS verified
+FROM placed p JOIN done d ON d.tree = p.tree AND d.leaf_pos = p.pos JOIN subroots s ON s.tree = p.tree, (SELECT digest AS root FROM high WHERE total = 1)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op8_chat": OP8_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op12_merkle": OP12_SQL, "op6_warc": OP6_SQL, "op8_chat": OP8_SQL, "op9_exact_dedup": OP9_SQL}
