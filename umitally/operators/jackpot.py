@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from umitally.operators import tally
 from umitally.operators.tally import KEY
 from umitally.sources.workdir import stored
 
@@ -34,6 +37,38 @@ def gini(counts: DataFrame, column: str = "n") -> DataFrame:
     return sums.select(_ratio(F.col("up"), F.col("mass"), F.col("total")).alias("gini"))
 
 
+def summary_by(tuples: DataFrame, by: Sequence[str]) -> DataFrame:
+    """For each group: n_total, n_parsed, n_failed, n_tuples, gini, max_reads, from tuple counts that tell rejected reads too.
+
+    The groups' histograms are summed as in gini(); a group's histogram meets in one task, its tuples do not. A group without
+    accepted reads has no Gini (NaN) and 0 for the rest.
+    """
+    big = "decimal(38,0)"
+    ok = F.col("barcode").isNotNull()
+    hist = tuples.groupBy(*by, ok.alias("_ok"), F.col("n").cast(big).alias("_x")).agg(F.count(F.lit(1)).cast(big).alias("_m"))
+    of = lambda e: F.when(F.col("_ok"), e)
+    run = hist.withColumn("_c", (F.sum(of(F.col("_m"))).over(W.partitionBy(*by).orderBy("_x", "_ok")) - F.col("_m")).cast(big))
+    mass = (F.col("_x") * F.col("_m")).cast(big)
+    sums = run.groupBy(*by).agg(
+        F.sum(mass).cast("bigint").alias("n_total"), F.sum(of(mass)).cast(big).alias("_mass"), F.sum(of(F.col("_m"))).cast(big).alias("_total"), F.max(of(F.col("_x"))).alias("_most"),
+        F.sum(of((F.col("_x") * (2 * F.col("_m") * F.col("_c") + F.col("_m") * (F.col("_m") + 1)).cast(big)).cast(big))).cast(big).alias("_up"),
+    )
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    parsed = count("_mass")
+    return sums.select(*by, "n_total", parsed.alias("n_parsed"), (F.col("n_total") - parsed).alias("n_failed"), count("_total").alias("n_tuples"), _ratio(F.col("_up"), F.col("_mass"), F.col("_total")).alias("gini"), count("_most").alias("max_reads"))
+
+
+def audit(tuples: DataFrame, by: Sequence[str]) -> DataFrame:
+    """summary_by() beside each of the group's barcodes with total_reads and num_unique_umis; a group without one has one row.
+
+    Groups may be null. The barcodes were combined before they are joined to the groups.
+    """
+    barcodes = tally.barcode_summary(tuples.where("barcode IS NOT NULL"), by).withColumnsRenamed({c: f"_{c}" for c in by})
+    groups = summary_by(tuples, by)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return groups.join(barcodes, same, "left").select(*by, "barcode", "total_reads", "num_unique_umis", *(c for c in groups.columns if c not in by))
+
+
 def gini_capped(tuples: DataFrame, cap: int) -> DataFrame:
     """gini of the first cap tuples in key order."""
     if cap < 1:

@@ -248,7 +248,7 @@ def _edit_sql(layout: ReadLayout) -> str:
         WHERE e5 <= {k} AND e3 <= {k} GROUP BY seq"""
 
 
-def _parse_sql(layout: ReadLayout) -> str:
+def parse_sql(layout: ReadLayout) -> str:
     """WITH clauses that end in parsed: header, seq, umi5, barcode, umi3 (null where rejected) of every read."""
     a, b, gap = len(layout.inner5), len(layout.inner3), layout.barcode_length
     core_end = f"pos + {a + gap + b}"
@@ -268,6 +268,16 @@ def _parse_sql(layout: ReadLayout) -> str:
         parsed AS (SELECT header, r.seq, umi5, barcode, umi3 FROM r LEFT JOIN ok ON ok.seq = r.seq)"""
 
 
+def text_anchor_sql(layout: ReadLayout) -> str:
+    """doc_id, pos, e5, e3 of the best joint match in each document, by comparing the lists of their characters."""
+    cells = "CAST(list_sum(list_transform(range(1, {k} + 1), lambda j : (chars[p + {at} + j] <> chars_{x}[j])::INT)) AS INT)"
+    return f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), '') AS chars, string_split('{layout.inner5}', '') AS chars_a, string_split('{layout.inner3}', '') AS chars_b FROM documents),
+        p AS (SELECT doc_id, chars, chars_a, chars_b, unnest(range(0, len(chars) - {len(layout.inner5) + layout.barcode_length + len(layout.inner3)} + 1)) AS p FROM d),
+        e AS (SELECT doc_id, p, {cells.format(k=len(layout.inner5), at=0, x="a")} AS e5, {cells.format(k=len(layout.inner3), at=len(layout.inner5) + layout.barcode_length, x="b")} AS e3 FROM p),
+        b AS (SELECT doc_id, arg_min(p, (e5 + e3) * 10000000 + p)::INT AS pos, arg_min(e5, (e5 + e3) * 10000000 + p) AS e5, arg_min(e3, (e5 + e3) * 10000000 + p) AS e3 FROM e WHERE e5 <= {layout.max_errors} AND e3 <= {layout.max_errors} GROUP BY doc_id)
+        SELECT doc_id, pos, e5, e3 FROM documents LEFT JOIN b USING (doc_id)"""
+
+
 def _gini_sql(counts: str) -> str:
     """By the definition: ranks of all counts in ascending order."""
     return f"""SELECT sum((2 * i - k - 1) * n)::DOUBLE / (max(k) * sum(n))::DOUBLE AS gini
@@ -275,11 +285,10 @@ def _gini_sql(counts: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    parsed = _parse_sql(L)
+    parsed = parse_sql(L)
     tuples = "SELECT barcode, umi5, umi3, count(*)::BIGINT AS n FROM {} WHERE barcode IS NOT NULL GROUP BY ALL"
     events = "SELECT event_type AS barcode, (user_id % 37)::VARCHAR AS umi5, hour(ts)::VARCHAR AS umi3 FROM events"
     by_barcode = "SELECT barcode, sum(n)::BIGINT AS total_reads, count(*)::BIGINT AS num_unique_umis FROM {} GROUP BY barcode"
-    cells = "CAST(list_sum(list_transform(range(1, {k} + 1), lambda j : (chars[p + {at} + j] <> chars_{x}[j])::INT)) AS INT)"
     return {
         "reads_synth": synth.READS_SQL,
         "fastq_roundtrip": f"SELECT header, seq, translate(seq, 'ACGT', '@#IN') AS qual FROM ({synth.READS_SQL})",
@@ -288,9 +297,9 @@ def oracle_sql() -> dict[str, str]:
         "outer5_find": f"WITH r AS ({synth.READS_SQL}), u AS (SELECT DISTINCT seq FROM r), c AS ({_anchor_sql('u', OUTER.outer5, 1)}) SELECT r.header, r.seq, pos::INT AS pos FROM r LEFT JOIN c ON c.seq = r.seq",
         "outer3_find": f"WITH r AS ({synth.READS_SQL}), u AS (SELECT DISTINCT seq FROM r), c AS ({_anchor_sql('u', OUTER.outer3, 1)}) SELECT r.header, r.seq, pos::INT AS pos FROM r LEFT JOIN c ON c.seq = r.seq",
         "parse_reads": f"{parsed} SELECT header, umi5, barcode, umi3 FROM parsed",
-        "parse_outer": f"{_parse_sql(L.with_(outer5='AC', outer3='GT', min_umi=0, max_umi=20, max_errors=1))} SELECT header, umi5, barcode, umi3 FROM parsed",
+        "parse_outer": f"{parse_sql(L.with_(outer5='AC', outer3='GT', min_umi=0, max_umi=20, max_errors=1))} SELECT header, umi5, barcode, umi3 FROM parsed",
         "rejects": f"{parsed} SELECT header, seq FROM parsed WHERE barcode IS NULL",
-        "umi_bounds": f"{_parse_sql(L.with_(min_umi=6, max_umi=7))} SELECT header, umi5, barcode, umi3 FROM parsed WHERE barcode IS NOT NULL",
+        "umi_bounds": f"{parse_sql(L.with_(min_umi=6, max_umi=7))} SELECT header, umi5, barcode, umi3 FROM parsed WHERE barcode IS NOT NULL",
         "fastq_gzip": f"SELECT header, seq, translate(seq, 'ACGT', '@#IN') AS qual FROM ({synth.READS_SQL})",
         "rejects_fastq": f"""{parsed}, k AS (SELECT header, seq, string_split(substr(header, 2), ':') AS key FROM parsed WHERE barcode IS NULL)
             SELECT row_number() OVER (ORDER BY key[1]::BIGINT, key[2]::BIGINT, key[3]::BIGINT, key[4]::BIGINT) - 1 AS read_id, header, seq, translate(seq, 'ACGT', '@#IN') AS qual FROM k""",
@@ -317,11 +326,7 @@ def oracle_sql() -> dict[str, str]:
                    gini, (SELECT avg(n) FROM t) AS mean_reads, (SELECT max(n) FROM t)::BIGINT AS max_reads, 100.0::DOUBLE * n_parsed / n_total AS pct_parsed, 100.0::DOUBLE * (n_total - n_parsed) / n_total AS pct_failed
             FROM c, g""",
         "empty_input": "SELECT 0::BIGINT AS n_total, 0::BIGINT AS n_parsed, 0::BIGINT AS n_failed, 0::BIGINT AS n_tuples, 0::BIGINT AS n_barcodes, NULL::DOUBLE AS gini, 0.0::DOUBLE AS mean_reads, 0::BIGINT AS max_reads, 0.0::DOUBLE AS pct_parsed, 0.0::DOUBLE AS pct_failed",
-        "text_anchor_search": f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), '') AS chars, string_split('{TEXT.inner5}', '') AS chars_a, string_split('{TEXT.inner3}', '') AS chars_b FROM documents),
-            p AS (SELECT doc_id, chars, chars_a, chars_b, unnest(range(0, len(chars) - {len(TEXT.inner5) + TEXT.barcode_length + len(TEXT.inner3)} + 1)) AS p FROM d),
-            e AS (SELECT doc_id, p, {cells.format(k=len(TEXT.inner5), at=0, x="a")} AS e5, {cells.format(k=len(TEXT.inner3), at=len(TEXT.inner5) + TEXT.barcode_length, x="b")} AS e3 FROM p),
-            b AS (SELECT doc_id, arg_min(p, (e5 + e3) * 10000000 + p)::INT AS pos, arg_min(e5, (e5 + e3) * 10000000 + p) AS e5, arg_min(e3, (e5 + e3) * 10000000 + p) AS e3 FROM e WHERE e5 <= 1 AND e3 <= 1 GROUP BY doc_id)
-            SELECT doc_id, pos, e5, e3 FROM documents LEFT JOIN b USING (doc_id)""",
+        "text_anchor_search": text_anchor_sql(TEXT),
         "hash_find": "SELECT * FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
         "hash_delete": "SELECT * FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')",
         "hash_add": "SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_acctbal < 0",

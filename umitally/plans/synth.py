@@ -12,13 +12,15 @@ _BASES = "translate(md5(cast({key} as string)), '0123456789abcdef', 'ACGTACGTACG
 
 #: One error in inner5 for every eleventh order, two (one too many) for every thirteenth, one in inner3 for every
 #: seventeenth. A read's header is made of its line's keys.
-READS_SQL = f"""
-SELECT concat('@', cast(l_orderkey as string), ':', cast(l_linenumber as string), ':', cast(l_partkey as string), ':', cast(l_suppkey as string)) AS header,
-       concat(substr({_BASES.format(key="l_suppkey % 7")}, 1, cast(4 + l_linenumber % 5 as int)),
+HEADER_SQL = "concat('@', cast(l_orderkey as string), ':', cast(l_linenumber as string), ':', cast(l_partkey as string), ':', cast(l_suppkey as string))"
+SEQ_SQL = f"""concat(substr({_BASES.format(key="l_suppkey % 7")}, 1, cast(4 + l_linenumber % 5 as int)),
               CASE WHEN l_orderkey % 11 = 0 THEN 'GAACAGAAACC' WHEN l_orderkey % 13 = 0 THEN 'GATCAGAAACC' ELSE '{INNER5}' END,
               substr({_BASES.format(key="l_partkey % 50")}, 1, 8),
               CASE WHEN l_orderkey % 17 = 0 THEN 'TAGAAGCTTC' ELSE '{INNER3}' END,
-              substr({_BASES.format(key="l_suppkey % 3")}, 5, cast(5 + l_linenumber % 4 as int))) AS seq
+              substr({_BASES.format(key="l_suppkey % 3")}, 5, cast(5 + l_linenumber % 4 as int)))"""
+READS_SQL = f"""
+SELECT {HEADER_SQL} AS header,
+       {SEQ_SQL} AS seq
 FROM lineitem
 """
 
