@@ -22,7 +22,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobs.common import default_config, layout_of, log, read_config, start_session
@@ -33,25 +33,24 @@ def part(group: str) -> Column:
     return F.coalesce(F.concat(F.lit("of "), F.col(group)), F.lit("none"))
 
 
-def write(df: DataFrame, path: str, group: str, metrics: Observation) -> None:
-    """Replace the table at path. A task has rows of few folders, and a hot group is spread by AQE's rebalancing."""
-    counted = df.observe(metrics, F.count(F.lit(1)).alias("rows"))
-    counted.withColumn("part", part(group)).hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
+def replace(df: DataFrame, path: str, group: str) -> DataFrame:
+    """Replace the table at path and read it back. A task has rows of few folders, and AQE splits a hot group's."""
+    df.withColumn("part", part(group)).hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("part").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run(spark: SparkSession, documents: str, output: str, config: dict) -> dict[str, int]:
     """Read documents, write output/tuples and output/audit; what was read and written."""
     group, text = config["group"], config["text"]
-    read, tuples_written, audit_written = Observation(), Observation(), Observation()
-    docs = spark.read.parquet(documents).select(F.col(group).cast("string").alias(group), text).observe(read, F.count(F.lit(1)).alias("rows"))
+    docs = spark.read.parquet(documents).select(F.col(group).cast("string").alias(group), text)
     parsed = parse.parse_reads(docs, layout_of(config), seq_col=text)
     parsed = parsed.select(group, "barcode", F.md5(F.col("umi5").cast("binary")).alias("umi5"), F.md5(F.col("umi3").cast("binary")).alias("umi3"))
-    write(tally.tuple_counts(parsed, by=[group], rejects=True), f"{output}/tuples", group, tuples_written)
-    log.info("read %d documents of %s, wrote %d tuples to %s/tuples", read.get["rows"], documents, tuples_written.get["rows"], output)
-    tuples = spark.read.parquet(f"{output}/tuples").drop("part")
-    write(jackpot.audit(tuples, [group]), f"{output}/audit", group, audit_written)
-    log.info("wrote %d rows to %s/audit", audit_written.get["rows"], output)
-    return {"documents": read.get["rows"], "tuples": tuples_written.get["rows"], "audit": audit_written.get["rows"]}
+    tuples = replace(tally.tuple_counts(parsed, by=[group], rejects=True), f"{output}/tuples", group)
+    n = tuples.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("documents"), F.count(F.lit(1)).alias("tuples")).first()
+    log.info("read %d documents of %s, wrote %d tuples to %s/tuples", n.documents, documents, n.tuples, output)
+    audit = replace(jackpot.audit(tuples, [group]), f"{output}/audit", group).count()
+    log.info("wrote %d rows to %s/audit", audit, output)
+    return {"documents": n.documents, "tuples": n.tuples, "audit": audit}
 
 
 def main(args: list[str] | None = None) -> int:

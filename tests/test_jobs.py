@@ -123,7 +123,7 @@ TEXTS = [("a", "one tion abc the two"), ("a", "one tion abc the two"), ("a", "no
 
 
 def audit_of(spark, out):
-    rows = spark.read.parquet(f"{out}/audit").drop("part").select("source", "barcode", "total_reads", "num_unique_umis", "n_total", "n_parsed", "n_failed", "n_tuples", "gini", "max_reads").collect()
+    rows = spark.read.parquet(f"{out}/audit").select("source", "barcode", "total_reads", "num_unique_umis", "n_total", "n_parsed", "n_failed", "n_tuples", "gini", "max_reads").collect()
     return {tuple(None if v != v else round(v, 9) if isinstance(v, float) else v for v in r) for r in rows}
 
 
