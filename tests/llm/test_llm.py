@@ -14,7 +14,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from umitally.llm import chat, components, exact_dedup, jaccard, language, packing, pieces, quality, queries, simhash, toxicity, warc
+from umitally.llm import chat, components, exact_dedup, jaccard, language, merkle, packing, pieces, quality, queries, setsketch, simhash, toxicity, warc
 from umitally.llm.common import shared_dir
 
 SF = "/root/testdata/sf0.01"
@@ -622,13 +622,13 @@ def test_exact_empty(empty):
 # 10 Jaccard join
 
 
-def shingle_set(text):
+def shingle_set(text, size=5):
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if x]
-    return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+    return frozenset(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))) if w else frozenset()
 
 
-def jaccard_by_hand(rows):
-    sets = [(i, shingle_set(t)) for i, t in rows]
+def jaccard_by_hand(rows, size=5, least=75):
+    sets = [(i, shingle_set(t, size)) for i, t in rows]
     root = list(range(len(sets)))
 
     def find(x):
@@ -641,15 +641,15 @@ def jaccard_by_hand(rows):
     for k, (_, s) in enumerate(sets):
         for j in {j for t in s for j in where[t]}:
             c = len(s & sets[j][1])
-            if 100 * c >= 75 * (len(s) + len(sets[j][1]) - c):
+            if 100 * c >= least * (len(s) + len(sets[j][1]) - c):
                 root[find(k)] = find(j)
         for t in s:
             where[t].append(k)
-    least = {}
+    first = {}
     for k, (i, _) in enumerate(sets):
         r = find(k)
-        least[r] = i if least.get(r) is None else least[r] if i is None else min(i, least[r])
-    return Counter((i, len(s), least[find(k)]) for k, (i, s) in enumerate(sets))
+        first[r] = i if first.get(r) is None else first[r] if i is None else min(i, first[r])
+    return Counter((i, len(s), first[find(k)]) for k, (i, s) in enumerate(sets))
 
 
 def as_counter(df):

@@ -8,7 +8,7 @@ leaf is the siblings on its way to the root.
 * Order. Leaves are range-partitioned and sorted by (source, doc_id, leaf) and numbered within each range; ranges are counted
   by source, and a running sum over the counts gives positions. Texts stay where they are: leaves are made in the JVM, and
   ids and digests alone are shuffled.
-* Traversal. A block is an aligned run of BLOCK = 3^5 nodes of one tree, so it is exactly one node five levels up. Each block
+* Traversal. A block is an aligned run of 3^LEVELS nodes of one tree, so it is exactly one node LEVELS levels up. Each block
   is visited in postorder by recursion, which returns the digest of the subtree and, while it unwinds, appends the siblings of
   each child to the leaves that the child contains. The roots of blocks are the leaves of another such distributed traversal,
   and so on until a tree has one node.
@@ -38,9 +38,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from umitally.llm.common import small_batches, temporary_tables, write_table
 
-#: Children of a node, levels and leaves of a block.
+#: Children of a node, and levels of a block.
 WAYS, LEVELS = 3, 5
-BLOCK = WAYS**LEVELS
 LEAF_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 #: A level of a proof: the siblings before and after, as text.
 Proof = list[tuple[str, str]]
@@ -58,10 +57,10 @@ def combined(digests: list[str]) -> str:
     return sha256("".join(digests).encode()).hexdigest()
 
 
-def levels_of(total: int) -> int:
+def levels_of(total: int, most: int) -> int:
     """Levels above the leaves of a tree, or of a block of a larger one."""
     levels = 0
-    while total > 1 and levels < LEVELS:
+    while total > 1 and levels < most:
         total, levels = -(-total // WAYS), levels + 1
     return levels
 
@@ -132,12 +131,16 @@ def positions(nodes: DataFrame, by: list[str]) -> DataFrame:
     return numbered.join(offsets, ["tree", "part"]).withColumn("pos", F.col("before") + F.col("place")).drop("part", "place", "before")
 
 
+def _block(levels: int) -> Column:
+    return F.floor(F.col("pos") / WAYS**levels)
+
+
 def _blocks(nodes: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """run over nodes, which come by blocks in order; a block is within one task."""
     return nodes.repartition("tree", "block").sortWithinPartitions("tree", "block", "pos").mapInArrow(run, schema)
 
 
-def _up(nodes: DataFrame) -> DataFrame:
+def _up(nodes: DataFrame, levels: int) -> DataFrame:
     """tree, pos, total, digest of the roots of the blocks of nodes (tree, pos, total, digest)."""
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -147,24 +150,24 @@ def _up(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for rows in _runs(batches, ["tree", "block"]):
-            out.append((rows[0]["tree"], rows[0]["block"], -(-rows[0]["total"] // BLOCK), traverse([r["digest"] for r in rows], levels_of(rows[0]["total"]))))
+            out.append((rows[0]["tree"], rows[0]["block"], -(-rows[0]["total"] // WAYS**levels), traverse([r["digest"] for r in rows], levels_of(rows[0]["total"], levels))))
             if len(out) >= 1000:
                 yield batch(out)
                 out = []
         yield batch(out)
 
-    return _blocks(nodes.select("tree", "pos", "total", "digest", F.floor(F.col("pos") / BLOCK).alias("block")), run, "tree string, pos bigint, total bigint, digest string")
+    return _blocks(nodes.select("tree", "pos", "total", "digest", _block(levels).alias("block")), run, "tree string, pos bigint, total bigint, digest string")
 
 
-def climb(leaves: DataFrame) -> list[DataFrame]:
+def climb(leaves: DataFrame, levels: int) -> list[DataFrame]:
     """The leaves (tree, pos, total, digest) and the roots of their blocks, level by level, up to one node a tree."""
     out = [leaves]
     while out[-1].where("total > 1").limit(1).count():
-        out.append(write_table(_up(out[-1])))
+        out.append(write_table(_up(out[-1], levels)))
     return out
 
 
-def descend(nodes: DataFrame, above: DataFrame, finish: Callable[[dict, Proof, dict], tuple] | None = None, schema: T.StructType | None = None) -> DataFrame:
+def descend(nodes: DataFrame, above: DataFrame, levels: int, finish: Callable[[dict, Proof, dict], tuple] | None = None, schema: T.StructType | None = None) -> DataFrame:
     """tree, pos, proof (and the other columns of above) of each node, from those of the roots of the nodes' blocks.
 
     finish makes a row of schema from a node, its proof and the block's row of above, in place of these columns.
@@ -181,7 +184,7 @@ def descend(nodes: DataFrame, above: DataFrame, finish: Callable[[dict, Proof, d
     kinds = to_arrow_schema(schema)
     # A block's row of above comes before its nodes.
     head = above.select("tree", F.col("pos").alias("block"), F.lit(-1).cast("bigint").alias("pos"), "proof", *rest)
-    own = nodes.withColumn("block", F.floor(F.col("pos") / BLOCK))
+    own = nodes.withColumn("block", _block(levels))
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
@@ -191,7 +194,7 @@ def descend(nodes: DataFrame, above: DataFrame, finish: Callable[[dict, Proof, d
         out = []
         for of, *rows in _runs(batches, ["tree", "block"]):
             proofs: list[Proof] = [[] for _ in rows]
-            traverse([r["digest"] for r in rows], levels_of(rows[0]["total"]), proofs)
+            traverse([r["digest"] for r in rows], levels_of(rows[0]["total"], levels), proofs)
             tail = [(x["before"], x["after"]) for x in of["proof"]]
             out += (finish(r, p + tail, of) for r, p in zip(rows, proofs, strict=True))
             if len(out) >= 1000:
@@ -207,26 +210,26 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("x"), source.cast("string")), F.lit(""))
 
 
-def root_and_proofs(leaves: DataFrame, finish: Callable[[dict, Proof, dict], tuple], schema: T.StructType) -> DataFrame:
+def root_and_proofs(leaves: DataFrame, finish: Callable[[dict, Proof, dict], tuple], schema: T.StructType, levels: int = LEVELS) -> DataFrame:
     """A row by finish(leaf's row, proof, {"subroot", "root"}) for each leaf (tree, doc_id, digest and more columns)."""
-    levels = climb(write_table(positions(leaves, ["doc_id", "digest"])))
-    tops = levels[-1].select("tree", F.col("digest").alias("subroot"))
-    sources = climb(write_table(positions(tops.select(F.lit("").alias("tree"), F.col("tree").alias("of"), F.col("subroot").alias("digest")), ["of"])))
+    low = climb(write_table(positions(leaves, ["doc_id", "digest"])), levels)
+    tops = low[-1].select("tree", F.col("digest").alias("subroot"))
+    sources = climb(write_table(positions(tops.select(F.lit("").alias("tree"), F.col("tree").alias("of"), F.col("subroot").alias("digest")), ["of"])), levels)
     first = sources[-1].select("digest").first()
     root = first["digest"] if first else ""
     above = sources[-1].select("tree", "pos", F.array().cast(_PROOF).alias("proof"))
     for nodes in reversed(sources[1:-1]):
-        above = write_table(descend(nodes, above))
+        above = write_table(descend(nodes, above, levels))
     if len(sources) > 1:
-        above = write_table(descend(sources[0].select("tree", "pos", "total", "digest"), above))
+        above = write_table(descend(sources[0].select("tree", "pos", "total", "digest"), above, levels))
     of_source = sources[0].select(F.col("of").alias("tree"), "pos", F.col("digest").alias("subroot")).join(above.select("pos", "proof"), "pos")
     above = write_table(of_source.select("tree", F.lit(0).cast("bigint").alias("pos"), "proof", "subroot", F.lit(root).alias("root")))
-    for nodes in reversed(levels[1:-1]):
-        above = write_table(descend(nodes, above))
-    return descend(levels[0], above, finish, schema)
+    for nodes in reversed(low[1:-1]):
+        above = write_table(descend(nodes, above, levels))
+    return descend(low[0], above, levels, finish, schema)
 
 
-def manifest(docs: DataFrame) -> DataFrame:
+def manifest(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256 of every row, and the proof's trial: folded_root, verified.
 
     The trial takes the digest of a text without its line feeds where 2 divides the CRC-32 of the decimal doc_id (null ids
@@ -248,4 +251,4 @@ def manifest(docs: DataFrame) -> DataFrame:
         return row["doc_id"], row["digest"], of["subroot"], of["root"], proof_digest(proof), found, found == of["root"]
 
     with temporary_tables(docs.sparkSession):
-        return write_table(root_and_proofs(rows, finish, schema), keep=True)
+        return write_table(root_and_proofs(rows, finish, schema, levels), keep=True)
