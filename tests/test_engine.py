@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from test_match import plain_parse
 from umitally.__main__ import main
+from umitally.functions import match
 from umitally.operators import jackpot, keyed, parse, tally
 from umitally.plans.layout import ReadLayout
 from umitally.run import run
@@ -87,6 +88,22 @@ def test_rejects_and_order(thousand):
     assert [r.barcode for r in first] == sorted(seen, key=lambda b: -n_umis[b])  # a stable sort of first-seen order
 
 
+@pytest.mark.parametrize("layout", [LAYOUT, OUTER, LAYOUT.with_(mode="edit"), LAYOUT.with_(mode="edit", min_umi=16, max_umi=18), LAYOUT.with_(max_umi=260, c_limits=True)])
+def test_exact_reads_stay_in_the_jvm(spark, thousand, layout):
+    """Reads that agree exactly reach the search as nulls; the outcome is that of the search alone."""
+    odd = [s[:20] + x + s[20:] for _, s, _ in READS[:60] for x in ("\n", "é🙂", LAYOUT.inner5, "A" * 300)] + ["", None, OUTER.inner5, "x" + LAYOUT.inner5 + "A" * 12 + LAYOUT.inner3]
+    reads = thousand.select("seq").unionByName(spark.createDataFrame([(s,) for s in odd], "seq string"))
+    parsed = parse.parse_reads(reads, layout)
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert "places(CASE WHEN isnull(_exact" in plan and plan.count("ArrowEvalPython") == 1
+    seqs = [r.seq for r in reads.collect()]
+    at = match.parse([s or "" for s in seqs], layout)
+    want = Counter((s, *((s[a:b], s[c : c + layout.barcode_length], s[d:e]) if a >= 0 and s is not None else (None,) * 3)) for s, (a, b, c, d, e) in zip(seqs, at.tolist(), strict=True))
+    assert Counter((r.seq, r.umi5, r.barcode, r.umi3) for r in parsed.collect()) == want
+    known = reads.select(parse.exact_places(F.col("seq"), layout).alias("at")).where("at IS NOT NULL").count()
+    assert 300 < known < 900
+
+
 def test_search_uses_no_column_of_its_own(thousand):
     parsed = parse.parse_reads(thousand.withColumn("_at", F.lit(7)), OUTER)
     assert parsed.where("_at = 7").count() == 1000

@@ -132,6 +132,26 @@ def test_edit_mode_equals_reads_one_by_one(outer, errors):
     assert parsed(seqs, layout) == [plain_edit(s, layout) for s in seqs]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_edits_against_patterns(seed):
+    """Anchors of few letters, which align in many ways, and up to three errors, against the pattern search."""
+    rng = random.Random(seed)
+    for errors in range(4):
+        letters = rng.choice(["AC", "ACGT", "ACGT\n"])
+        made = lambda n: "".join(rng.choice(letters) for _ in range(n))  # noqa: E731, B023
+        layout = ReadLayout(made(6 + seed), made(5 + errors), 3, outer5=rng.choice([None, made(5)]), outer3=rng.choice([None, made(5)]), min_umi=0, max_umi=99, max_errors=errors, mode="edit")
+
+        def worn(s):
+            s = list(s)
+            for _ in range(rng.randint(0, errors + 1)):  # noqa: B023
+                i = rng.randrange(len(s) + 1)
+                s[i : i + rng.randint(0, 1)] = rng.choice(["", "A", "C"])
+            return "".join(s)
+
+        seqs = [made(rng.randint(0, 9)) + worn(layout.outer5 or "A") + worn(layout.inner5) + made(3) + worn(layout.inner3) + worn(layout.outer3 or "C") + made(rng.randint(0, 9)) for _ in range(300)] + ["", "A"]
+        assert parsed(seqs, layout) == [plain_edit(s, layout) for s in seqs]
+
+
 def test_edit_mode():
     layout = MICRO.with_(mode="edit")
     assert parsed(["GGACGTACCATGTTGGCCAA", "GGACGACCATGTTGGCCAA", "GGACGTTACCATGTTGGCCAA"], layout) == [("GG", "CATG", "AA")] * 3

@@ -1,17 +1,17 @@
 """Approximate anchor search over batches of reads.
 
 Hamming searches take all reads of one length as a matrix and compare the anchor at every position at once; the first
-minimum is the leftmost best place. Edit-distance searches go through the regex package read by read, as its rules for
-equally good matches are part of the semantics.
+minimum is the leftmost best place. Edit-distance searches follow the alignments of all reads at once (see edits); anchors
+that are patterns go through the regex package read by read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 import numpy as np
 
+from umitally.functions import edits
 from umitally.plans.layout import ReadLayout
 
 #: More than any count of mismatches that a search allows.
@@ -104,64 +104,49 @@ def parse_hamming(seqs: list[str], layout: ReadLayout) -> np.ndarray:
     return out
 
 
-class EditParser:
-    """The edit-distance model: both inner anchors in one best match, outer anchors by their first acceptable match."""
-
-    def __init__(self, layout: ReadLayout):
-        import regex
-
-        def fuzzy(anchor: str) -> str:
-            return f"(?:{anchor if layout.regex_anchors else re.escape(anchor)}){{e<={layout.max_errors}}}"
-
-        best = "(?b)"  # of all matches the one with the fewest errors
-        self.core = regex.compile(f"{best}{fuzzy(layout.inner5)}(?P<barcode>.{{{layout.barcode_length}}}){fuzzy(layout.inner3)}")
-        self.outer5 = regex.compile(fuzzy(layout.outer5)) if layout.outer5 else None
-        self.outer3 = regex.compile(fuzzy(layout.outer3)) if layout.outer3 else None
-
-        self.layout = layout
-
-    def cores(self, seqs: list[str]) -> np.ndarray:
-        """Rows (inner5 start, barcode start, core end) of the best match of both inner anchors, -1 where there is none.
-
-        The leftmost match without errors is the best. A barcode of pattern dots holds no line feed, so reads with one, and
-        anchors that are patterns, are left to the search by pattern.
-        """
-        o, out = self.layout, np.full((len(seqs), 3), -1, np.int64)
-        todo = np.ones(len(seqs), bool)
-        if not o.regex_anchors:
-            a, gap, b = len(o.inner5), o.barcode_length, len(o.inner3)
-            for rows, chars in by_length(seqs):
-                at, _, _ = find_core(chars, o.inner5, o.inner3, gap, 0)
-                ok = (at >= 0) & ~(chars == 10).any(axis=1)
-                out[rows[ok]] = (at[:, None] + [0, a, a + gap + b])[ok]
-                todo[rows[ok]] = False
-        for i in np.flatnonzero(todo):
-            if m := self.core.search(seqs[i]):
-                out[i] = m.start(), m.start("barcode"), m.end()
-        return out
-
-    def __call__(self, seqs: list[str]) -> np.ndarray:
-        cores = self.cores(seqs)
-        out = np.column_stack([np.zeros(len(seqs), np.int64), cores, np.fromiter(map(len, seqs), np.int64, len(seqs))])
-        out[cores[:, 0] < 0] = -1
-        if self.outer5 is not None or self.outer3 is not None:
-            for i in np.flatnonzero(cores[:, 0] >= 0):
-                out[i] = self._trimmed(seqs[i], *out[i].tolist())
-        return out
-
-    def _trimmed(self, seq: str, begin: int, start: int, barcode: int, core_end: int, end: int) -> tuple[int, ...]:
-        reject = (-1, -1, -1, -1, -1)
-        if self.outer5 is not None:
-            o = self.outer5.search(seq[:start])
-            if not o:
-                return reject
-            begin = o.end()
-        if self.outer3 is not None:
-            o = self.outer3.search(seq[core_end:])
-            if not o:
-                return reject
-            end = core_end + o.start()
-        return begin, start, barcode, core_end, end
+def parse_edit(seqs: list[str], layout: ReadLayout) -> np.ndarray:
+    """Places as parse_hamming gives them, in the edit-distance model: both inner anchors in one best match, outer anchors by
+    their first acceptable match. The leftmost match without errors is the best, so only reads without one are followed."""
+    out = np.full((len(seqs), 5), -1, np.int64)
+    a, b, gap, limit = len(layout.inner5), len(layout.inner3), layout.barcode_length, layout.max_errors
+    for all_rows, all_chars in by_length(seqs):
+        step = max(1, edits.CELLS // (all_chars.shape[1] + 1))
+        for k in range(0, len(all_rows), step):
+            rows, chars = all_rows[k : k + step], all_chars[k : k + step]
+            at, _, _ = find_core(chars, layout.inner5, layout.inner3, gap, 0)
+            exact = (at >= 0) & ~(chars == 10).any(axis=1)  # a barcode holds no line feed
+            core = np.where(exact[:, None], at[:, None] + [0, a, a + gap + b], -1)
+            core[~exact] = edits.find_core(chars[~exact], layout.inner5, layout.inner3, gap, limit)
+            start, barcode, core_end = core.T
+            n, ok = len(rows), start >= 0
+            begin, end = np.zeros(n, np.int64), np.full(n, chars.shape[1], np.int64)
+            if layout.outer5 and ok.any():
+                first, last = edits.find_first(chars[ok], layout.outer5, limit, begin[ok], start[ok])
+                begin[ok] = last
+                ok[ok] = first >= 0
+            if layout.outer3 and ok.any():
+                first, _ = edits.find_first(chars[ok], layout.outer3, limit, core_end[ok], end[ok])
+                end[ok] = first
+                ok[ok] = first >= 0
+            out[rows] = np.where(ok[:, None], np.stack([begin, start, barcode, core_end, end], axis=1), -1)
+    return out
+
+
+def parse_patterns(seqs: list[str], layout: ReadLayout) -> np.ndarray:
+    """parse_edit for anchors that are pattern source, read by read through the regex package."""
+    import regex
+
+    fuzzy = lambda anchor: f"(?:{anchor}){{e<={layout.max_errors}}}"
+    core = regex.compile(f"(?b){fuzzy(layout.inner5)}(?P<barcode>.{{{layout.barcode_length}}}){fuzzy(layout.inner3)}")
+    outer5, outer3 = (regex.compile(fuzzy(x)) if x else None for x in (layout.outer5, layout.outer3))
+    out = np.full((len(seqs), 5), -1, np.int64)
+    for i, seq in enumerate(seqs):
+        m = core.search(seq)
+        before = m and outer5 and outer5.search(seq[: m.start()])
+        after = m and outer3 and outer3.search(seq[m.end() :])
+        if m and (before or not outer5) and (after or not outer3):
+            out[i] = before.end() if before else 0, m.start(), m.start("barcode"), m.end(), m.end() + after.start() if after else len(seq)
+    return out
 
 
 def parse(seqs: list[str], layout: ReadLayout) -> np.ndarray:
@@ -169,8 +154,8 @@ def parse(seqs: list[str], layout: ReadLayout) -> np.ndarray:
     if layout.mode == "hamming":
         out = parse_hamming(seqs, layout)
     else:
-        out = EditParser(layout)(seqs)
-    most = min(layout.max_umi, 255) if layout.c_limits else layout.max_umi
+        out = parse_patterns(seqs, layout) if layout.regex_anchors else parse_edit(seqs, layout)
+    most = layout.most_umi
     first, last = out[:, 1] - out[:, 0], out[:, 4] - out[:, 3]
     bad = (first < layout.min_umi) | (first > most) | (last < layout.min_umi) | (last > most)
     out[bad] = -1

@@ -49,3 +49,8 @@ class ReadLayout:
 
     def with_(self, **changes) -> ReadLayout:
         return replace(self, **changes)
+
+    @property
+    def most_umi(self) -> int:
+        """The length of the longest UMI that is accepted."""
+        return min(self.max_umi, 255) if self.c_limits else self.max_umi

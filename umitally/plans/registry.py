@@ -22,6 +22,8 @@ from umitally.sources.workdir import shared_dir
 L = synth.LAYOUT
 #: Searched alone in whole reads: the anchors of L, and ones for the outer searches (the reads have none of their own).
 OUTER = L.with_(outer5="AGAAACC", outer3="GCTTA")
+#: Outer anchors in edit mode, short enough to be found in the UMIs of these reads.
+EDIT_OUTER = L.with_(outer5="CTA", outer3="GAT", min_umi=0, max_umi=20, max_errors=1, mode="edit")
 #: Compared with the beginnings of part names.
 NAME_START = "part 1"
 #: Whole texts of documents, searched for a joint match.
@@ -173,6 +175,11 @@ def parse_edit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir, L.with_(mode="edit")).select("header", "umi5", "barcode", "umi3")
 
 
+def parse_edit_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outer anchors in edit mode, of which the first acceptable match counts."""
+    return _parsed(spark, sf_dir, EDIT_OUTER).select("header", "umi5", "barcode", "umi3")
+
+
 def hash_find(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.find(_table(spark, sf_dir, "customer"), _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
 
@@ -210,7 +217,7 @@ def hash_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.sort(_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), F.desc("c_acctbal"), "c_custkey")
 
 
-_QUERIES = [reads_synth, fastq_roundtrip, fastq_gzip, rejects_fastq, counts_tsv, report, empty_tsv, hamming_bounded, core_search, outer5_find, outer3_find, parse_reads, parse_outer, rejects, umi_bounds, tuple_counts, merge_tallies, barcode_summary, natural_tally, gini, gini_capped, run_summary, empty_input, text_anchor_search, parse_edit, hash_find, hash_delete, hash_add, hash_add_inorder, hash_count, hash_replace, hash_select, hash_sort]
+_QUERIES = [reads_synth, fastq_roundtrip, fastq_gzip, rejects_fastq, counts_tsv, report, empty_tsv, hamming_bounded, core_search, outer5_find, outer3_find, parse_reads, parse_outer, rejects, umi_bounds, tuple_counts, merge_tallies, barcode_summary, natural_tally, gini, gini_capped, run_summary, empty_input, text_anchor_search, parse_edit, parse_edit_outer, hash_find, hash_delete, hash_add, hash_add_inorder, hash_count, hash_replace, hash_select, hash_sort]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -248,6 +255,23 @@ def _edit_sql(layout: ReadLayout) -> str:
         WHERE e5 <= {k} AND e3 <= {k} GROUP BY seq"""
 
 
+def _first_sql(source: str, anchor: str) -> str:
+    """part, s and e (start and end) of the first acceptable match of anchor with at most one edit in each part of source.
+
+    By the rules that the search is defined by, told by comparing strings: at a start without an exact match, the first
+    difference decides, of which a substitution is tried before an insertion (not of the part's first character) and a
+    deletion; a match with an error cannot end before the first difference.
+    """
+    k = len(anchor)
+    return f"""SELECT part, min(p)::INT AS s, arg_min(e, p)::INT AS e FROM (
+          SELECT part, p, CASE WHEN substr(rest, 1, {k}) = '{anchor}' THEN p + {k}
+                 WHEN same < length(rest) AND substr(rest, same + 2, {k} - same - 1) = substr('{anchor}', same + 2) THEN p + {k}
+                 WHEN p + same > 0 AND same < length(rest) AND substr(rest, same + 2, {k} - same) = substr('{anchor}', same + 1) THEN p + {k + 1}
+                 WHEN substr(rest, same + 1, {k} - same - 1) = substr('{anchor}', same + 2) THEN p + {k - 1} END AS e
+          FROM (SELECT part, p, substr(part, p::INT + 1) AS rest, CASE {" ".join(f"WHEN NOT starts_with(substr(part, p::INT + 1), '{anchor[: i + 1]}') THEN {i}" for i in range(k))} ELSE {k} END AS same
+                FROM (SELECT part, unnest(range(0, length(part) + 1)) AS p FROM {source}))) WHERE e IS NOT NULL GROUP BY part"""
+
+
 def parse_sql(layout: ReadLayout) -> str:
     """WITH clauses that end in parsed: header, seq, umi5, barcode, umi3 (null where rejected) of every read."""
     a, b, gap = len(layout.inner5), len(layout.inner3), layout.barcode_length
@@ -314,6 +338,11 @@ def oracle_sql() -> dict[str, str]:
             ok AS (SELECT seq, substr(seq, 1, s) AS umi5, substr(seq, bc + 1, {L.barcode_length}) AS barcode, substr(seq, ce + 1) AS umi3 FROM c
                    WHERE s BETWEEN {L.min_umi} AND {L.max_umi} AND length(seq) - ce BETWEEN {L.min_umi} AND {L.max_umi})
             SELECT header, umi5, barcode, umi3 FROM r LEFT JOIN ok ON ok.seq = r.seq""",
+        "parse_edit_outer": f"""WITH r AS ({synth.READS_SQL}), u AS (SELECT DISTINCT seq FROM r), c AS ({_edit_sql(EDIT_OUTER)}),
+            cut AS (SELECT seq, substr(seq, 1, s) AS before, substr(seq, bc + 1, {L.barcode_length}) AS barcode, substr(seq, ce + 1) AS after FROM c),
+            p5 AS (SELECT DISTINCT before AS part FROM cut), p3 AS (SELECT DISTINCT after AS part FROM cut), o5 AS ({_first_sql("p5", EDIT_OUTER.outer5)}), o3 AS ({_first_sql("p3", EDIT_OUTER.outer3)}),
+            ok AS (SELECT seq, substr(before, o5.e + 1) AS umi5, barcode, substr(after, 1, o3.s) AS umi3 FROM cut JOIN o5 ON o5.part = before JOIN o3 ON o3.part = after)
+            SELECT header, umi5, barcode, umi3 FROM r LEFT JOIN ok ON ok.seq = r.seq""",
         "tuple_counts": f"{parsed} {tuples.format('parsed')}",
         "merge_tallies": f"{parsed} {tuples.format('parsed')}",
         "barcode_summary": f"{parsed}, t AS ({tuples.format('parsed')}) {by_barcode.format('t')}",
