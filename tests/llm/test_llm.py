@@ -501,6 +501,26 @@ def test_simhash_finds_near_copies(spark):
     assert len(got) == 12 and all(len(alike[i]) == 2 and r.n_near == 2 and r.nearest_id in alike[i] for i, r in got.items())
 
 
+def test_simhash_blocks_follow_the_corpus(spark):
+    """More fingerprints take fewer blocks with longer keys and more flips, so a query's work grows far slower than the corpus."""
+    few = simhash.choose_blocks(10**4, 10**6 // 50)
+    assert few == simhash.BLOCKS and simhash.choose_blocks(10**9, 5 * 10**10) < few
+    for n in (10**5, 10**6, 10**7, 10**8):
+        work = [simhash.expected_work(m, simhash.choose_blocks(m // 50, m)) for m in (n, 100 * n)]
+        assert work[1] < 40 * work[0]
+    met = [simhash.expected_candidates(m, simhash.choose_blocks(m // 50, m)) / m for m in (10**5, 10**7, 10**9)]
+    assert met[0] > 2 * met[1] > 4 * met[2]
+    rng = random.Random(9)
+    base = [rng.getrandbits(128) for _ in range(12)]
+    near = [x ^ sum(1 << i for i in rng.sample(range(128), rng.randint(20, 30))) for x in base for _ in range(6)]
+    prints = sorted({f"{x:032x}" for x in base + near})
+    fps = spark.createDataFrame([(x,) for x in prints], "fingerprint string")
+    asked = fps.where(F.col("fingerprint").isin(prints[:6]))
+    want = {(a, b, d) for a in prints[:6] for b in prints if (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= simhash.RADIUS}
+    for blocks in (7, 9):
+        assert {tuple(r) for r in simhash.neighbours(asked, fps, simhash.RADIUS, blocks).collect()} == want
+
+
 def test_simhash_lists_neighbours_and_copies(spark, documents):
     texts = [(i, t) for i, t in sorted(texts_of(documents).items()) if i < 300]
     base = " ".join(f"w{i}" for i in range(200))
@@ -565,6 +585,28 @@ def test_chat_white_space_around_objects(spark, before, after):
     assert [r[5] for r in got] == ["call", "result", "message"] and json.loads(got[2][9])["content"] == "\n plain "
 
 
+def test_chat_loses_no_call(spark):
+    """Repeated member names, numbers without end, integral fractions, arguments as text, and schemas within schemas."""
+    call = lambda arguments, tool="search": f'{{"content":"c","tool_calls":[{{"id":"a","name":"{tool}","arguments":{arguments}}}]}}'
+    deep = {"properties": {"o": {"type": "object", "properties": {"k": {"type": "integer", "enum": [2, 3]}}, "required": ["k"]}, "l": {"type": "array", "items": {"type": "string"}}}}
+    bad = "arguments are no valid object"
+    cases = [
+        (call('{"query":"x","query":"y"}'), bad, '{"query":"x","query":"y"}'), (call('{"value":1e400,"unit":"km"}', "convert"), bad, None), (call('{"query":"Infinity"}'), "", {"query": "Infinity"}),
+        (call('{"query":"x","limit":3.0}'), "", {"limit": 3, "query": "x"}), (call('{"query":"x","limit":3.5}'), "limit is no integer", {"limit": 3.5, "query": "x"}),
+        (call(json.dumps('{"query":"x"}')), "", {"query": "x"}), (call('"oops"'), bad, "oops"), (call("[1]"), bad, "[1]"), (call("{}"), "missing query", {}),
+        (call('{"o":{"k":"z","y":1},"l":["a",1,2]}', "deep"), "o.k is no integer; o.k is not allowed; unexpected o.y; l[] is no string", {"l": ["a", 1, 2], "o": {"k": "z", "y": 1}}),
+        (call('{"o":{},"l":3}', "deep"), "missing o.k; l is no array", {"l": 3, "o": {}}), (call('{"o":{"k":2.0}}', "deep"), "", {"o": {"k": 2}}), ('{"tool_calls":[{"id":"q","name":"search"}]}', "missing query", {}),
+    ]
+    rows = [(k, 1, "assistant", t) for k, (t, _, _) in enumerate(cases)] + [(0, 2, "tool", '{"tool_call_id":"a","content":"x","content":"z"}'), (0, 3, "assistant", '{"tool_calls":[{"id":"q"')]
+    got = {(r.conv_id, r.turn): r for r in chat.messages(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"), chat.TOOLS | {"deep": deep}).collect()}
+    for k, (_, problems, arguments) in enumerate(cases):
+        r = got[k, 1]
+        assert (r.kind, r.problems) == ("call", problems)
+        if arguments is not None:
+            assert json.loads(r.json)["tool_calls"][0]["arguments"] == arguments
+    assert got[0, 1].linked == 1 and (got[0, 2].kind, got[0, 2].linked) == ("result", 1) and json.loads(got[0, 2].json)["content"] == "z" and got[0, 3].kind == "message"
+
+
 # 9 exact deduplication
 
 

@@ -10,21 +10,28 @@ White space of JSON (space, tab, line feed, carriage return) around the object d
 Calls and results are linked by a hash join on (conversation, call id). Of calls that repeat an id the earliest counts.
 Messages are ordered topologically: a result stands after the message that made its call even where its turn is smaller.
 The order is a key (anchor turn, step, turn), found by the join alone, so a conversation of any length needs no window
-and is never gathered in one task. Arguments are validated against the schema of the call's tool: required names,
-types, allowed values and unknown names. Each message becomes one line of canonical JSON: fixed member order, no
+and is never gathered in one task. Arguments are validated against the schema of the call's tool at every depth: required names,
+types, allowed values, unknown names, and the items of arrays. An integer may be written with a fraction of zero. Arguments
+may be an object or a string that holds one. Each message becomes one line of canonical JSON: fixed member order, no
 spaces, the least escapes, and the members of argument objects sorted by name at every depth, as variants keep them.
 
 Defined cases: null text is empty content, a null role is "unknown"; text that is no JSON object of the kind above is plain
-content; a result without a call is kept and marked orphan, a call without a result is open; rows with a null conv_id or
+content; an object that repeats a member name is still tool use, of which the last such member counts, but arguments that repeat
+one, hold a number that no double can, or are no object are a problem of the call and are written as a string of their
+text; a result without a call is kept and marked orphan, a call without a result is open; rows with a null conv_id or
 turn are kept and never linked; repeated rows stay repeated; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CALLS = "array<struct<id:string,name:string,arguments:variant>>"
+#: The same where a member name is repeated, which variants refuse.
+LOOSE = "struct<content:string,tool_call_id:string,tool_calls:array<struct<id:string,name:string,arguments:string>>>"
 #: JSON schemas (the part that is validated) of the tools known by default.
 TOOLS = {
     "search": {"properties": {"query": {"type": "string"}, "limit": {"type": "integer"}}, "required": ["query"]},
@@ -35,24 +42,67 @@ TOOLS = {
 _KINDS = {"string": "STRING", "integer": "BIGINT", "number": r"BIGINT|DOUBLE|DECIMAL\(.*", "boolean": "BOOLEAN", "object": "OBJECT.*", "array": "ARRAY.*", "null": "VOID"}
 
 
-def _problems(name: Column, value_of: Column, tools: dict) -> Column:
-    """array<string>: what is wrong with a call's arguments, in the order of the schema; empty if nothing is."""
-    arguments = F.try_variant_get(value_of, "$", "map<string,variant>")
-    none = F.array().cast("array<string>")
-    out = F.when(name.isNull() | ~name.isin(*tools) if tools else F.lit(True), F.array(F.lit("unknown tool")))
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _invalid(value: Column, schema: dict, path: str = "") -> Column:
+    """array<string>: what is wrong with a variant by a schema, in the schema's order; path is empty or ends in a dot."""
+    members = F.try_variant_get(value, "$", "map<string,variant>")
+    found = [F.array(F.when(F.element_at(members, F.lit(x)).isNull(), F.lit(f"missing {path}{x}"))) for x in schema.get("required", [])]
+    for name, spec in schema.get("properties", {}).items():
+        of = F.element_at(members, F.lit(name))
+        found.append(F.when(of.isNotNull(), _invalid_value(of, spec, path + name)).otherwise(_none()))
+    if "properties" in schema:
+        names = F.array(*(F.lit(x) for x in schema["properties"])) if schema["properties"] else _none()
+        extra = F.transform(F.array_sort(F.array_except(F.map_keys(members), names)), lambda k: F.concat(F.lit(f"unexpected {path}"), k))
+        found.append(F.coalesce(extra, _none()))
+    return F.filter(F.concat(*found), lambda x: x.isNotNull()) if found else _none()
+
+
+def _invalid_value(value: Column, spec: dict, name: str) -> Column:
+    kind = F.schema_of_variant(value)
+    checks = []
+    if spec.get("type") in _KINDS:
+        ok = kind.rlike(f"^({_KINDS[spec['type']]})$")
+        if spec["type"] == "integer":
+            number = F.try_variant_get(value, "$", "double")
+            ok = F.when(kind.rlike(r"^(DOUBLE|DECIMAL\(.*)$"), number == F.floor(number)).otherwise(ok)
+        checks.append(F.array(F.when(~ok, F.lit(f"{name} is no {spec['type']}"))))
+    if "enum" in spec:
+        checks.append(F.array(F.when(~F.to_json(value).isin(*(json.dumps(x, ensure_ascii=False) for x in spec["enum"])), F.lit(f"{name} is not allowed"))))
+    if "properties" in spec or "required" in spec:
+        checks.append(F.when(kind.startswith("OBJECT"), _invalid(value, spec, f"{name}.")).otherwise(_none()))
+    if "items" in spec:
+        items = F.try_variant_get(value, "$", "array<variant>")
+        each = F.transform(items, lambda v: F.when(v.isNotNull(), _invalid_value(v, spec["items"], f"{name}[]")).otherwise(_none()))
+        checks.append(F.when(kind.startswith("ARRAY"), F.coalesce(F.array_distinct(F.flatten(each)), _none())).otherwise(_none()))
+    return F.filter(F.concat(*checks), lambda x: x.isNotNull()) if checks else _none()
+
+
+def _problems(call: Column, tools: dict) -> Column:
+    """array<string>: what is wrong with a call; empty if nothing is."""
+    unreadable = F.when(call["raw"].isNotNull(), F.array(F.lit("arguments are no valid object")))
+    out = F.when(call["name"].isNull() | ~call["name"].isin(*tools) if tools else F.lit(True), F.concat(F.array(F.lit("unknown tool")), F.coalesce(unreadable, _none())))
     for tool, schema in tools.items():
-        checks = [F.when(F.element_at(arguments, F.lit(x)).isNull(), F.lit(f"missing {x}")) for x in schema.get("required", [])]
-        for arg, spec in schema.get("properties", {}).items():
-            value = F.element_at(arguments, F.lit(arg))
-            if spec.get("type") in _KINDS:
-                checks.append(F.when(value.isNotNull() & ~F.schema_of_variant(value).rlike(f"^({_KINDS[spec['type']]})$"), F.lit(f"{arg} is no {spec['type']}")))
-            if "enum" in spec:
-                checks.append(F.when(value.isNotNull() & ~F.coalesce(F.try_variant_get(value, "$", "string"), F.lit("")).isin(*spec["enum"]), F.lit(f"{arg} is not allowed")))
-        known = F.array(*(F.lit(a) for a in schema.get("properties", {}))) if schema.get("properties") else none
-        extra = F.transform(F.array_sort(F.array_except(F.map_keys(arguments), known)), lambda k: F.concat(F.lit("unexpected "), k))
-        found = F.concat(F.filter(F.array(*checks), lambda c: c.isNotNull()) if checks else none, F.coalesce(extra, none))
-        out = out.when(name == tool, found)
-    return out.otherwise(none)
+        out = out.when(call["name"] == tool, F.coalesce(unreadable, _invalid(call["arguments"], {"properties": {}} | schema)))
+    return out.otherwise(_none())
+
+
+def _readable(call: Column, text: Column) -> Column:
+    """A call with its arguments as a variant object, or as raw text where they are none; text: of the arguments, if known."""
+    given = call["arguments"]
+    as_text = F.try_variant_get(given, "$", "string")
+    inner = F.when(F.schema_of_variant(given) == "STRING", F.try_parse_json(as_text)).otherwise(given)
+    written = F.to_json(inner)
+    # Doubles that overflow are written as a string that the message does not hold.
+    endless = written.rlike('"-?Infinity"') & ~F.col("text").contains("Infinity")
+    ok = inner.isNotNull() & F.schema_of_variant(inner).startswith("OBJECT") & ~endless
+    absent = given.isNull() & text.isNull()
+    return F.struct(
+        call["id"].alias("id"), call["name"].alias("name"), F.when(ok, inner).alias("arguments"),
+        F.when(~F.coalesce(ok, F.lit(False)) & ~absent, F.coalesce(text, as_text, F.to_json(given))).alias("raw"),
+    )
 
 
 def _quoted(text: Column) -> Column:
@@ -60,6 +110,17 @@ def _quoted(text: Column) -> Column:
     return F.regexp_replace(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", "$1")
 
 
+def _strict_calls() -> Column:
+    """The calls of an object that variants can hold; the texts of their arguments are found by place."""
+    texts = F.col("_loose.tool_calls")
+    return F.transform(F.try_variant_get("_json", "$.tool_calls", CALLS), lambda c, i: _readable(c, F.get(texts, i)["arguments"]))
+
+
+def _loose_calls() -> Column:
+    parsed = lambda c: F.struct(c["id"].alias("id"), c["name"].alias("name"), F.try_parse_json(c["arguments"]).alias("arguments"))
+    return F.transform(F.col("_loose.tool_calls"), lambda c: _readable(parsed(c), c["arguments"]))
+
+
 def messages(conversations: DataFrame, tools: dict | None = None) -> DataFrame:
     """A row for each message: conv_id, turn, anchor_turn, step, role, kind, call_ids, linked, problems, json.
 
@@ -71,11 +132,12 @@ def messages(conversations: DataFrame, tools: dict | None = None) -> DataFrame:
     bare = F.trim(F.col("text"), F.lit(" \t\r\n"))
     parsed = (
         base.withColumn("_json", F.when(bare.startswith("{") & F.col("role").isin("assistant", "tool"), F.try_parse_json(bare)))
-        .withColumn("_calls", F.when(F.col("role") == "assistant", F.try_variant_get("_json", "$.tool_calls", CALLS)))
+        .withColumn("_loose", F.when(bare.startswith("{") & F.col("role").isin("assistant", "tool"), F.from_json(bare, LOOSE)))
+        .withColumn("_calls", F.when(F.col("role") == "assistant", F.coalesce(_strict_calls(), _loose_calls())))
         .withColumn("calls", F.when(F.size("_calls") > 0, F.col("_calls")))
-        .withColumn("result_of", F.when(F.col("role") == "tool", F.try_variant_get("_json", "$.tool_call_id", "string")))
+        .withColumn("result_of", F.when(F.col("role") == "tool", F.when(F.col("_json").isNotNull(), F.try_variant_get("_json", "$.tool_call_id", "string")).otherwise(F.col("_loose.tool_call_id"))))
         .withColumn("kind", F.when(F.col("calls").isNotNull(), "call").when(F.col("result_of").isNotNull(), "result").otherwise("message"))
-        .withColumn("content", F.when(F.col("kind") == "message", F.col("text")).otherwise(F.try_variant_get("_json", "$.content", "string")))
+        .withColumn("content", F.when(F.col("kind") == "message", F.col("text")).when(F.col("_json").isNotNull(), F.try_variant_get("_json", "$.content", "string")).otherwise(F.col("_loose.content")))
         .select("conv_id", "turn", "role", "kind", "calls", "result_of", "content")
     )
     call_ids = parsed.where("kind = 'call'").select("conv_id", "turn", F.explode("calls.id").alias("id")).where("id IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL")
@@ -96,7 +158,7 @@ def messages(conversations: DataFrame, tools: dict | None = None) -> DataFrame:
     )
     late = (F.col("kind") == "result") & (F.col("call_turn") >= F.col("turn"))
     linked = F.when(F.col("kind") == "call", F.size(F.array_intersect(F.col("calls.id"), F.col("_answered")))).when(F.col("kind") == "result", F.col("call_turn").isNotNull().cast("int")).otherwise(0)
-    one_call = lambda c: F.concat(F.lit('{"id":'), F.coalesce(_quoted(c["id"]), F.lit("null")), F.lit(',"name":'), F.coalesce(_quoted(c["name"]), F.lit("null")), F.lit(',"arguments":'), F.coalesce(F.to_json(c["arguments"]), F.lit("{}")), F.lit("}"))
+    one_call = lambda c: F.concat(F.lit('{"id":'), F.coalesce(_quoted(c["id"]), F.lit("null")), F.lit(',"name":'), F.coalesce(_quoted(c["name"]), F.lit("null")), F.lit(',"arguments":'), F.when(c["raw"].isNotNull(), _quoted(c["raw"])).otherwise(F.coalesce(F.to_json(c["arguments"]), F.lit("{}"))), F.lit("}"))
     body = F.concat(
         F.lit('{"role":'), _quoted(F.col("role")), F.lit(',"content":'), F.coalesce(_quoted(F.col("content")), F.lit("null")),
         F.when(F.col("kind") == "call", F.concat(F.lit(',"tool_calls":['), F.array_join(F.transform("calls", one_call), ","), F.lit("]"))).otherwise(""),
@@ -109,6 +171,6 @@ def messages(conversations: DataFrame, tools: dict | None = None) -> DataFrame:
         "role", "kind",
         F.when(F.col("kind") == "call", F.array_join(F.col("calls.id"), ",")).when(F.col("kind") == "result", F.col("result_of")).alias("call_ids"),
         linked.alias("linked"),
-        F.when(F.col("kind") == "call", F.array_join(F.flatten(F.transform("calls", lambda c: _problems(c["name"], c["arguments"], tools))), "; ")).alias("problems"),
+        F.when(F.col("kind") == "call", F.array_join(F.flatten(F.transform("calls", lambda c: _problems(c, tools))), "; ")).alias("problems"),
         body.alias("json"),
     )

@@ -11,7 +11,11 @@ blocks, keyed by their bits, therefore holds every neighbour, and candidates are
 tables keyed by 128 / (r + 1) bits; more blocks make more tables with longer keys, for corpora where such keys are crowded.
 Where r + 1 blocks would be too short for keys, b <= r blocks are taken: two fingerprints then differ in at most r // b bits
 of some block. There is a table for each block, and a query looks in it for its block's bits with every choice of so many
-of them flipped. Both ways find every neighbour.
+of them flipped. Both ways find every neighbour. Fewer blocks have longer keys, which hold fewer fingerprints, but take more
+flips; the counted numbers of queries and fingerprints choose how many blocks are the least work, so keys grow with the
+corpus: of RADIUS, 10 blocks of 13 bits and 2 flips below a million fingerprints, then 7 of 18 and 3, 6 of 21 and 4 from
+some ten million on, and 4 of 32 and 6 from some thousand million on. A hundred times the corpus is twenty to forty times the
+work of a query.
 
 RADIUS is for near copies at Jaccard 0.75 of five-word shingles: of the 135 such pairs of different words on sf0.1 none lies
 within 3 bits, 131 within 23 and all within 27, while few texts without a common passage lie within 38.
@@ -24,6 +28,7 @@ other columns are not read.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -34,8 +39,10 @@ from umitally.llm.common import write_table
 BITS, LANES = 128, 32
 #: Hamming radius of the search, and every how many ids one is a query of with_edits.
 RADIUS, QUERY_EVERY = 27, 50
-#: Blocks of a search whose radius would need more.
-BLOCKS = 10
+#: The most and the fewest blocks of a search whose radius would need more (a block has 32 bits at most).
+BLOCKS, FEWEST = 10, 4
+#: What it costs to shuffle and sort a probe, in comparisons of two fingerprints in generated code.
+PROBE_COST = 10
 
 
 def terms(text: Column) -> Column:
@@ -137,7 +144,8 @@ def with_edits(docs: DataFrame) -> DataFrame:
     named = order.join(found, "_key").withColumn("fingerprint", as_hex(F.col("_fp")))
     asks = F.coalesce(F.col("doc_id").try_cast("bigint") % QUERY_EVERY == 0, F.lit(False))
     distinct = write_table(named.groupBy("fingerprint").agg(F.min("doc_id").alias("_least"), F.max(asks).alias("_asks"), F.count(F.lit(1)).alias("_docs")))
-    near = neighbours(distinct.where("_asks"), distinct).join(distinct.select(F.col("fingerprint").alias("near"), "_least", "_docs"), "near")
+    n_queries, n_fps = distinct.agg(F.count_if("_asks"), F.count(F.lit(1))).first()
+    near = neighbours(distinct.where("_asks"), distinct, RADIUS, choose_blocks(n_queries, n_fps)).join(distinct.select(F.col("fingerprint").alias("near"), "_least", "_docs"), "near")
     # Each asking fingerprint meets itself, too.
     other = F.col("fingerprint") != F.col("near")
     near = near.groupBy("fingerprint").agg(
@@ -169,27 +177,60 @@ def _distance(a: str, b: str) -> Column:
     return sum(F.bit_count(x.bitwiseXOR(y)) for x, y in zip(words[:4], words[4:], strict=True))
 
 
+def _places(blocks: int) -> list[tuple[int, int, int]]:
+    """Half, lowest bit and width of each block."""
+    places = []
+    for h, n in enumerate(((blocks + 1) // 2, blocks // 2)):
+        places += [(h, 64 * k // n, 64 * (k + 1) // n - 64 * k // n) for k in range(n)]
+    return places
+
+
+def _probes(blocks: int, radius: int) -> list[int]:
+    """How many keys of each block a query looks up."""
+    return [sum(comb(width, i) for i in range(radius // blocks + 1)) for _, _, width in _places(blocks)]
+
+
+def expected_candidates(n_fps: int, blocks: int, radius: int = RADIUS) -> float:
+    """Fingerprints that a query meets, if their bits are spread evenly."""
+    return sum(n_fps * p / 2**width for p, (_, _, width) in zip(_probes(blocks, radius), _places(blocks), strict=True))
+
+
+def expected_work(n_fps: int, blocks: int, radius: int = RADIUS) -> float:
+    """The cost of a query in comparisons."""
+    return PROBE_COST * sum(_probes(blocks, radius)) + expected_candidates(n_fps, blocks, radius)
+
+
+def choose_blocks(n_queries: int, n_fps: int, radius: int = RADIUS) -> int:
+    """The number of blocks that is the least work; the fingerprints are shuffled once for each block."""
+    most = min(radius + 1, BLOCKS)
+    if radius < most:
+        return most
+    return min(range(most, FEWEST - 1, -1), key=lambda b: n_queries * expected_work(n_fps, b, radius) + PROBE_COST * b * n_fps)
+
+
 def _flipped(queries: DataFrame, fps: DataFrame, radius: int, blocks: int) -> DataFrame:
     """neighbours() by single blocks, of which queries look up all values with at most radius // blocks bits flipped.
 
     A pair meets in each table whose block differs in so few bits; the first of them alone gives it.
     """
-    if not 4 <= blocks <= min(radius, BITS // 4):  # a block has 32 bits at most
+    if not FEWEST <= blocks <= min(radius, BITS // 4):
         raise ValueError("four blocks or more, at most the radius")
     flips, word = radius // blocks, lambda c, i: F.conv(F.substring(c, 8 * i + 1, 8), 16, 10).cast("bigint")
     halves = lambda c, to: [F.shiftleft(word(c, 2 * h), 32).bitwiseOR(word(c, 2 * h + 1)).alias(f"{to}{h}") for h in (0, 1)]
-    places = []  # half, lowest bit and width of each block
-    for h, n in enumerate(((blocks + 1) // 2, blocks // 2)):
-        places += [(h, 64 * k // n, 64 * (k + 1) // n - 64 * k // n) for k in range(n)]
+    places = _places(blocks)
     bits = lambda of, k: F.shiftrightunsigned(of(places[k][0]), places[k][1]).bitwiseAND(F.lit((1 << places[k][2]) - 1))
-    key = lambda k, value: value.bitwiseOR(F.lit(k << 32))
-    masks = lambda width: F.array(*(F.lit(sum(1 << i for i in c)).cast("bigint") for n in range(flips + 1) for c in combinations(range(width), n)))
     own, other = (lambda h: F.col(f"_q{h}")), (lambda h: F.col(f"_t{h}"))
     between = lambda h: own(h).bitwiseXOR(other(h))
-    around = lambda k: F.transform(masks(places[k][2]), lambda m: key(k, bits(own, k).bitwiseXOR(m)))
-    probes = F.flatten(F.array(*(around(k) for k in range(blocks))))
-    q = queries.select("fingerprint").distinct().select(*halves("fingerprint", "_q")).select("_q0", "_q1", F.explode(probes).alias("_block"))
-    t = fps.select("fingerprint").distinct().select(*halves("fingerprint", "_t")).select("_t0", "_t1", F.explode(F.array(*(key(k, bits(other, k)) for k in range(blocks)))).alias("_block"))
+    q = queries.select("fingerprint").distinct().select(*halves("fingerprint", "_q"))
+    parts = F.array(*(F.struct(F.lit(k << 32).alias("of"), F.lit(places[k][2]).alias("width"), bits(own, k).alias("bits")) for k in range(blocks)))
+    q = q.select("_q0", "_q1", F.explode(parts).alias("_part")).select("_q0", "_q1", "_part.*", F.lit(-1).alias("_bit"))
+    for _ in range(flips):
+        # Bits are flipped in ascending order; the bit after the last stands for no further flip.
+        after = F.when(F.col("_bit") < F.col("width"), F.sequence(F.col("_bit") + 1, F.col("width"))).otherwise(F.array("width"))
+        q = q.select("_q0", "_q1", "of", "width", "bits", F.explode(after).alias("_bit"))
+        q = q.withColumn("bits", F.when(F.col("_bit") < F.col("width"), F.col("bits").bitwiseXOR(F.expr("shiftleft(1L, _bit)"))).otherwise(F.col("bits")))
+    q = q.select("_q0", "_q1", F.col("of").bitwiseOR(F.col("bits")).alias("_block"))
+    t = fps.select("fingerprint").distinct().select(*halves("fingerprint", "_t")).select("_t0", "_t1", F.explode(F.array(*(F.lit(k << 32).bitwiseOR(bits(other, k)) for k in range(blocks)))).alias("_block"))
     distance = F.bit_count(between(0)) + F.bit_count(between(1))
     first = F.coalesce(*(F.when(F.bit_count(bits(between, k)) <= flips, F.lit(k)) for k in range(blocks)))
     # Sizes are estimated before keys multiply the rows, by which either side would be broadcast.
