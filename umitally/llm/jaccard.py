@@ -11,9 +11,11 @@ which is a Jaccard distance of at most a quarter.
   frequent shingles last, by a sketch that counts all shingles of the corpus, so passages that many documents share
   make no region. Any order gives exact results; the sketch only decides how large regions are.
 * Region sizes are counted exactly. A region of at most SMALL sets is joined directly.
-* Voronoi regions. A larger region gets a document as its pivot, that which a hash puts first. Each set belongs to the
-  Voronoi region of one pivot, that with which it shares the most of its regions, and is compared with it in full, so its
-  distance from the pivot is exact. What links is closed into components.
+* Voronoi regions. A larger region gets a document as its pivot, that which lies in the most large regions, as it is likely
+  to be central. Each set belongs to the Voronoi region of one pivot, that with which it shares the most of its regions, and
+  is compared with it in full, so its distance from the pivot is exact. What links is closed into components.
+* Recursion. What is left of a region is asked to join its largest component by another pivot out of that, where bit vectors
+  let the two link, level by level, as long as many sets are asked and link.
 * Boundary. A set that is not of a region's largest component can have partners in each Voronoi region that the region's
   sets belong to. It is replicated to those whose radius and its distance from the pivot allow a partner (the triangle
   inequality, with a lower bound of the distance), and meets there the sets whose distance from the pivot differs by no more
@@ -83,8 +85,10 @@ SMALL = 32
 #: Bits of a set's parity vector for each shingle, at least (a power of two in all), of all sets and of those of large
 #: regions; words of the short vectors of joins.
 BITS_EACH, LONG_EACH, SHORT = 4, 16, 16
-#: Pairs are compared one for each set a time while one in so many of them links; then all that are left.
-YIELD = 4
+#: Another level of pivots follows while the sets that ask for one are at least one in so many of those of large regions,
+#: and one in so many of those asked has linked; LEVELS bounds the levels, as the boundary join ends the recursion exactly.
+#: Pairs that may link are compared one for each set a time while one in YIELD of them links; then all that are left.
+FEW, YIELD, LEVELS = 64, 8, 12
 #: Keys up to this number and so many bytes are broadcast to fetch their texts or shingles; more are joined by a shuffle.
 BROADCAST_IDS, BROADCAST_BYTES = 1_000_000, 32 << 20
 CACHE = 200_000
@@ -220,21 +224,23 @@ def _reachable(i, j, a, b, rule: Rule) -> np.ndarray:
     return rule.enough(np.minimum(i, j) + np.minimum(a - i, b - j), a + b)
 
 
-def regions(entries: DataFrame, rule: Rule) -> DataFrame:
-    """token, sid, n, other from entries (token, sid, n, place): the pairs of small regions and the rows of large ones.
+def regions(entries: DataFrame, rule: Rule, small: int = SMALL) -> DataFrame:
+    """token, sid, n, other from entries (token, sid, n, place): the pairs of regions of at most `small` sets and the rows of
+    larger ones.
 
     place is that of the token in the set's order, or 0 where tokens have no order.
     """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _regions(batches, rule)
+        return _regions(batches, rule, small)
 
     return entries.repartition("token").sortWithinPartitions("token", "sid").mapInArrow(run, "token bigint, sid bigint, n bigint, other bigint")
 
 
-def _regions(batches: Iterator[pa.RecordBatch], rule: Rule = FIVE_WORDS) -> Iterator[pa.RecordBatch]:
+def _regions(batches: Iterator[pa.RecordBatch], rule: Rule = FIVE_WORDS, small: int = SMALL) -> Iterator[pa.RecordBatch]:
     """Rows (token, sid, n, place), sorted by token and sid, a run of equal tokens a region. Copies of a row count once.
 
-    Of a region of at most SMALL sets: the pairs sid < other whose sizes and places let them link, without token, distinct
+    Of a region of at most `small` sets: the pairs sid < other whose sizes and places let them link, without token, distinct
     within about a million. Of a larger one: its rows, as they come, so that a region of any size takes no memory.
     """
     held: list[np.ndarray] = []
@@ -254,12 +260,12 @@ def _regions(batches: Iterator[pa.RecordBatch], rule: Rule = FIVE_WORDS) -> Iter
         """Whole regions."""
         first = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, np.int64)
         size = np.repeat(np.diff(np.append(first, len(token))), np.diff(np.append(first, len(token))))
-        large = size > SMALL
+        large = size > small
         if large.any():
             yield rows(token[large], sid[large], n[large])
         few = (size > 1) & ~large
         token, sid, n, place = token[few], sid[few], n[few], place[few]
-        for step in range(1, SMALL):
+        for step in range(1, small):
             i = np.flatnonzero(token[step:] == token[:-step]) if len(token) > step else np.zeros(0, np.int64)
             j = i + step
             ok = (DENOMINATOR * np.minimum(n[i], n[j]) >= rule.numerator * np.maximum(n[i], n[j])) & _reachable(place[i], place[j], n[i], n[j], rule)
@@ -284,7 +290,7 @@ def _regions(batches: Iterator[pa.RecordBatch], rule: Rule = FIVE_WORDS) -> Iter
             last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last region may go on
             yield from whole(*(c[:last] for c in cols))
             rest = [c[last:] for c in cols]
-            if len(rest[0]) > SMALL:
+            if len(rest[0]) > small:
                 yield rows(*rest[:3])
                 hot, before = int(rest[0][-1]), (int(rest[0][-1]), int(rest[1][-1]))
                 rest = [np.zeros(0, np.int64)] * 4
@@ -432,12 +438,12 @@ def _rooted(large: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _first_pivots(large: DataFrame) -> DataFrame:
-    """sid, n, pivot: each set's Voronoi region. Sets that are alone in all their regions are left out.
+    """sid, n, pivot: each set's Voronoi region. large: token, sid, n, met (how many large regions the set lies in).
 
     Regions are grouped with map-side minima and counts, and a region's pivot is joined back to it, so a region of very many
     sets is no hot task. A pivot may lie in another pivot's region.
     """
-    pivots = write_table(large.groupBy("token").agg(F.min(F.struct(F.xxhash64("sid"), "sid"))["sid"].alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1").select("token", "pivot"))
+    pivots = write_table(large.groupBy("token").agg(F.max(F.struct("met", F.xxhash64("sid"), "sid"))["sid"].alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1").select("token", "pivot"))
     shared = large.join(pivots, "token").groupBy("sid", "n", "pivot").agg(F.count(F.lit(1)).alias("shared"))
     best = F.max(F.struct("shared", F.col("sid") == F.col("pivot"), F.xxhash64("pivot"), "pivot"))["pivot"]
     return write_table(shared.groupBy("sid", "n").agg(best.alias("pivot")))
@@ -449,6 +455,20 @@ def _largest(rooted: DataFrame) -> DataFrame:
     return parts.groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("token", "largest")
 
 
+def _asked(large: DataFrame, labels: DataFrame, tried: DataFrame, level: int, rule: Rule) -> DataFrame:
+    """(a, b): each set outside the largest component of a region, with the pivot out of such a component with which it
+    shares the most regions, if sizes allow a link and the two have not met before."""
+    rooted = write_table(_rooted(large, labels))
+    members = F.struct(F.xxhash64("sid", F.lit(level)).alias("h"), "sid", "n")
+    parts = rooted.groupBy("token", "root").agg(F.count(F.lit(1)).alias("size"), F.min(members).alias("at"))
+    best = parts.groupBy("token").agg(F.max(F.struct("size", "root", "at")).alias("best"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    pivots = best.select("token", F.col("best.root").alias("largest"), F.col("best.at.sid").alias("pivot"), F.col("best.at.n").alias("pivot_n"))
+    open_ = rooted.join(pivots, "token").where((F.col("root") != F.col("largest")) & rule.sizes("n", "pivot_n"))
+    shared = open_.groupBy(F.col("sid").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    met = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return write_table(shared.join(met, ["a", "b"], "left_anti").groupBy("a").agg(F.max(F.struct("shared", F.xxhash64("b"), "b"))["b"].alias("b")))
+
+
 def _boundary_pairs(large: DataFrame, homes: DataFrame, contents: DataFrame, labels: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of large regions that may link and that components still tell apart; homes: sid, n, pivot, distance."""
     eps = 1 - rule.numerator / DENOMINATOR + 1e-9
@@ -482,15 +502,26 @@ def link_regions(docs: DataFrame, members: DataFrame, near: DataFrame, large: Da
 
     docs: key, text; members: key, sid, parity (not null for one row of each set at least).
     """
+    large = write_table(large.join(large.groupBy("sid").agg(F.count(F.lit(1)).alias("met")), "sid"))
     homes = _first_pivots(large)
     sids = near.select(F.col("a").alias("sid")).unionByName(near.select(F.col("b").alias("sid"))).withColumn("long", F.lit(False)).unionByName(homes.select("sid", F.lit(True).alias("long")).unionByName(homes.select(F.col("pivot").alias("sid"), F.lit(True).alias("long"))))
     contents = _contents(docs, members, sids.groupBy("sid").agg(F.max("long").alias("long")), rule)
     stars = homes.where("sid <> pivot").select(F.col("sid").alias("a"), F.col("pivot").alias("b"))
     compared = write_table(compare(stars, contents))
     labels = components(compared.where(rule.linked).select("a", "b"))
+    long = contents.where("parity IS NOT NULL").select("sid", "n", "parity")
+    n_sets, tried = homes.count(), compared.select("a", "b")
+    for level in range(LEVELS):
+        asked = _asked(large, labels, tried, level, rule)
+        n = asked.count()
+        if not n or n * FEW < n_sets:
+            break
+        links = write_table(compare(screen(may_link(asked, long, rule)), contents).where(rule.linked).select("a", "b"))
+        labels, tried = merged(labels, links), tried.unionByName(asked)
+        if links.count() * YIELD < n:
+            break
     distances = compared.select(F.col("a").alias("sid"), F.col("b").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("distance"))
     placed = write_table(homes.join(distances, ["sid", "pivot"], "left").select("sid", "n", "pivot", F.coalesce("distance", F.lit(0.0)).alias("distance")))
-    long = contents.where("parity IS NOT NULL").select("sid", "n", "parity")
     boundary = screen(may_link(_boundary_pairs(large, placed, contents, labels, rule), long, rule))
     return close(near.select("a", "b").unionByName(boundary).distinct(), contents, labels, rule)
 

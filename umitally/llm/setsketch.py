@@ -15,7 +15,7 @@ Sets are the distinct 2-word shingles of a document as 64-bit hashes. Two docume
 * Estimate. Of pairs that meet, the similarity is estimated jointly by likelihood from the numbers of registers that are
   larger, smaller and equal, with both sizes known. Pairs whose estimate is SIGMAS standard deviations (of an estimate at the
   threshold) under the threshold are not compared; a true link falls there once in a billion pairs.
-* Verification. Links are confirmed on the full sets of shingles. A region of few sets is joined directly. In a larger one
+* Verification. Links are confirmed on the full sets of shingles. A region of two sets is joined directly. In a larger one
   each set is compared with one pivot, and components are closed as in the n-gram Jaccard join (jaccard.link_regions), so a
   group of thousands of near copies takes comparisons in proportion to its size, and no partner is capped.
 
@@ -50,6 +50,8 @@ BAND = 6
 BANDS = REGISTERS // BAND
 #: Standard deviations by which an estimate may miss the threshold.
 SIGMAS = 6.0
+#: Sets of a region that is joined directly, at most. Near copies meet in many bands, so larger regions have pivots.
+SMALL = 2
 #: Arrivals that one step makes, about.
 STEP = 1 << 16
 _GOLDEN, _MIX_1, _MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -184,7 +186,7 @@ def link_sketches(docs: DataFrame, rule: Rule = TWO_WORDS) -> tuple[DataFrame, D
     small_batches(docs.sparkSession)
     members = write_table(sketches(docs, rule))
     sets = write_table(members.where("parity IS NOT NULL").select("sid", "n", "parity").dropDuplicates(["sid"]))
-    found = write_table(regions(sets.mapInArrow(_entries, "token bigint, sid bigint, n bigint, place bigint"), rule))
+    found = write_table(regions(sets.mapInArrow(_entries, "token bigint, sid bigint, n bigint, place bigint"), rule, SMALL))
     pairs = found.where("token IS NULL").select(F.col("sid").alias("a"), F.col("other").alias("b")).distinct()
     near = write_table(likely(pairs, sets, rule))
     large = write_table(found.where("token IS NOT NULL").select("token", "sid", "n"))
