@@ -427,6 +427,19 @@ def test_warc_edges(spark):
     assert {r.record_type for r in warc.read_archives(spark, folder).collect()} == {"response"}
 
 
+def test_warc_splitters(spark):
+    """As many shards as asked for, of about equal size, the same for equal tables, whatever the type of the id."""
+    pages = spark.range(20_000).select((F.col("id") * 7 - 50_000).alias("page_id"))
+    for ids in (pages, pages.select(F.concat(F.lit("p"), F.col("page_id")).alias("page_id"))):
+        cuts = warc.splitters(ids.unionByName(ids.limit(100)), "page_id", 40)
+        assert len(cuts) == 39 and cuts == sorted(set(cuts)) == warc.splitters(ids.repartition(7), "page_id", 40)
+        rows = sorted(r.page_id for r in ids.collect())
+        sizes = np.diff([0, *(rows.index(c) for c in cuts), len(rows)])
+        assert sizes.min() > 200 and sizes.max() < 1000
+    assert warc.splitters(pages, "page_id", 1) == [] == warc.splitters(pages.limit(0), "page_id", 5)
+    assert len(warc.splitters(pages.limit(3), "page_id", 5)) <= 3
+
+
 # 7 SimHash
 
 

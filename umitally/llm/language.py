@@ -160,7 +160,7 @@ def fit(docs: DataFrame, *, modulus: int = 4, remainder: int = 2, per_language:
         return None
     per_language = min(per_language, max(LEAST, ALL_LANGUAGES // len(counts)))
     share = docs.sparkSession.createDataFrame([(lang, min(1.0, per_language / n)) for lang, n in counts.items()], "lang string, share double")
-    chosen = known.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    chosen = known.join(F.broadcast(share), "lang").where(F.shiftrightunsigned(F.xxhash64("doc_id"), 1).cast("double") < F.col("share") * 2.0**63)
     chosen = chosen.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     @F.pandas_udf("array<binary>")

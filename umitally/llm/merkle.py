@@ -27,16 +27,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from hashlib import sha256
 
-import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from umitally.llm.common import small_batches, temporary_tables, write_table
+from umitally.llm.common import positions, small_batches, temporary_tables, write_table
 
 #: Children of a node, and levels of a block.
 WAYS, LEVELS = 3, 5
@@ -108,29 +105,6 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[d
         yield run
 
 
-def positions(nodes: DataFrame, by: list[str]) -> DataFrame:
-    """nodes with pos, the place among the rows of their tree in the order `by`, and total, the number of these."""
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema)
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, n = TaskContext.get().partitionId(), None, 0
-        for batch in (b for b in batches if b.num_rows):
-            trees = batch.column(batch.schema.get_field_index("tree")).to_pylist()
-            place = np.empty(len(trees), np.int64)
-            for i, tree in enumerate(trees):
-                last, n = tree, n + 1 if tree == last else 0
-                place[i] = n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(trees), part, np.int64)), pa.array(place)], [*batch.schema.names, "part", "place"])
-
-    order = [F.col(c).asc_nulls_first() for c in ["tree", *by]]
-    numbered = write_table(nodes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, f"{kind}, part bigint, place bigint"))
-    counts = numbered.groupBy("tree", "part").agg(F.count(F.lit(1)).alias("n"))
-    tree = W.partitionBy("tree")
-    before = F.sum("n").over(tree.orderBy("part")) - F.col("n")
-    offsets = write_table(counts.select("tree", "part", before.alias("before"), F.sum("n").over(tree).alias("total")))
-    return numbered.join(offsets, ["tree", "part"]).withColumn("pos", F.col("before") + F.col("place")).drop("part", "place", "before")
-
-
 def _block(levels: int) -> Column:
     return F.floor(F.col("pos") / WAYS**levels)
 

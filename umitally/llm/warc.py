@@ -38,10 +38,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from umitally.llm.common import small_batches
+from umitally.llm.common import positions, small_batches, temporary_tables
 
-#: Rows of a shard, compressed bytes at which a file is closed, and the most ids of the splitters' sample.
-SHARD_ROWS, ROLL_BYTES, SAMPLE = 4096, 64 << 20, 200_000
+#: Rows of a shard, compressed bytes at which a file is closed, and ids a shard in the splitters' sample.
+SHARD_ROWS, ROLL_BYTES, SAMPLE = 4096, 64 << 20, 64
 #: Records carry no capture time of their own, and the clock would make files differ.
 DATE = "2000-01-01T00:00:00Z"
 MANIFEST = "MANIFEST.json"
@@ -134,12 +134,21 @@ class _Shard:
 
 
 def splitters(pages: DataFrame, id_col: str, shards: int) -> list:
-    """shards - 1 ids that cut the table into about equal ranges; the same for equal tables."""
-    if shards < 2:
+    """shards - 1 ids that cut the table into about equal ranges; the same for equal tables.
+
+    Every id whose hash is under a threshold is taken, SAMPLE a shard, and sorted in ranges; of these the ids at the cuts
+    alone reach the driver, one a shard.
+    """
+    ids = pages.where(F.col(id_col).isNotNull()).select(F.lit("").alias("tree"), F.col(id_col).alias("id")).distinct()
+    n = ids.count() if shards > 1 else 0
+    if not n:
         return []
-    ids = pages.where(F.col(id_col).isNotNull()).select(id_col).distinct()
-    sample = sorted(r[0] for r in ids.orderBy(F.xxhash64(id_col), id_col).limit(min(SAMPLE, 64 * shards)).collect())
-    return sorted({sample[len(sample) * k // shards] for k in range(1, shards)}) if sample else []
+    share = min(1.0, SAMPLE * shards / n)
+    with temporary_tables(pages.sparkSession):
+        placed = positions(ids.where(F.shiftrightunsigned(F.xxhash64("id"), 1).cast("double") <= share * 2.0**63), ["id"])
+        # The cut of shard k is the id at total * k div shards.
+        cuts = placed.withColumn("k", F.expr(f"(pos * {shards} + total - 1) div total")).where(f"k BETWEEN 1 AND {shards - 1} AND k * total div {shards} = pos")
+        return sorted(r["id"] for r in cuts.select("id").collect())
 
 
 def write_archives(pages: DataFrame, uri: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 0, shard_rows: int = SHARD_ROWS, roll_bytes: int = ROLL_BYTES) -> dict:
