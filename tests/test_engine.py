@@ -222,6 +222,35 @@ def test_splits_and_several_files(spark, tmp_path, monkeypatch, split, broadcast
     assert kept == [*got, (n + 2, "@cut", "AC", "")]
 
 
+@pytest.mark.parametrize("chunk", [fastq_source.CHUNK, 7])
+def test_gzip_by_content(spark, tmp_path, monkeypatch, chunk):
+    """Gzip files of any name, of one or several members, beside plain ones, in a folder whose name needs escapes."""
+    monkeypatch.setattr(fastq_source, "CHUNK", chunk)
+    folder = tmp_path / "a b%20ü"
+    folder.mkdir()
+    n = 1000 if chunk > 100 else 40
+    rows = [f"{h}\n{s}\n+\n{q}\n" for h, s, q in READS[:n]]
+    half = "".join(rows[: n // 2]).encode()
+    (folder / "1.dat").write_bytes(gzip.compress(half[:777]) + gzip.compress(b"") + gzip.compress(half[777:]))
+    (folder / "2.fastq").write_text("".join(rows[n // 2 : n - 10]))
+    (folder / "3.fq").write_bytes(gzip.compress("".join(rows[n - 10 :]).rstrip("\n").encode()))
+    got = read_fastq(spark, str(folder)).orderBy("read_id").collect()
+    assert [tuple(r) for r in got] == [(i, *r) for i, r in enumerate(READS[:n])]
+
+
+def test_bytes_that_are_no_text(spark, tmp_path):
+    """Headers and qualities keep their bytes through a run; a sequence with such bytes is parsed by characters."""
+    core = LAYOUT.inner5 + "ACGTACGTACGT" + LAYOUT.inner3
+    lines = [b"@caf\xe9 1\r", b"AAAA" + core.encode() + b"CCCC", b"+", b"\xff" * 8 + b"I" * 46, b"@2", b"AA\xe9\xe9" + core.encode() + b"CCCC", b"+", b"I", b"@3\xff", b"AC\xffGT", b"+", b"\x80"]
+    (tmp_path / "x.fastq").write_bytes(b"\n".join(lines))
+    reads = read_fastq(spark, str(tmp_path / "x.fastq"))
+    raw = [tuple(bytes(v) for v in r) for r in reads.orderBy("read_id").select(*(F.col(c).cast("binary") for c in ("header", "seq", "qual"))).collect()]
+    assert raw == [(lines[k].rstrip(b"\r"), lines[k + 1], lines[k + 3]) for k in (0, 4, 8)]
+    told = run(spark, str(tmp_path / "x.fastq"), None, str(tmp_path / "lost"), LAYOUT)
+    assert (told.summary.n_parsed, told.summary.n_failed) == (2, 1) and told.barcodes.first().barcode == "ACGTACGTACGT"
+    assert b"".join(p.read_bytes() for p in sorted((tmp_path / "lost").glob("part-*"))) == b"@3\xff\nAC\xffGT\n+\n\x80\n"
+
+
 def test_small_batches_of_lines(spark, fastq):
     """Arrow batches that end within a record."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")

@@ -51,7 +51,7 @@ def parse_reads(reads: DataFrame, layout: ReadLayout, *, seq_col: str = "seq") -
     Reads that agree exactly with the anchors are placed in the JVM; the others go to one Arrow UDF, which gives five integers
     a read, and reach it as nulls otherwise. The strings are cut from the read in the JVM. A null read is rejected. The UDF is
     declared nondeterministic, as the optimizer would otherwise copy it into every filter on the result and search each read
-    once more for each.
+    once more for each. Bytes of a read that are no UTF-8 count as one unknown character each.
     """
 
     @F.pandas_udf("struct<umi5:int,inner5:int,barcode:int,umi3:int,end:int>")
@@ -64,9 +64,9 @@ def parse_reads(reads: DataFrame, layout: ReadLayout, *, seq_col: str = "seq") -
 
     places = places.asNondeterministic()
     name, exact = unused(reads, "_at", "_exact")
-    at, seq = F.col(name), F.col(seq_col)
+    at, seq = F.col(name), F.make_valid_utf8(seq_col)
     ok = (at["umi5"] >= 0) & seq.isNotNull()
-    cut = lambda a, b: F.when(ok, F.substring(seq_col, a + 1, b - a))
+    cut = lambda a, b: F.when(ok, F.substring(seq, a + 1, b - a))
     known = exact_places(seq, layout)
     if known is None:
         placed = reads.withColumn(name, places(seq))
