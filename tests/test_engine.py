@@ -104,6 +104,60 @@ def test_exact_reads_stay_in_the_jvm(spark, thousand, layout):
     assert 300 < known < 900
 
 
+def test_scan_in_order(spark):
+    """All rows in one order, whatever partitions they come from."""
+    rows = list(range(500))
+    random.Random(2).shuffle(rows)
+    table = spark.createDataFrame([(x,) for x in rows], "at int").repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert table.orderBy("at").rdd.getNumPartitions() > 1
+        seen = []
+        keyed.scan(table, "at", lambda it: seen.extend(r.at for r in it))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert seen == sorted(rows)
+
+
+def test_upsert(spark):
+    """New and replaced rows, several new rows of a key, null keys, values and an empty side; names that the operator uses."""
+    kind = "k string, v int, _old string"
+    table = [("a", 1, "x"), ("b", 2, None), (None, 3, "y"), ("d", None, "z")]
+    rows = [("a", 5, "n"), ("a", 4, "m"), ("c", 6, None), (None, 7, "q"), ("d", None, "w")]
+    now, replaced = keyed.upsert(spark.createDataFrame(table, kind), spark.createDataFrame(rows, kind), "k", ["v"])
+    assert now.columns == replaced.columns == ["k", "v", "_old"]
+    assert set(map(tuple, now.collect())) == {("a", 5, "n"), ("b", 2, None), (None, 7, "q"), ("d", None, "w"), ("c", 6, None)}
+    assert set(map(tuple, replaced.collect())) == {table[0], table[2], table[3]}
+    none = spark.createDataFrame([], kind)
+    now, replaced = keyed.upsert(spark.createDataFrame(table, kind), none, "k", ["v"])
+    assert set(map(tuple, now.collect())) == set(table) and replaced.count() == 0
+    assert set(map(tuple, keyed.upsert(none, spark.createDataFrame(rows[:1], kind), "k", ["v"])[0].collect())) == {rows[0]}
+
+
+@pytest.mark.parametrize("cap", [1, 7, 299, 300, 10_000])
+def test_first_tuples(spark, cap):
+    rng = random.Random(cap)
+    rows = [(f"b{rng.randint(0, 20):02}", f"u{k}", "v", k) for k in range(300)]
+    tuples = spark.createDataFrame(rows, "barcode string, umi5 string, umi3 string, n bigint").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        first = jackpot.first_tuples(tuples, cap)
+        assert sorted(map(tuple, first.collect())) == sorted(rows)[:cap]
+        assert "TakeOrdered" not in first._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert jackpot.gini_capped(tuples.limit(0), cap).first().gini != 0
+
+
+def test_ties_by_first_read(spark, tmp_path):
+    reads = [f"@{k}\nAAAA{LAYOUT.inner5}{b * 12}{LAYOUT.inner3}{u}\n+\nI\n" for k, (b, u) in enumerate([("T", "CCCC"), ("A", "CCCC"), ("G", "CCCC"), ("G", "CCCA"), ("C", "CCCC")])]
+    (tmp_path / "x.fastq").write_text("".join(reads))
+    for ties, order in (("first_seen", "GTAC"), ("barcode", "GACT")):
+        out = str(tmp_path / ties)
+        run(spark, str(tmp_path / "x.fastq"), out, None, LAYOUT, single_file=True, ties=ties)
+        assert [r.value[0] for r in spark.read.text(out).collect()[1:]] == list(order)
+
+
 def test_search_uses_no_column_of_its_own(thousand):
     parsed = parse.parse_reads(thousand.withColumn("_at", F.lit(7)), OUTER)
     assert parsed.where("_at = 7").count() == 1000

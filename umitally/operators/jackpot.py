@@ -69,11 +69,27 @@ def audit(tuples: DataFrame, by: Sequence[str]) -> DataFrame:
     return groups.join(barcodes, same, "left").select(*by, "barcode", "total_reads", "num_unique_umis", *(c for c in groups.columns if c not in by))
 
 
-def gini_capped(tuples: DataFrame, cap: int) -> DataFrame:
-    """gini of the first cap tuples in key order."""
+def first_tuples(tuples: DataFrame, cap: int) -> DataFrame:
+    """The first cap tuples in key order, whatever their number: no task sorts more than its range of keys.
+
+    Tuples are sorted in ranges, which are counted. The ranges before the cut are taken whole, and the one that the cut is in
+    is numbered alone.
+    """
     if cap < 1:
         raise ValueError("cap must be at least 1")
-    return gini(tuples.orderBy(*KEY).limit(cap))
+    ranges = stored(tuples.repartitionByRange(*KEY).sortWithinPartitions(*KEY).withColumn("_range", F.spark_partition_id()))
+    counts = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    # A row a range: ranges are as many as shuffle partitions.
+    before = counts.select("_range", "_rows", (F.sum("_rows").over(W.orderBy("_range")) - F.col("_rows")).alias("_before")).where(F.col("_before") < cap)
+    placed = ranges.join(F.broadcast(before), "_range")
+    whole = placed.where(F.col("_before") + F.col("_rows") <= cap)
+    cut = placed.where(F.col("_before") + F.col("_rows") > cap).withColumn("_place", F.row_number().over(W.partitionBy("_range").orderBy(*KEY)))
+    return whole.select(*tuples.columns).unionByName(cut.where(F.col("_before") + F.col("_place") <= cap).select(*tuples.columns))
+
+
+def gini_capped(tuples: DataFrame, cap: int) -> DataFrame:
+    """gini of the first cap tuples in key order."""
+    return gini(first_tuples(tuples, cap))
 
 
 def run_summary(parsed: DataFrame, *, gini_cap: int | None = None) -> DataFrame:

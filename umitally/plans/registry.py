@@ -90,10 +90,15 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(lines)), "place int, line string")
 
 
+def _nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those of all reads that are shorter than both anchors: the table is read, and no read is left."""
+    return synth.reads(spark, sf_dir).where(F.char_length("seq") < len(L.inner5) + len(L.inner3))
+
+
 def empty_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts table of no read is its header."""
     folder = shared_dir(spark)
-    write_counts_tsv(tally.barcode_summary(_tuples(spark, sf_dir).where(F.lit(False))), folder)
+    write_counts_tsv(tally.barcode_summary(tally.tuple_counts(parse.parse_reads(_nothing(spark, sf_dir), L))), folder)
     return spark.read.text(folder)
 
 
@@ -163,8 +168,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def empty_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary of no read at all is one row; NaN is told as null, as equal NaNs need not compare equal."""
-    nothing = synth.reads(spark, sf_dir).where(F.lit(False))
-    return jackpot.run_summary(parse.parse_reads(nothing, L)).withColumn("gini", F.nanvl("gini", F.lit(None).cast("double")))
+    return jackpot.run_summary(parse.parse_reads(_nothing(spark, sf_dir), L)).withColumn("gini", F.nanvl("gini", F.lit(None).cast("double")))
 
 
 def text_anchor_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,6 +213,21 @@ def hash_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.replace(_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice"), "o_custkey", ["o_orderdate", "o_orderkey"])
 
 
+def _upserted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Balances of customers, replaced by the price of their last order of 1995 or later; orders of others are new keys."""
+    customers = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.lit(0).cast("bigint").alias("at"), F.col("c_acctbal").cast("double").alias("v")).where("k % 3 <> 0")
+    orders = _table(spark, sf_dir, "orders").where("o_orderdate >= DATE'1995-01-01'").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("at"), F.col("o_totalprice").cast("double").alias("v"))
+    return keyed.upsert(customers, orders, "k", ["at"])
+
+
+def hash_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted(spark, sf_dir)[0]
+
+
+def hash_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted(spark, sf_dir)[1]
+
+
 def hash_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.select(_table(spark, sf_dir, "customer"), F.col("c_acctbal") > 0)
 
@@ -217,7 +236,7 @@ def hash_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.sort(_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), F.desc("c_acctbal"), "c_custkey")
 
 
-_QUERIES = [reads_synth, fastq_roundtrip, fastq_gzip, rejects_fastq, counts_tsv, report, empty_tsv, hamming_bounded, core_search, outer5_find, outer3_find, parse_reads, parse_outer, rejects, umi_bounds, tuple_counts, merge_tallies, barcode_summary, natural_tally, gini, gini_capped, run_summary, empty_input, text_anchor_search, parse_edit, parse_edit_outer, hash_find, hash_delete, hash_add, hash_add_inorder, hash_count, hash_replace, hash_select, hash_sort]
+_QUERIES = [reads_synth, fastq_roundtrip, fastq_gzip, rejects_fastq, counts_tsv, report, empty_tsv, hamming_bounded, core_search, outer5_find, outer3_find, parse_reads, parse_outer, rejects, umi_bounds, tuple_counts, merge_tallies, barcode_summary, natural_tally, gini, gini_capped, run_summary, empty_input, text_anchor_search, parse_edit, parse_edit_outer, hash_find, hash_delete, hash_add, hash_add_inorder, hash_count, hash_replace, hash_upsert, hash_replaced, hash_select, hash_sort]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -310,6 +329,8 @@ def _gini_sql(counts: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     parsed = parse_sql(L)
+    upserted = """WITH c AS (SELECT c_custkey AS k, 0::BIGINT AS at, c_acctbal::DOUBLE AS v FROM customer WHERE c_custkey % 3 <> 0),
+        n AS (SELECT o_custkey AS k, max(o_orderkey) AS at, arg_max(o_totalprice, o_orderkey)::DOUBLE AS v FROM orders WHERE o_orderdate >= DATE '1995-01-01' GROUP BY o_custkey)"""
     tuples = "SELECT barcode, umi5, umi3, count(*)::BIGINT AS n FROM {} WHERE barcode IS NOT NULL GROUP BY ALL"
     events = "SELECT event_type AS barcode, (user_id % 37)::VARCHAR AS umi5, hour(ts)::VARCHAR AS umi3 FROM events"
     by_barcode = "SELECT barcode, sum(n)::BIGINT AS total_reads, count(*)::BIGINT AS num_unique_umis FROM {} GROUP BY barcode"
@@ -362,6 +383,8 @@ def oracle_sql() -> dict[str, str]:
         "hash_add_inorder": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_custkey",
         "hash_count": "SELECT count(*) AS n FROM customer",
         "hash_replace": "SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM orders) WHERE k = 1",
+        "hash_upsert": f"{upserted} SELECT k, coalesce(n.at, c.at) AS at, CASE WHEN n.at IS NULL THEN c.v ELSE n.v END AS v FROM c FULL JOIN n USING (k)",
+        "hash_replaced": f"{upserted} SELECT c.k, c.at, c.v FROM c JOIN n USING (k)",
         "hash_select": "SELECT * FROM customer WHERE c_acctbal > 0",
         "hash_sort": "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey",
     }

@@ -21,17 +21,22 @@ class Run:
     report: str
 
 
-def run(spark: SparkSession, input: str | list[str], output: str | None, rejects: str | None, layout: ReadLayout, *, gini_cap: int | None = None, incomplete: str = "drop", single_file: bool = False) -> Run:
+def run(spark: SparkSession, input: str | list[str], output: str | None, rejects: str | None, layout: ReadLayout, *, gini_cap: int | None = None, incomplete: str = "drop", single_file: bool = False, ties: str = "barcode") -> Run:
     """Scan FASTQ, parse every read once, write the counts table and the rejected reads (folders; None writes none).
 
+    ties says which of two barcodes with equally many UMIs comes first in the table: "barcode", the lesser, or "first_seen",
+    that whose first read comes first.
+
     An input without reads gives a table with the header alone and a report whose Gini is nan.
     """
+    if ties not in ("barcode", "first_seen"):
+        raise ValueError('ties must be "barcode" or "first_seen"')
     kept, lost = parse.split_once(parse.parse_reads(read_fastq(spark, input, incomplete=incomplete), layout))
     barcodes = tally.barcode_summary(tally.tuple_counts(kept))
     if rejects is not None:
         write_rejects(lost, rejects)
     if output is not None:
-        write_counts_tsv(barcodes, output, single_file=single_file)
+        write_counts_tsv(barcodes, output, single_file=single_file, first_seen=kept if ties == "first_seen" else None)
     both = kept.select("umi5", "barcode", "umi3").unionByName(lost.selectExpr("cast(null AS string) AS umi5", "cast(null AS string) AS barcode", "cast(null AS string) AS umi3"))
     summary = jackpot.run_summary(both, gini_cap=gini_cap).first()
     return Run(summary, barcodes, format_report(summary))

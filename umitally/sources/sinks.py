@@ -11,16 +11,18 @@ from umitally.sources.fastq import write_fastq
 HEADER = ["barcode", "total_reads", "num_unique_umis"]
 
 
-def write_counts_tsv(summary: DataFrame, path: str, *, single_file: bool = False) -> None:
+def write_counts_tsv(summary: DataFrame, path: str, *, single_file: bool = False, first_seen: DataFrame | None = None) -> None:
     """barcode, total_reads, num_unique_umis as tab-separated text with a header, largest number of UMIs first.
 
     The order is global over the part files, each of which has the header. single_file gives one part, sorted by one task,
-    for tables of a size that one task can write. An empty table gives one file with the header alone.
+    for tables of a size that one task can write. An empty table gives one file with the header alone. Ties go by barcode or,
+    with the reads that were accepted (read_id, barcode) as first_seen, by the barcode's first read.
     """
-    ordered = summary.select(*HEADER)
-    by = [F.desc("num_unique_umis"), F.col("barcode")]
-    ordered = ordered.repartition(1).sortWithinPartitions(*by) if single_file else ordered.orderBy(*by)
-    ordered.write.mode("errorifexists").option("sep", "\t").option("header", True).option("quote", "").csv(path)
+    rows, by = summary.select(*HEADER), [F.desc("num_unique_umis"), F.col("barcode")]
+    if first_seen is not None:
+        rows, by = rows.join(first_seen.groupBy("barcode").agg(F.min("read_id").alias("_first")), "barcode"), [by[0], F.col("_first")]
+    ordered = rows.repartition(1).sortWithinPartitions(*by) if single_file else rows.orderBy(*by)
+    ordered.select(*HEADER).write.mode("errorifexists").option("sep", "\t").option("header", True).option("quote", "").csv(path)
 
 
 def write_rejects(rejects: DataFrame, path: str) -> None:
