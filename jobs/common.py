@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from umitally.package import send_package
 from umitally.plans.layout import ReadLayout
 
 log = logging.getLogger("umitally.jobs")
@@ -40,4 +41,6 @@ def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame | No
 
 def start_session(name: str) -> SparkSession:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
-    return SparkSession.builder.appName(name).getOrCreate()
+    spark = SparkSession.builder.appName(name).getOrCreate()
+    send_package(spark)
+    return spark

@@ -29,6 +29,11 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-umi", type=int, default=100)
     p.add_argument("--max-errors", type=int, default=2)
     p.add_argument("--mode", choices=MODES, default="hamming")
+    p.add_argument("--regex-anchors", action="store_true", help="anchors are pattern source (edit mode)")
+    p.add_argument("--c-limits", action="store_true", help="reject UMIs of 256 characters or more")
+    p.add_argument("--incomplete", choices=["drop", "keep"], default="drop", help="what becomes of a last record of fewer than four lines")
+    p.add_argument("--ties", choices=["barcode", "first_seen"], default="barcode", help="order of barcodes with equally many UMIs")
+    p.add_argument("--tmp-dir", help="folder for work tables that all executors share (spark.checkpoint.dir)")
     p.add_argument("--gini-cap", type=int, help="Gini of the first so many tuples in key order")
     p.add_argument("--single-file", action="store_true", help="the counts table as one part file")
     p.add_argument("--threads", type=int, help="run in this process with so many threads, where no master is set")
@@ -39,18 +44,22 @@ def main(args: list[str] | None = None) -> int:
     p = parser()
     o = p.parse_args(args)
     try:
-        layout = ReadLayout(o.inner5, o.inner3, o.barcode_length, outer5=o.outer5, outer3=o.outer3, min_umi=o.min_umi, max_umi=o.max_umi, max_errors=o.max_errors, mode=o.mode)
+        layout = ReadLayout(o.inner5, o.inner3, o.barcode_length, outer5=o.outer5, outer3=o.outer3, min_umi=o.min_umi, max_umi=o.max_umi, max_errors=o.max_errors, mode=o.mode, regex_anchors=o.regex_anchors, c_limits=o.c_limits)
     except ValueError as e:
         p.error(str(e))
     if o.gini_cap is not None and o.gini_cap < 1 or o.threads is not None and o.threads < 1:
         p.error("--gini-cap and --threads must be at least 1")
     from pyspark.sql import SparkSession
 
+    from umitally.package import send_package
     from umitally.run import run
 
     builder = SparkSession.builder.appName("umitally")
+    if o.tmp_dir:
+        builder = builder.config("spark.checkpoint.dir", o.tmp_dir)
     spark = (builder.master(f"local[{o.threads}]") if o.threads else builder).getOrCreate()
-    print(run(spark, o.input, o.output, o.rejects, layout, gini_cap=o.gini_cap, single_file=o.single_file).report, file=sys.stderr)
+    send_package(spark)
+    print(run(spark, o.input, o.output, o.rejects, layout, gini_cap=o.gini_cap, incomplete=o.incomplete, single_file=o.single_file, ties=o.ties).report, file=sys.stderr)
     return 0
 
 

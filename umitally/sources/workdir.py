@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from umitally.package import is_local
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -19,8 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _own_dirs:
