@@ -44,7 +44,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group that similarity links connect: that with the smallest doc_id; rows that link with none stay."""
+    """One row of each group that similarity links connect: that with the smallest doc_id, null ids last; rows that link with
+    none stay, also where they repeat the id of a row that goes."""
     return jaccard.dedup_rows(docs)
 
 
