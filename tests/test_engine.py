@@ -41,6 +41,13 @@ def made_reads(n=1000, seed=3):
 
 
 READS = made_reads()
+MADE_GOLDEN = [
+    (LAYOUT, (970, 907, 274, 5, 0.062003)),
+    (LAYOUT.with_(max_errors=0), (724, 674, 219, 4, 0.06577)),
+    (OUTER, (931, 854, 268, 5, 0.078115)),
+    (LAYOUT.with_(mode="edit"), (970, 907, 274, 5, 0.062003)),
+    (OUTER.with_(mode="edit"), (794, 730, 248, 5, 0.07654)),
+]
 TEXT = "".join(f"{h}\n{s}\n+\n{q}\n" for h, s, q in READS)
 
 
@@ -73,6 +80,13 @@ def test_whole_run_by_hand(thousand, layout):
     assert abs(r.mean_reads - n / len(tuples)) < 1e-12 and abs(r.gini - gini) < 1e-12
 
 
+@pytest.mark.parametrize(("layout", "numbers"), MADE_GOLDEN)
+def test_golden_of_made_reads(thousand, layout, numbers):
+    """Fixed values, so that a change to the search and to its plain counterpart at once would show."""
+    r = jackpot.run_summary(parse.parse_reads(thousand, layout)).first()
+    assert (r.n_parsed, r.n_tuples, r.n_barcodes, r.max_reads, round(r.gini, 6)) == numbers
+
+
 def test_rejects_and_order(thousand):
     found, tuples = by_hand(OUTER)
     parsed = parse.parse_reads(thousand, OUTER)
@@ -179,23 +193,25 @@ GOLDEN = [
     (B.with_(max_errors=2, min_umi=6, max_umi=8), 328, 325, 313, 1.0092, 2, 0.009062),
     (C, 917, 829, 824, 1.1062, 3, 0.087649),
 ]
-if FASTQ:
-
-    @pytest.fixture(scope="session")
-    def sequenced(spark):
-        return read_fastq(spark, FASTQ).cache()
-
-    @pytest.mark.parametrize(("layout", "n_parsed", "tuples", "barcodes", "mean", "most", "gini"), GOLDEN)
-    def test_golden(sequenced, layout, n_parsed, tuples, barcodes, mean, most, gini):
-        r = jackpot.run_summary(parse.parse_reads(sequenced, layout)).first()
-        assert (r.n_total, r.n_parsed, r.n_failed, r.n_tuples, r.n_barcodes, r.max_reads) == (1000, n_parsed, 1000 - n_parsed, tuples, barcodes, most)
-        assert round(r.mean_reads, 4) == mean and round(r.gini, 6) == gini
-
-    def test_golden_order(sequenced):
-        parsed = parse.parse_reads(sequenced, A)
-        assert [r.read_id for r in parse.rejected(parsed).orderBy("read_id").limit(5).collect()] == [40, 44, 66, 81, 110]
-        top = tally.ranked(tally.barcode_summary(tally.tuple_counts(parsed))).limit(4).collect()
-        assert [r.barcode for r in top] == ["AACGGCAACGCG", "ACCAAGCACTCG", "ACCCGCCCGCCG", "CACATGAAGATG"]
+
+
+@pytest.fixture(scope="session")
+def sequenced(spark):
+    if not FASTQ:
+        pytest.skip(f"no sequenced reads below {READS_DIR}")
+    return read_fastq(spark, FASTQ).cache()
+
+@pytest.mark.parametrize(("layout", "n_parsed", "tuples", "barcodes", "mean", "most", "gini"), GOLDEN)
+def test_golden(sequenced, layout, n_parsed, tuples, barcodes, mean, most, gini):
+    r = jackpot.run_summary(parse.parse_reads(sequenced, layout)).first()
+    assert (r.n_total, r.n_parsed, r.n_failed, r.n_tuples, r.n_barcodes, r.max_reads) == (1000, n_parsed, 1000 - n_parsed, tuples, barcodes, most)
+    assert round(r.mean_reads, 4) == mean and round(r.gini, 6) == gini
+
+def test_golden_order(sequenced):
+    parsed = parse.parse_reads(sequenced, A)
+    assert [r.read_id for r in parse.rejected(parsed).orderBy("read_id").limit(5).collect()] == [40, 44, 66, 81, 110]
+    top = tally.ranked(tally.barcode_summary(tally.tuple_counts(parsed))).limit(4).collect()
+    assert [r.barcode for r in top] == ["AACGGCAACGCG", "ACCAAGCACTCG", "ACCCGCCCGCCG", "CACATGAAGATG"]
 
 
 def test_invariants_and_partitions(thousand):
