@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import slices, small_batches, temporary_tables, unused, write_table
+from umitally.llm.common import release, slices, small_batches, temporary_tables, unused, write_table
 from umitally.llm.components import components, merged
 
 
@@ -301,6 +301,7 @@ def _regions(batches: Iterator[pa.RecordBatch], rule: Rule = FIVE_WORDS, small:
             yield from drain()
     yield from whole(*rest)
     yield from drain()
+    release()
 
 
 def _entries(found: DataFrame, column: str) -> DataFrame:
@@ -351,6 +352,7 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common.append(int((q[at] == p).sum()) if len(q) else 0)
             na.append(len(p)), nb.append(len(q))
         yield pa.RecordBatch.from_pydict({"a": a, "b": b, "common": pa.array(common, pa.int64()), "total": pa.array(np.array(na, np.int64) + np.array(nb, np.int64) - np.array(common, np.int64), pa.int64())})
+    release()
 
 
 def is_small(keys: DataFrame) -> bool:

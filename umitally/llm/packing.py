@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from umitally.llm.common import remember, slices, small_batches, write_table
+from umitally.llm.common import release, remember, slices, small_batches, write_table
 
 WINDOW = 4096
 #: Open windows of a partition.
@@ -37,7 +37,7 @@ OPEN = 64
 #: Partitions whose last windows are merged together.
 MERGE = 256
 #: Pieces of text between white space that a Python worker remembers before it starts afresh.
-CACHE = 800_000
+CACHE = 200_000
 
 
 class WordTokenizer:
@@ -237,7 +237,8 @@ def pack(docs: DataFrame, encode: Callable[[], Callable[[list[str]], list[bytes]
             data = {id_col: pa.array(cols[0], id_type)} | {n: pa.array(c, t) for n, c, t in zip([*_COLUMNS, "full"], cols[1:], arrow, strict=True)}
             return pa.RecordBatch.from_pydict(data | {"part": pa.array([part] * len(out), pa.int64())})
 
-        for batch in slices(batches, text_col, 4 << 20, owner="packing"):
+        release()  # what operators before have left in this worker
+        for batch in slices(batches, text_col, 2 << 20, owner="packing"):
             id_type = batch.schema.field(0).type
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out = []
