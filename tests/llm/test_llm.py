@@ -805,6 +805,37 @@ def test_jaccard_rows_that_stay(spark, monkeypatch, most):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_work_tables_of_two_threads(spark):
+    """A query that ends deletes its own tables and not those of another thread's query."""
+    import threading
+
+    from umitally.llm.common import temporary_tables, write_table
+
+    written, ended, counts = threading.Event(), threading.Event(), []
+
+    def other():
+        with temporary_tables(spark):
+            table = write_table(spark.range(5))
+            written.set()
+            ended.wait(60)
+            counts.append(table.count())
+
+    t = threading.Thread(target=other)
+    t.start()
+    assert written.wait(60)
+    with temporary_tables(spark):
+        mine = write_table(spark.range(3))
+        with temporary_tables(spark):
+            inner = write_table(spark.range(2))
+        assert mine.count() == 3
+    ended.set()
+    t.join(60)
+    assert counts == [5]
+    for gone in (mine, inner):
+        with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
+            gone.collect()
+
+
 def test_jaccard_window_and_bounds():
     rng = np.random.default_rng(4)
     for n in range(1, 60):

@@ -78,6 +78,20 @@ def test_blocks_of_blocks(spark, levels):
     assert manifest(spark, rows, levels) == plain_manifest(rows)
 
 
+def test_many_partitions(spark):
+    """Several ranges and blocks a task, as there are fewer files than partitions."""
+    settings = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    rows = made(700, ["hot"] * 40 + [f"s{k}" for k in range(30)])
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        assert manifest(spark, rows, 2) == plain_manifest(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_edges(spark):
     """Null ids, repeated rows and ids, a very long text, columns whose names clash with the operator's own."""
     rows = [(None, "x\n", "en", "a", 1), (None, None, None, "a", None), (5, "one\n", "en", "a", 1), (5, "two\n", "en", "a", 1), (5, "two\n", "en", "a", 1), (6, LONG + "\n", "en", None, 9), (-3, "", "", "", 0)]

@@ -5,11 +5,11 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,32 +17,37 @@ from pyspark.sql import functions as F
 from umitally.sources.workdir import shared_dir
 
 
-#: Paths that the open temporary_tables() blocks delete at their end, the innermost last.
-_temporary: list[list[str]] = []
+#: Paths that the innermost open temporary_tables() block of this thread deletes at its end.
+_temporary: ContextVar[list[str] | None] = ContextVar("temporary", default=None)
 
 
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Delete at the end what write_table() wrote within the block, but for tables that are to be kept."""
-    _temporary.append([])
+    paths: list[str] = []
+    outer = _temporary.set(paths)
     try:
         yield
     finally:
+        _temporary.reset(outer)
         jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for path in _temporary.pop():
+        for path in paths:
             at = jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(conf).delete(at, True)
 
 
-def write_table(df: DataFrame, *, compression: str = "zstd", keep: bool = False) -> DataFrame:
+def write_table(df: DataFrame, *, compression: str = "zstd", keep: bool = False, files: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     This cuts lineage: what follows rereads the files, so a lost executor never forces the work before to run again,
-    and values that depend on task order are fixed once. keep: beyond the end of the enclosing temporary_tables().
+    and values that depend on task order are fixed once. keep: beyond the end of the enclosing temporary_tables(). files: at
+    most so many are written, by as many tasks.
     """
+    df = df.coalesce(files) if files else df
     path = shared_dir(df.sparkSession)
-    if _temporary and not keep:
-        _temporary[-1].append(path)
+    paths = _temporary.get()
+    if paths is not None and not keep:
+        paths.append(path)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -51,6 +56,11 @@ def write_table(df: DataFrame, *, compression: str = "zstd", keep: bool = False)
 BATCH_BYTES = 4 << 20
 
 
+def files_for(df: DataFrame, rows_each: int = 200_000) -> int:
+    """How many files the rows of df, a table that is read, take: of about rows_each, or one for each core if that is more."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_each))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the session's Arrow batches by BATCH_BYTES; a lower setting stays."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -120,26 +130,28 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
-def positions(nodes: DataFrame, by: list[str]) -> DataFrame:
+def positions(nodes: DataFrame, by: list[str], files: int | None = None) -> DataFrame:
     """nodes with pos, the place among the rows of their tree in the order `by`, and total, the number of these."""
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, n = TaskContext.get().partitionId(), None, 0
+        last, n = None, 0
         for batch in (b for b in batches if b.num_rows):
             trees = batch.column(batch.schema.get_field_index("tree")).to_pylist()
             place = np.empty(len(trees), np.int64)
             for i, tree in enumerate(trees):
                 last, n = tree, n + 1 if tree == last else 0
                 place[i] = n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(trees), part, np.int64)), pa.array(place)], [*batch.schema.names, "part", "place"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], [*batch.schema.names, "place"])
 
     order = [F.col(c).asc_nulls_first() for c in ["tree", *by]]
-    numbered = write_table(nodes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, f"{kind}, part bigint, place bigint"))
+    # The number of the range, as a task can write several.
+    ranges = nodes.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    numbered = write_table(ranges.mapInArrow(number, f"{kind}, part int, place bigint"), files=files)
     counts = numbered.groupBy("tree", "part").agg(F.count(F.lit(1)).alias("n"))
     tree = W.partitionBy("tree")
     before = F.sum("n").over(tree.orderBy("part")) - F.col("n")
-    offsets = write_table(counts.select("tree", "part", before.alias("before"), F.sum("n").over(tree).alias("total")))
+    offsets = write_table(counts.select("tree", "part", before.alias("before"), F.sum("n").over(tree).alias("total")), files=files)
     return numbered.join(offsets, ["tree", "part"]).withColumn("pos", F.col("before") + F.col("place")).drop("part", "place", "before")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from umitally.llm.common import positions, small_batches, temporary_tables, write_table
+from umitally.llm.common import files_for, positions, small_batches, temporary_tables, write_table
 
 #: Children of a node, and levels of a block.
 WAYS, LEVELS = 3, 5
@@ -106,7 +106,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[d
 
 
 def _block(levels: int) -> Column:
-    return F.floor(F.col("pos") / WAYS**levels)
+    return F.expr(f"pos div {WAYS**levels}")
 
 
 def _blocks(nodes: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
@@ -133,11 +133,11 @@ def _up(nodes: DataFrame, levels: int) -> DataFrame:
     return _blocks(nodes.select("tree", "pos", "total", "digest", _block(levels).alias("block")), run, "tree string, pos bigint, total bigint, digest string")
 
 
-def climb(leaves: DataFrame, levels: int) -> list[DataFrame]:
+def climb(leaves: DataFrame, levels: int, files: int | None) -> list[DataFrame]:
     """The leaves (tree, pos, total, digest) and the roots of their blocks, level by level, up to one node a tree."""
     out = [leaves]
     while out[-1].where("total > 1").limit(1).count():
-        out.append(write_table(_up(out[-1], levels)))
+        out.append(write_table(_up(out[-1], levels), files=files))
     return out
 
 
@@ -184,22 +184,23 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("x"), source.cast("string")), F.lit(""))
 
 
-def root_and_proofs(leaves: DataFrame, finish: Callable[[dict, Proof, dict], tuple], schema: T.StructType, levels: int = LEVELS) -> DataFrame:
-    """A row by finish(leaf's row, proof, {"subroot", "root"}) for each leaf (tree, doc_id, digest and more columns)."""
-    low = climb(write_table(positions(leaves, ["doc_id", "digest"])), levels)
+def root_and_proofs(leaves: DataFrame, finish: Callable[[dict, Proof, dict], tuple], schema: T.StructType, levels: int = LEVELS, files: int | None = None) -> DataFrame:
+    """A row by finish(leaf's row, proof, {"subroot", "root"}) for each leaf (tree, doc_id, digest and more columns). files: the
+    most files of each table on the way."""
+    low = climb(write_table(positions(leaves, ["doc_id", "digest"], files), files=files), levels, files)
     tops = low[-1].select("tree", F.col("digest").alias("subroot"))
-    sources = climb(write_table(positions(tops.select(F.lit("").alias("tree"), F.col("tree").alias("of"), F.col("subroot").alias("digest")), ["of"])), levels)
+    sources = climb(write_table(positions(tops.select(F.lit("").alias("tree"), F.col("tree").alias("of"), F.col("subroot").alias("digest")), ["of"], files), files=files), levels, files)
     first = sources[-1].select("digest").first()
     root = first["digest"] if first else ""
     above = sources[-1].select("tree", "pos", F.array().cast(_PROOF).alias("proof"))
     for nodes in reversed(sources[1:-1]):
-        above = write_table(descend(nodes, above, levels))
+        above = write_table(descend(nodes, above, levels), files=files)
     if len(sources) > 1:
-        above = write_table(descend(sources[0].select("tree", "pos", "total", "digest"), above, levels))
+        above = write_table(descend(sources[0].select("tree", "pos", "total", "digest"), above, levels), files=files)
     of_source = sources[0].select(F.col("of").alias("tree"), "pos", F.col("digest").alias("subroot")).join(above.select("pos", "proof"), "pos")
-    above = write_table(of_source.select("tree", F.lit(0).cast("bigint").alias("pos"), "proof", "subroot", F.lit(root).alias("root")))
+    above = write_table(of_source.select("tree", F.lit(0).cast("bigint").alias("pos"), "proof", "subroot", F.lit(root).alias("root")), files=files)
     for nodes in reversed(low[1:-1]):
-        above = write_table(descend(nodes, above, levels))
+        above = write_table(descend(nodes, above, levels), files=files)
     return descend(low[0], above, levels, finish, schema)
 
 
@@ -225,4 +226,5 @@ def manifest(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
         return row["doc_id"], row["digest"], of["subroot"], of["root"], proof_digest(proof), found, found == of["root"]
 
     with temporary_tables(docs.sparkSession):
-        return write_table(root_and_proofs(rows, finish, schema, levels), keep=True)
+        files = files_for(docs)
+        return write_table(root_and_proofs(rows, finish, schema, levels, files), keep=True, files=files)
