@@ -37,7 +37,7 @@ OPEN = 64
 #: Partitions whose last windows are merged together.
 MERGE = 256
 #: Pieces of text between white space that a Python worker remembers before it starts afresh.
-CACHE = 200_000
+CACHE = 800_000
 
 
 class WordTokenizer:
@@ -238,7 +238,7 @@ def pack(docs: DataFrame, encode: Callable[[], Callable[[list[str]], list[bytes]
             return pa.RecordBatch.from_pydict(data | {"part": pa.array([part] * len(out), pa.int64())})
 
         release()  # what operators before have left in this worker
-        for batch in slices(batches, text_col, 2 << 20, owner="packing"):
+        for batch in slices(batches, text_col, 4 << 20, owner="packing"):
             id_type = batch.schema.field(0).type
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out = []
