@@ -36,8 +36,9 @@ WINDOW = 4096
 OPEN = 64
 #: Partitions whose last windows are merged together.
 MERGE = 256
-#: Pieces of text between white space that a Python worker remembers before it starts afresh.
-CACHE = 800_000
+#: Pieces of text between white space that a Python worker remembers before it starts afresh, and words out of which new pieces
+#: are put together.
+CACHE, WORD_CACHE = 800_000, 100_000
 
 
 class WordTokenizer:
@@ -86,6 +87,8 @@ class WordTokenizer:
         self.pieces.clear()
 
     def _learn(self, pieces: list[str]) -> None:
+        if len(self.known) > WORD_CACHE:
+            self.known.clear()
         words = list(map(self._WORD.findall, pieces))
         new = list(set().union(*words).difference(self.known))
         for i in range(0, len(new), 1000):  # words apart by spaces stay apart; a call for each word would take twice as long
