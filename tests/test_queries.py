@@ -35,6 +35,19 @@ def test_against_sql(spark, duck, name):
     assert canonical(numbers(got)) == canonical(numbers(want))
 
 
+def test_rejects_are_ordered_key_by_key(spark, tmp_path):
+    """Keys of larger tables: orders whose keys a packed number cannot hold, parts and suppliers of more digits."""
+    con = duckdb.connect()
+    for shift, name in ((0, "parts"), (20_000_000, "orders")):
+        folder = tmp_path / name
+        folder.mkdir()
+        con.execute(f"""COPY (SELECT l_orderkey // 40 + {shift} AS l_orderkey, l_linenumber, l_partkey + 3_000_000 * (l_partkey % 3) AS l_partkey, l_suppkey + 700_000 * (l_suppkey % 2) AS l_suppkey
+                              FROM read_parquet('{SF}/lineitem.parquet')) TO '{folder}/lineitem.parquet' (FORMAT parquet)""")
+        con.execute(f"CREATE OR REPLACE VIEW lineitem AS SELECT * FROM read_parquet('{folder}/lineitem.parquet')")
+        got, want = QUERIES["rejects_fastq"](spark, str(folder)).toPandas(), con.execute(SQL["rejects_fastq"]).df()
+        assert len(want) > 100 and canonical(got) == canonical(want[list(got.columns)])
+
+
 def test_entry(spark):
     import __spark_entry__
 

@@ -70,8 +70,9 @@ def fastq_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rejects_fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected reads written in the order of their line's keys and scanned again, so that read_id is their rank."""
     keys = F.split(F.substring("header", 2, 100), ":")
-    number = ((keys[0].cast("bigint") * 10 + keys[1].cast("bigint")) * 1_000_000 + keys[2].cast("bigint")) * 100_000 + keys[3].cast("bigint")
-    reads = synth.reads(spark, sf_dir).withColumn("qual", F.translate("seq", "ACGT", "@#IN")).withColumn("read_id", number)
+    # Key by key, as no number holds four keys of any size.
+    place = F.struct(*(keys[k].cast("bigint").alias(f"k{k}") for k in range(4)))
+    reads = synth.reads(spark, sf_dir).withColumn("qual", F.translate("seq", "ACGT", "@#IN")).withColumn("read_id", place)
     folder = shared_dir(spark)
     write_rejects(parse.split_once(parse.parse_reads(reads, L))[1], folder)
     return read_fastq(spark, folder)

@@ -26,7 +26,7 @@ def write_counts_tsv(summary: DataFrame, path: str, *, single_file: bool = False
 
 
 def write_rejects(rejects: DataFrame, path: str) -> None:
-    """The reads that could not be parsed, as FASTQ in input order."""
+    """The reads that could not be parsed, as FASTQ in input order, by read_id of any type that sorts."""
     write_fastq(rejects.orderBy("read_id"), path)
 
 
