@@ -29,6 +29,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from umitally.llm.common import write_table
+
 CALLS = "array<struct<id:string,name:string,arguments:variant>>"
 #: The same where a member name is repeated, which variants refuse.
 LOOSE = "struct<content:string,tool_call_id:string,tool_calls:array<struct<id:string,name:string,arguments:string>>>"
@@ -121,56 +123,70 @@ def _loose_calls() -> Column:
     return F.transform(F.col("_loose.tool_calls"), lambda c: _readable(parsed(c), c["arguments"]))
 
 
+def _tool_use(candidates: DataFrame, tools: dict) -> DataFrame:
+    """conv_id, turn, role, kind, ids (of a message's calls), result_of, problems, and json but for what links decide: its end."""
+    bare = F.trim(F.col("text"), F.lit(" \t\r\n"))
+    parsed = (
+        candidates.withColumns({"_json": F.try_parse_json(bare), "_loose": F.from_json(bare, LOOSE)})
+        .withColumn("_calls", F.when(F.col("role") == "assistant", F.coalesce(_strict_calls(), _loose_calls())))
+        .withColumns({
+            "calls": F.when(F.size("_calls") > 0, F.col("_calls")),
+            "result_of": F.when(F.col("role") == "tool", F.when(F.col("_json").isNotNull(), F.try_variant_get("_json", "$.tool_call_id", "string")).otherwise(F.col("_loose.tool_call_id"))),
+        })
+        .withColumn("kind", F.when(F.col("calls").isNotNull(), "call").when(F.col("result_of").isNotNull(), "result").otherwise("message"))
+        .withColumn("content", F.when(F.col("kind") == "message", F.col("text")).when(F.col("_json").isNotNull(), F.try_variant_get("_json", "$.content", "string")).otherwise(F.col("_loose.content")))
+    )
+    one_call = lambda c: F.concat(F.lit('{"id":'), F.coalesce(_quoted(c["id"]), F.lit("null")), F.lit(',"name":'), F.coalesce(_quoted(c["name"]), F.lit("null")), F.lit(',"arguments":'), F.when(c["raw"].isNotNull(), _quoted(c["raw"])).otherwise(F.coalesce(F.to_json(c["arguments"]), F.lit("{}"))), F.lit("}"))
+    used = F.when(F.col("kind") == "call", F.concat(F.lit(',"tool_calls":['), F.array_join(F.transform("calls", one_call), ","), F.lit("]"))).when(F.col("kind") == "result", F.concat(F.lit(',"tool_call_id":'), _quoted(F.col("result_of")))).otherwise("")
+    return parsed.select(
+        "conv_id", "turn", "role", "kind",
+        F.when(F.col("kind") == "call", F.col("calls.id")).alias("ids"), "result_of",
+        F.when(F.col("kind") == "call", F.array_join(F.flatten(F.transform("calls", lambda c: _problems(c, tools))), "; ")).alias("problems"),
+        F.concat(_opened(F.col("role"), F.col("content")), used).alias("json"),
+    )
+
+
+def _opened(role: Column, content: Column) -> Column:
+    return F.concat(F.lit('{"role":'), _quoted(role), F.lit(',"content":'), F.coalesce(_quoted(content), F.lit("null")))
+
+
 def messages(conversations: DataFrame, tools: dict | None = None) -> DataFrame:
     """A row for each message: conv_id, turn, anchor_turn, step, role, kind, call_ids, linked, problems, json.
 
     kind is message, call or result; anchor_turn, step (and turn) give the topological order within conv_id; linked is the
     number of the message's calls that have a result, or 1 for a result that has its call.
+
+    Messages that can be tool use, by their role and first sign, are parsed once when this is called, into a work table that
+    stays; links are joined from it, so that no plan holds the parsing more than once. All others are a narrow map.
     """
     tools = TOOLS if tools is None else tools
     base = conversations.select("conv_id", "turn", F.coalesce(F.col("role"), F.lit("unknown")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    bare = F.trim(F.col("text"), F.lit(" \t\r\n"))
-    parsed = (
-        base.withColumn("_json", F.when(bare.startswith("{") & F.col("role").isin("assistant", "tool"), F.try_parse_json(bare)))
-        .withColumn("_loose", F.when(bare.startswith("{") & F.col("role").isin("assistant", "tool"), F.from_json(bare, LOOSE)))
-        .withColumn("_calls", F.when(F.col("role") == "assistant", F.coalesce(_strict_calls(), _loose_calls())))
-        .withColumn("calls", F.when(F.size("_calls") > 0, F.col("_calls")))
-        .withColumn("result_of", F.when(F.col("role") == "tool", F.when(F.col("_json").isNotNull(), F.try_variant_get("_json", "$.tool_call_id", "string")).otherwise(F.col("_loose.tool_call_id"))))
-        .withColumn("kind", F.when(F.col("calls").isNotNull(), "call").when(F.col("result_of").isNotNull(), "result").otherwise("message"))
-        .withColumn("content", F.when(F.col("kind") == "message", F.col("text")).when(F.col("_json").isNotNull(), F.try_variant_get("_json", "$.content", "string")).otherwise(F.col("_loose.content")))
-        .select("conv_id", "turn", "role", "kind", "calls", "result_of", "content")
-    )
-    call_ids = parsed.where("kind = 'call'").select("conv_id", "turn", F.explode("calls.id").alias("id")).where("id IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL")
+    possible = F.ltrim(F.col("text"), F.lit(" \t\r\n")).startswith("{") & F.col("role").isin("assistant", "tool")
+    parsed = write_table(_tool_use(base.where(possible), tools))
+    turn = base.schema["turn"].dataType
+    blank, none = _none(), lambda kind: F.lit(None).cast(kind)
+    calls, results = parsed.where("kind = 'call'"), parsed.where("kind = 'result'")
+    call_ids = calls.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("ids").alias("id")).where("id IS NOT NULL")
     first_calls = call_ids.groupBy("conv_id", "id").agg(F.min("turn").alias("call_turn"))
-    answered = parsed.where("kind = 'result' AND conv_id IS NOT NULL").select("conv_id", F.col("result_of").alias("id")).distinct()
-    links = first_calls.join(answered.withColumn("answered", F.lit(True)), ["conv_id", "id"], "left")
+    answered = results.where("conv_id IS NOT NULL").select("conv_id", F.col("result_of").alias("id")).distinct()
     # One link a (conversation, call id) for results; the links of a message's own calls are summed by its turn.
-    results = parsed.where("kind = 'result'").join(first_calls.withColumnRenamed("id", "result_of"), ["conv_id", "result_of"], "left")
-    per_turn = links.where("answered").groupBy("conv_id", F.col("call_turn").alias("turn")).agg(F.collect_set("id").alias("_answered"))
-    callers = parsed.where("kind = 'call'").join(per_turn, ["conv_id", "turn"], "left").withColumn("call_turn", F.lit(None).cast(parsed.schema["turn"].dataType))
-    plain = parsed.where("kind = 'message'")
-    blank = F.array().cast("array<string>")
-    columns = ["conv_id", "turn", "role", "kind", "calls", "result_of", "content", "call_turn", "_answered"]
+    per_turn = first_calls.join(answered, ["conv_id", "id"], "left_semi").groupBy("conv_id", F.col("call_turn").alias("turn")).agg(F.collect_set("id").alias("_answered"))
+    columns = ["conv_id", "turn", "role", "kind", "ids", "result_of", "problems", "json", "call_turn", "_answered"]
+    unlinked = {"call_turn": none(turn), "_answered": blank}
     rows = (
-        plain.withColumn("call_turn", F.lit(None).cast(parsed.schema["turn"].dataType)).withColumn("_answered", blank).select(*columns)
-        .unionByName(callers.withColumn("_answered", F.coalesce("_answered", blank)).select(*columns))
-        .unionByName(results.withColumn("_answered", blank).select(*columns))
+        base.where(~possible).select("conv_id", "turn", "role", F.lit("message").alias("kind"), none("array<string>").alias("ids"), none("string").alias("result_of"), none("string").alias("problems"), _opened(F.col("role"), F.col("text")).alias("json"))
+        .unionByName(parsed.where("kind = 'message'")).withColumns(unlinked).select(*columns)
+        .unionByName(calls.join(per_turn, ["conv_id", "turn"], "left").withColumns({"call_turn": none(turn), "_answered": F.coalesce("_answered", blank)}).select(*columns))
+        .unionByName(results.join(first_calls.withColumnRenamed("id", "result_of"), ["conv_id", "result_of"], "left").withColumn("_answered", blank).select(*columns))
     )
     late = (F.col("kind") == "result") & (F.col("call_turn") >= F.col("turn"))
-    linked = F.when(F.col("kind") == "call", F.size(F.array_intersect(F.col("calls.id"), F.col("_answered")))).when(F.col("kind") == "result", F.col("call_turn").isNotNull().cast("int")).otherwise(0)
-    one_call = lambda c: F.concat(F.lit('{"id":'), F.coalesce(_quoted(c["id"]), F.lit("null")), F.lit(',"name":'), F.coalesce(_quoted(c["name"]), F.lit("null")), F.lit(',"arguments":'), F.when(c["raw"].isNotNull(), _quoted(c["raw"])).otherwise(F.coalesce(F.to_json(c["arguments"]), F.lit("{}"))), F.lit("}"))
-    body = F.concat(
-        F.lit('{"role":'), _quoted(F.col("role")), F.lit(',"content":'), F.coalesce(_quoted(F.col("content")), F.lit("null")),
-        F.when(F.col("kind") == "call", F.concat(F.lit(',"tool_calls":['), F.array_join(F.transform("calls", one_call), ","), F.lit("]"))).otherwise(""),
-        F.when(F.col("kind") == "result", F.concat(F.lit(',"tool_call_id":'), _quoted(F.col("result_of")), F.when(F.col("call_turn").isNull(), F.lit(',"orphan":true')).otherwise(""))).otherwise(""),
-        F.lit("}"),
-    )
+    linked = F.when(F.col("kind") == "call", F.size(F.array_intersect("ids", "_answered"))).when(F.col("kind") == "result", F.col("call_turn").isNotNull().cast("int")).otherwise(0)
+    orphan = F.when((F.col("kind") == "result") & F.col("call_turn").isNull(), ',"orphan":true').otherwise("")
     return rows.select(
         "conv_id", "turn",
         F.when(late, F.col("call_turn")).otherwise(F.col("turn")).alias("anchor_turn"), F.coalesce(late, F.lit(False)).cast("int").alias("step"),
         "role", "kind",
-        F.when(F.col("kind") == "call", F.array_join(F.col("calls.id"), ",")).when(F.col("kind") == "result", F.col("result_of")).alias("call_ids"),
-        linked.alias("linked"),
-        F.when(F.col("kind") == "call", F.array_join(F.flatten(F.transform("calls", lambda c: _problems(c, tools))), "; ")).alias("problems"),
-        body.alias("json"),
+        F.when(F.col("kind") == "call", F.array_join("ids", ",")).when(F.col("kind") == "result", F.col("result_of")).alias("call_ids"),
+        linked.alias("linked"), "problems",
+        F.concat("json", orphan, F.lit("}")).alias("json"),
     )
